@@ -23,18 +23,19 @@ SOURCE_TAGS = ("COPILOT", "CLAUDE", "AGENT", "UNKNOWN")
 
 
 def severity_weight(severity: Column) -> Column:
-    weight = F.lit(0)
-    for name, value in SEVERITY_WEIGHTS.items():
-        weight = F.when(severity == name, F.lit(value)).otherwise(weight)
-    return weight.cast("bigint")
+    return _lookup(severity, SEVERITY_WEIGHTS).cast("bigint")
 
 
 def severity_rank(severity: Column) -> Column:
     """4 for CRITICAL down to 1 for LOW, 0 for anything else."""
-    rank = F.lit(0)
-    for step, name in enumerate(reversed(SEVERITIES), start=1):
-        rank = F.when(severity == name, F.lit(step)).otherwise(rank)
-    return rank
+    return _lookup(severity, {name: step for step, name in enumerate(reversed(SEVERITIES), start=1)})
+
+
+def _lookup(key: Column, values: dict[str, int]) -> Column:
+    found = F
+    for name, value in values.items():
+        found = found.when(key == name, F.lit(value))
+    return found.otherwise(0)
 
 
 def finding_type_of(rule_id: str) -> str:

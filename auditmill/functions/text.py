@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 
@@ -19,6 +20,11 @@ WHITESPACE = (
 FIELD_SEP = "\u0001"
 
 
+def constant(value, schema: str) -> Column:
+    """A constant of any shape as one expression; Catalyst folds it to a literal."""
+    return F.from_json(F.lit(json.dumps(value)), schema)
+
+
 def strip(col: Column) -> Column:
     """Trim every Unicode whitespace character, not only blanks."""
     return F.btrim(col, F.lit(WHITESPACE))

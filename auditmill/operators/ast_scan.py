@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditmill.operators.findings import as_findings, emission_literals
+from auditmill.operators.findings import as_findings, emission_texts
 from auditmill.rules import Ruleset, ruleset
 from auditmill.sources.artifacts import code_artifacts
 
@@ -28,7 +28,6 @@ _HIT_FIELDS = (
     ("error_class", "string", pa.string()),
     ("message", "string", pa.string()),
 )
-_TEXT_FIELDS = ("finding_type", "severity", "rule_id", "description", "remediation_guidance", "cwe_mapping")
 _OWNER = ("artifact_id", "artifact_seq", "filename", "source")
 
 
@@ -74,18 +73,13 @@ def scan_trees(
 def tree_findings(raw: DataFrame, rules: str | Ruleset = "core") -> DataFrame:
     """Findings from raw scan rows; texts are attached here from constants, not shipped through Python."""
     catalog = ruleset(rules)
-    text = F.get(emission_literals(_emissions(catalog), _TEXT_FIELDS), F.col("emission"))
-    rows = raw.where(F.col("error_class").isNull()).withColumn("text", text).select(
-        "artifact_id", "artifact_seq",
-        F.col("filename").alias("artifact_filename"), F.col("source").alias("artifact_source"),
-        "line_no", "position", "rule_ord", "dup", "name",
-        F.col("snippet").alias("evidence_snippet"),
-        F.concat(F.lit(f"{catalog.location_label} "), F.col("line_no").cast("string")).alias("location"),
-        F.lit(2).alias("phase"),
-        "text.*",
+    text = F.get(emission_texts(_emissions(catalog)), F.col("emission"))
+    rows = raw.where("error_class IS NULL").withColumn("text", text).selectExpr(
+        "artifact_id", "artifact_seq", "filename AS artifact_filename", "source AS artifact_source",
+        "line_no", "position", "rule_ord", "dup", "name", "snippet AS evidence_snippet",
+        f"concat('{catalog.location_label} ', line_no) AS location", "2 AS phase", "text.*",
     )
-    described = F.replace(F.col("description"), F.lit("{name}"), F.coalesce("name", F.lit("")))
-    return as_findings(rows.withColumn("description", described))
+    return as_findings(rows.withColumn("description", F.expr("replace(description, '{name}', coalesce(name, ''))")))
 
 
 def tree_errors(raw: DataFrame) -> DataFrame:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditmill.functions.text import explode_lines, java_pattern, strip
-from auditmill.operators.findings import as_findings
+from auditmill.operators.findings import as_findings, emission_texts
 from auditmill.policy import Policy, policy
-from auditmill.schemas import DEPENDENCY
+from auditmill.rules import Emission
+from auditmill.schemas import DEPENDENCY, declared
 from auditmill.sources.artifacts import manifest_artifacts
 
 _KEEP = ("artifact_id", "artifact_seq", "filename", "source")
@@ -41,13 +43,13 @@ def parse_manifests(artifacts: DataFrame, rules: str | Policy = "core") -> DataF
         version = F.nullif(version, F.lit(""))
     if not chosen.keep_name_case:
         name = F.lower(name)
+    # Parsed values come out of a generator, so filters on them later cannot pull copies of the regexes down.
+    parsed = F.explode(F.array(F.struct(name.alias("name"), version.alias("version_spec"))))
     return (
-        entries.withColumn("name", name)
-        .where(F.col("name") != "")
-        .select(
-            "artifact_id", "artifact_seq", F.col("filename").alias("source_file"),
-            F.col("source").alias("artifact_source"), "line_no", "entry", "name", version.alias("version_spec"),
-        )
+        entries.select("*", parsed.alias("parsed"))
+        .where("parsed.name != ''")
+        .selectExpr("artifact_id", "artifact_seq", "filename AS source_file", "source AS artifact_source",
+                    "line_no", "entry", "parsed.*")
     )
 
 
@@ -64,9 +66,15 @@ def listed_status(name: Column, chosen: Policy) -> Column:
 
 
 def suspicious_name(name: Column, chosen: Policy) -> Column:
+    """Naming heuristic as one alternation: any listed suffix, or a listed prefix followed by a dash."""
     if chosen.suspicious_pattern:
         return F.lower(name).rlike(java_pattern(chosen.suspicious_pattern))
-    return _any([name.endswith(s) for s in chosen.suffixes] + [name.startswith(p + "-") for p in chosen.prefixes])
+    tests = []
+    if chosen.suffixes:
+        tests.append("(?:" + "|".join(map(re.escape, chosen.suffixes)) + r")\z")
+    if chosen.prefixes:
+        tests.append("^(?:" + "|".join(map(re.escape, chosen.prefixes)) + ")-")
+    return name.rlike("|".join(tests)) if tests else F.lit(False)
 
 
 def classify(entries: DataFrame, rules: str | Policy = "core", *, policy_table: DataFrame | None = None) -> DataFrame:
@@ -89,53 +97,48 @@ def classify(entries: DataFrame, rules: str | Policy = "core", *, policy_table:
     rows = rows.withColumn("suspicious", flagged)
     rows = rows.withColumn("status", F.when(F.col("suspicious"), chosen.suspicious_status).otherwise(F.col("status")))
 
-    def note(tail: str) -> Column:
-        return F.concat(F.lit("Package '"), F.col("name"), F.lit(f"' {tail}"))
-
-    notes = (
-        F.when(F.col("status") == "DENY", note("is on the denylist."))
-        .when(F.col("suspicious"), note("flagged as potential hallucination risk (suspicious naming)."))
-        .when(F.col("status") == "UNKNOWN", note("is not in the allowlist or denylist."))
-    )
+    # Note texts.
+    notes = F.expr("""
+        CASE WHEN status = 'DENY' THEN concat("Package '", name, "' is on the denylist.")
+             WHEN suspicious THEN concat("Package '", name, "' flagged as potential hallucination risk (suspicious naming).")
+             WHEN status = 'UNKNOWN' THEN concat("Package '", name, "' is not in the allowlist or denylist.")
+        END""")
     rows = rows.withColumn("risk_notes", notes)
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in DEPENDENCY.fields])
+    return rows.selectExpr(*declared(DEPENDENCY))
 
 
 def analyze_dependencies(artifacts: DataFrame, rules: str | Policy = "core", *, policy_table=None) -> DataFrame:
     return classify(parse_manifests(artifacts, rules), rules, policy_table=policy_table)
 
 
+# Finding texts, by the reason for the finding.
+_DENIED = Emission(
+    "DEP_DENYLISTED", "INSECURE_DEPENDENCY", "HIGH", "Denylisted package '{name}' found.",
+    "Remove denylisted package. Consult internal security policies.", "CWE-937",
+)
+_SUSPICIOUS = Emission(
+    "DEP_HALLUCINATION_RISK", "HALLUCINATED_PACKAGE", "MEDIUM", "Potential hallucinated package '{name}' detected.",
+    "Verify package existence and authenticity. Avoid unknown/hallucinated packages.", "CWE-506",
+)
+_SUSPICIOUS_DOC = Emission(
+    "DEP_H01", "HALLUCINATED_PACKAGE", "HIGH", "Potential hallucinated package '{name}' detected.",
+    "Verify if this package truly exists and is legitimate. Avoid installing unverified packages.", None,
+)
+
+
 def dependency_findings(dependencies: DataFrame, rules: str | Policy = "core") -> DataFrame:
     """Findings for denied and for suspiciously named packages; other unknown packages give none."""
     doc = policy(rules).name == "doc"
-    denied = F.col("status") == "DENY"
-    rows = dependencies.where(F.col("suspicious") if doc else denied | F.col("suspicious"))
-
-    def pick(if_denied, if_suspicious) -> Column:
-        return F.lit(if_suspicious) if doc else F.when(denied, if_denied).otherwise(if_suspicious)
-
-    # Finding texts.
-    suspicious = F.concat(F.lit("Potential hallucinated package '"), F.col("name"), F.lit("' detected."))
-    forbidden = F.concat(F.lit("Denylisted package '"), F.col("name"), F.lit("' found."))
-    verify = "Verify package existence and authenticity. Avoid unknown/hallucinated packages."
-    if doc:
-        verify = "Verify if this package truly exists and is legitimate. Avoid installing unverified packages."
-    return as_findings(
-        rows.select(
-            "artifact_id", "artifact_seq", "line_no", "artifact_source",
-            F.col("source_file").alias("artifact_filename"),
-            pick("INSECURE_DEPENDENCY", "HALLUCINATED_PACKAGE").alias("finding_type"),
-            pick("HIGH", "HIGH" if doc else "MEDIUM").alias("severity"),
-            pick("DEP_DENYLISTED", "DEP_H01" if doc else "DEP_HALLUCINATION_RISK").alias("rule_id"),
-            (suspicious if doc else F.when(denied, forbidden).otherwise(suspicious)).alias("description"),
-            F.concat(F.lit("File: "), F.col("source_file")).alias("location"),
-            F.col("name" if doc else "entry").alias("evidence_snippet"),
-            pick("Remove denylisted package. Consult internal security policies.", verify).alias("remediation_guidance"),
-            (F.lit(None) if doc else pick("CWE-937", "CWE-506")).alias("cwe_mapping"),
-            F.lit(3).alias("phase"), F.col("line_no").alias("position"),
-            pick(0, 1).alias("rule_ord"), F.lit(0).alias("dup"),
-        )
+    wanted = "suspicious" if doc else "status = 'DENY' OR suspicious"
+    texts = emission_texts([_SUSPICIOUS_DOC] if doc else [_DENIED, _SUSPICIOUS])
+    ordinal = F.lit(0) if doc else F.expr("IF(status = 'DENY', 0, 1)")
+    rows = dependencies.where(wanted).withColumn("rule_ord", ordinal).withColumn("text", F.get(texts, F.col("rule_ord")))
+    rows = rows.selectExpr(
+        "artifact_id", "artifact_seq", "line_no", "artifact_source", "source_file AS artifact_filename", "name",
+        "concat('File: ', source_file) AS location", f"{'name' if doc else 'entry'} AS evidence_snippet", "rule_ord",
+        "3 AS phase", "line_no AS position", "0 AS dup", "text.*",
     )
+    return as_findings(rows.withColumn("description", F.expr("replace(description, '{name}', name)")))
 
 
 def hallucinated_packages(findings: DataFrame) -> DataFrame:

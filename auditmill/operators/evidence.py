@@ -85,7 +85,7 @@ def digest_tree(digests: DataFrame, name: str) -> DataFrame:
     """
 
     def level(df: DataFrame, prefix: int | None, out: str) -> DataFrame:
-        joined = F.sha2(F.array_join(F.array_sort(F.collect_list("entry")), ""), 256)
+        joined = F.sha2(F.array_join(F.sort_array(F.collect_list("entry")), ""), 256)
         if prefix is None:
             return df.agg(joined.alias(out))
         return df.groupBy(F.substring("entry", 1, prefix).alias("prefix")).agg(joined.alias(out))

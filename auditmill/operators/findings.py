@@ -9,28 +9,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditmill.functions.scoring import severity_rank
-from auditmill.functions.text import FIELD_SEP
-from auditmill.schemas import FINDING, FINDING_ORDER, PHASES
+from auditmill.functions.text import FIELD_SEP, constant
+from auditmill.schemas import FINDING, FINDING_ORDER, PHASES, declared
 
 DEPENDENCY_TYPES = ("INSECURE_DEPENDENCY", "HALLUCINATED_PACKAGE")
 
 
 def finding_id() -> Column:
-    key = ("artifact_id", "phase", "position", "rule_ord", "dup")
-    return F.sha2(F.concat_ws(FIELD_SEP, *[F.col(k).cast("string") for k in key]), 256)
+    key = F.expr("array(artifact_id, string(phase), string(position), string(rule_ord), string(dup))")
+    return F.sha2(F.concat_ws(FIELD_SEP, key), 256)
 
 
-def emission_literals(emissions: Iterable, fields: Iterable[str]) -> Column:
+def emission_texts(emissions: Iterable) -> Column:
     """Finding texts as one constant array; rows carry only an index into it until the last projection."""
-    return F.array(*[
-        F.struct(*[F.lit(getattr(e, f)).cast("string").alias(f) for f in fields]) for e in emissions
-    ])
+    fields = ("finding_type", "severity", "rule_id", "description", "remediation_guidance", "cwe_mapping")
+    schema = f"array<struct<{', '.join(f'{f}: string' for f in fields)}>>"
+    return constant([{f: getattr(e, f) for f in fields} for e in emissions], schema)
 
 
 def as_findings(rows: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
     """Cast to the declared findings schema, adding the deterministic id; `extra` columns stay behind it."""
     full = rows.withColumn("finding_id", finding_id())
-    return full.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FINDING.fields], *extra)
+    return full.selectExpr(*declared(FINDING), *extra)
 
 
 def union_findings(*parts: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from auditmill.functions.text import constant
 from auditmill.operators.risk import high_or_critical, risk_facts, risky_dependencies
 
 # Gate texts.
@@ -17,7 +18,7 @@ WARN_SCORE = 20
 
 
 def _texts(*values: str) -> Column:
-    return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
+    return constant(values, "array<string>")
 
 
 def _block_if(condition: Column, otherwise: str = "WARN") -> Column:

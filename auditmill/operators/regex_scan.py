@@ -7,12 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditmill.functions.text import any_match, context_free, explode_lines, java_pattern, strip
-from auditmill.operators.findings import as_findings, emission_literals
+from auditmill.functions.text import any_match, constant, context_free, explode_lines, java_pattern, strip
+from auditmill.operators.findings import as_findings, emission_texts
 from auditmill.rules import Ruleset, ruleset
 from auditmill.sources.artifacts import code_artifacts
 
-_TEXT_FIELDS = ("finding_type", "severity", "rule_id", "description", "remediation_guidance", "cwe_mapping")
 _KEEP = ("artifact_id", "artifact_seq", "filename", "source")
 
 
@@ -34,16 +33,15 @@ def scan_lines(
         code = code.where(any_match(F.col("content"), patterns))
     lines = explode_lines(code, (*_KEEP, *extra)).where(any_match(F.col("line"), patterns))
     hits = F.array(*[F.when(F.col("line").rlike(p), F.lit(n)) for n, p in enumerate(patterns)])
-    texts = emission_literals([r.emits[0] for _, r in numbered], _TEXT_FIELDS)
-    ordinals = F.array(*[F.lit(i) for i, _ in numbered])
+    texts = emission_texts(r.emits[0] for _, r in numbered)
+    ordinals = constant([i for i, _ in numbered], "array<int>")
     rows = lines.select(*_KEEP, *extra, "line_no", "line", F.explode(F.array_compact(hits)).alias("hit"))
-    rows = rows.select(
-        "artifact_id", "artifact_seq",
-        F.col("filename").alias("artifact_filename"), F.col("source").alias("artifact_source"), "line_no",
-        F.get(texts, F.col("hit")).alias("text"),
-        F.get(ordinals, F.col("hit")).alias("rule_ord"),
-        F.concat(F.lit(f"{catalog.location_label} "), F.col("line_no").cast("string")).alias("location"),
-        strip(F.col("line")).alias("evidence_snippet"),
-        F.lit(1).alias("phase"), F.col("line_no").alias("position"), F.lit(0).alias("dup"), *extra,
+    rows = rows.withColumns({
+        "text": F.get(texts, F.col("hit")), "rule_ord": F.get(ordinals, F.col("hit")),
+        "evidence_snippet": strip(F.col("line")),
+    }).selectExpr(
+        "artifact_id", "artifact_seq", "filename AS artifact_filename", "source AS artifact_source", "line_no",
+        f"concat('{catalog.location_label} ', line_no) AS location", "evidence_snippet", "rule_ord",
+        "1 AS phase", "line_no AS position", "0 AS dup", "text.*", *extra,
     )
-    return as_findings(rows.select("*", "text.*").drop("text"), extra)
+    return as_findings(rows, extra)

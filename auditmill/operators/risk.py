@@ -7,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditmill.functions.scoring import FINDING_TYPES, SEVERITIES, severity_weight
-
-_FACTS = ("kind", "severity", "finding_type", "status")
-
+from auditmill.functions.scoring import DEPENDENCY_STATUSES, FINDING_TYPES, SEVERITIES, severity_weight
 
 def risk_facts(
     findings: DataFrame,
@@ -23,27 +20,28 @@ def risk_facts(
     The tables are stacked and aggregated once: no join between the inputs, and a hot group shrinks in the map-side
     half of the aggregate. Without keys the row is there even when every input is empty.
     """
-    nothing = F.lit(None).cast("string")
 
     def measured(df: DataFrame, kind: str, have: Sequence[str]) -> DataFrame:
-        return df.select(*keys, F.lit(kind).alias("kind"),
-                         *[(F.col(c) if c in have else nothing).alias(c) for c in _FACTS[1:]])
+        facts = [c if c in have else f"CAST(NULL AS STRING) AS {c}" for c in ("severity", "finding_type", "status")]
+        return df.selectExpr(*keys, f"'{kind}' AS kind", *facts)
 
     rows = measured(findings, "finding", ("severity", "finding_type"))
     if dependencies is not None:
         rows = rows.unionByName(measured(dependencies, "dependency", ("status",)))
     if artifacts is not None:
         rows = rows.unionByName(measured(artifacts, "artifact", ()))
-    severity, kind, status = F.col("severity"), F.col("finding_type"), F.col("status")
+
+    def tally(column: str, values: Sequence[str], prefix: str = "") -> list[Column]:
+        return [F.expr(f"count_if({column} = '{v}') AS `{prefix}{v}`") for v in values]
+
     return rows.groupBy(*keys).agg(
-        F.count_if(F.col("kind") == "artifact").alias("artifacts"),
-        F.count_if(F.col("kind") == "finding").alias("findings"),
-        F.count_if(F.col("kind") == "dependency").alias("dependencies"),
-        F.coalesce(F.sum(severity_weight(severity)), F.lit(0)).cast("bigint").alias("total_risk_score"),
-        *[F.count_if(severity == s).alias(s) for s in SEVERITIES],
-        *[F.count_if(kind == t).alias(t) for t in FINDING_TYPES],
-        F.count_if(kind == "HARDCODED_SECRET").alias("HARDCODED_SECRET"),
-        *[F.count_if(status == s).alias(f"dep_{s}") for s in ("ALLOW", "DENY", "UNKNOWN", "HALLUCINATED")],
+        F.expr("count_if(kind = 'artifact') AS artifacts"),
+        F.expr("count_if(kind = 'finding') AS findings"),
+        F.expr("count_if(kind = 'dependency') AS dependencies"),
+        F.coalesce(F.sum(severity_weight(F.col("severity"))), F.lit(0)).cast("bigint").alias("total_risk_score"),
+        *tally("severity", SEVERITIES),
+        *tally("finding_type", (*FINDING_TYPES, "HARDCODED_SECRET")),
+        *tally("status", (*DEPENDENCY_STATUSES, "HALLUCINATED"), "dep_"),
     )
 
 

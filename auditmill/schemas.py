@@ -7,6 +7,11 @@ def _fields(*pairs):
     return T.StructType([T.StructField(name, kind, True) for name, kind in pairs])
 
 
+def declared(schema: T.StructType) -> list[str]:
+    """Select list that casts every column to its declared type."""
+    return [f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields]
+
+
 S, L, I = T.StringType(), T.LongType(), T.IntegerType()
 
 ARTIFACT = _fields(

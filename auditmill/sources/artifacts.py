@@ -47,26 +47,24 @@ def artifacts_from(rows: DataFrame, *, source: str | None = None, variant: str =
     """
     have = set(rows.columns)
 
-    def given(name: str, default: Column, kind: str) -> Column:
-        return F.coalesce(F.col(name).cast(kind), default) if name in have else default.cast(kind)
-
-    filename = given("filename", F.lit(SNIPPET_NAME), "string")
-    tag = F.lit(source) if source is not None else given("source", F.lit("UNKNOWN"), "string")
-    if variant == "doc":
-        language = language_by_extension(F.col("filename"))
-    else:
-        language = given("language", F.lit("python"), "string")
-    base = rows.select(
-        given("artifact_seq", F.lit(0), "bigint").alias("artifact_seq"),
-        filename.alias("filename"),
-        tag.alias("source"),
-        given("created_at", F.current_timestamp(), "timestamp").alias("created_at"),
+    def given(name: str, kind: str, default: str) -> str:
+        return f"{f'coalesce(CAST({name} AS {kind}), {default})' if name in have else default} AS {name}"
+
+    if source is not None:
+        rows, have = rows.withColumn("source", F.lit(source)), have | {"source"}
+    base = rows.selectExpr(
+        given("artifact_seq", "BIGINT", "0L"),
+        given("filename", "STRING", f"'{SNIPPET_NAME}'"),
+        given("source", "STRING", "'UNKNOWN'"),
+        given("created_at", "TIMESTAMP", "current_timestamp()"),
+        given("language", "STRING", "'python'"),
         "content",
-        *(["language"] if "language" in have and variant != "doc" else []),
-    ).withColumn("content_hash", F.sha2(F.col("content"), 256))
-    identity = F.concat_ws(FIELD_SEP, "filename", "source", "content_hash", F.col("artifact_seq").cast("string"))
-    base = base.withColumns({"artifact_id": F.sha2(identity, 256), "language": language})
-    return base.select(*ARTIFACT.fieldNames())
+        "sha2(content, 256) AS content_hash",
+    )
+    if variant == "doc":
+        base = base.withColumn("language", language_by_extension(F.col("filename")))
+    identity = F.concat_ws(FIELD_SEP, "filename", "source", "content_hash", "artifact_seq")
+    return base.withColumn("artifact_id", F.sha2(identity, 256)).select(*ARTIFACT.fieldNames())
 
 
 def split_invalid(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from auditmill.functions.scoring import SOURCE_TAGS
+from auditmill.functions.text import constant
 from auditmill.sources.artifacts import artifacts_from
 
 # One derived file holds the lines of one key within one block of ids, so its size has a bound at any scale.
@@ -27,48 +29,40 @@ def document_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return artifacts_from(rows)
 
 
-def _code_line() -> Column:
-    event, digest = F.col("event_id").cast("string"), F.md5(F.col("event_id").cast("string"))
-
-    def text(*parts) -> Column:
-        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-
-    # The 24 line templates, by event_id modulo 24.
-    templates = [
-        text("x", event, " = ", event),
-        text('api_key = "', digest, '"'),
-        text('ACCESS = "AKIA', F.upper(F.substring(digest, 1, 16)), '"'),
-        text('password = "p@', F.substring(digest, 1, 10), '"'),
-        text('query = f"SELECT * FROM t WHERE id = {x}"'),
-        text('h = hashlib.md5(b"', event, '").hexdigest()'),
-        text('eval("x")'),
-        text("model.eval()"),
-        text('subprocess.run("ls", shell=True)'),
-        text("obj = pickle.loads(blob)"),
-        text('exec("y = 1")'),
-        text('subprocess.run(["ls"], shell=False)'),
-        text('sp.run("ls", shell=True)'),
-        text("obj = json.loads(blob)"),
-        text('# eval("x") in a comment'),
-        text('password = "short"'),
-        text('token = "abc"'),
-        text('hashlib.sha256(b"x")'),
-        text('query = f"select name from t where id = {x}"'),
-        text('query = "SELECT * FROM t WHERE id = %s"'),
-        text('pwd = "', digest, '"'),
-        text('password = "', digest, '"'),
-        text("f = eval"),
-        text("g = builtins.eval"),
-    ]
-    line = F.lit(None).cast("string")
-    for r, template in reversed(list(enumerate(templates))):
-        line = F.when(F.col("event_id") % len(templates) == r, template).otherwise(line)
-    return line
+# The 24 line templates, by event_id modulo 24 (m = MD5 of the event id as text).
+CODE_LINE = """
+CASE event_id % 24
+  WHEN 0 THEN concat('x', event_id, ' = ', event_id)
+  WHEN 1 THEN concat('api_key = "', m, '"')
+  WHEN 2 THEN concat('ACCESS = "AKIA', upper(left(m, 16)), '"')
+  WHEN 3 THEN concat('password = "p@', left(m, 10), '"')
+  WHEN 4 THEN 'query = f"SELECT * FROM t WHERE id = {x}"'
+  WHEN 5 THEN concat('h = hashlib.md5(b"', event_id, '").hexdigest()')
+  WHEN 6 THEN 'eval("x")'
+  WHEN 7 THEN 'model.eval()'
+  WHEN 8 THEN 'subprocess.run("ls", shell=True)'
+  WHEN 9 THEN 'obj = pickle.loads(blob)'
+  WHEN 10 THEN 'exec("y = 1")'
+  WHEN 11 THEN 'subprocess.run(["ls"], shell=False)'
+  WHEN 12 THEN 'sp.run("ls", shell=True)'
+  WHEN 13 THEN 'obj = json.loads(blob)'
+  WHEN 14 THEN '# eval("x") in a comment'
+  WHEN 15 THEN 'password = "short"'
+  WHEN 16 THEN 'token = "abc"'
+  WHEN 17 THEN 'hashlib.sha256(b"x")'
+  WHEN 18 THEN 'query = f"select name from t where id = {x}"'
+  WHEN 19 THEN 'query = "SELECT * FROM t WHERE id = %s"'
+  WHEN 20 THEN concat('pwd = "', m, '"')
+  WHEN 21 THEN concat('password = "', m, '"')
+  WHEN 22 THEN 'f = eval'
+  WHEN 23 THEN 'g = builtins.eval'
+END
+"""
 
 
 def _joined_lines(position: str) -> Column:
     """Lines of one bounded group, ordered, as one text."""
-    ordered = F.array_sort(F.collect_list(F.struct(position, "line")))
+    ordered = F.sort_array(F.collect_list(F.struct(position, "line")))
     return F.array_join(F.transform(ordered, lambda s: s["line"]), "\n")
 
 
@@ -76,14 +70,14 @@ def code_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One Python file per user and id block, one line per event; every 17th user's files do not parse."""
     files = (
         table(spark, sf_dir, "events")
-        .select("user_id", "event_id", "ts", F.expr(f"event_id DIV {LINES_PER_FILE}").alias("block"),
-                _code_line().alias("line"))
+        .withColumn("m", F.md5(F.col("event_id").cast("string")))
+        .selectExpr("user_id", "event_id", "ts", f"event_id DIV {LINES_PER_FILE} AS block", f"{CODE_LINE} AS line")
         .groupBy("user_id", "block")
         .agg(_joined_lines("event_id").alias("body"), F.min("ts").alias("created_at"))
     )
     user = F.col("user_id").cast("string")
     suffix = F.when(F.col("block") == 0, "").otherwise(F.concat(F.lit("_"), F.col("block").cast("string")))
-    tags = F.array(*[F.lit(t) for t in ("COPILOT", "CLAUDE", "AGENT", "UNKNOWN")])
+    tags = constant(list(SOURCE_TAGS), "array<string>")
     rows = files.select(
         (F.col("block") * BLOCK_STRIDE + F.col("user_id")).alias("artifact_seq"),
         F.concat(F.lit("u"), user, suffix, F.lit(".py")).alias("filename"),
@@ -104,7 +98,7 @@ MANIFESTS = ("requirements.txt", "pyproject.toml", "package.json")
 
 def dep_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One manifest per brand, dialect and id block; one entry per part."""
-    name = F.get(F.array(*[F.lit(p) for p in PACKAGES]), (F.col("p_partkey") % 16).cast("int"))
+    name = F.get(constant(PACKAGES, "array<string>"), (F.col("p_partkey") % 16).cast("int"))
     version = F.concat(F.col("p_size").cast("string"), F.lit(".0.0"))
     entry = (
         F.when(F.col("kind") == 0, F.when(F.col("p_partkey") % 5 == 0, F.concat(name, F.lit(">="), version, F.lit(" # note")))
@@ -120,15 +114,15 @@ def dep_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("p_brand", "kind", "block")
         .agg(_joined_lines("p_partkey").alias("body"))
     )
-    heads = F.array(F.lit("# comment\n\n"), F.lit("dependencies = [\n"), F.lit('"dependencies": {\n'))
-    tails = F.array(F.lit(""), F.lit("\n]"), F.lit("\n}"))
+    heads = constant(["# comment\n\n", "dependencies = [\n", '"dependencies": {\n'], "array<string>")
+    tails = constant(["", "\n]", "\n}"], "array<string>")
     folder = F.when(F.col("block") == 0, F.col("p_brand")).otherwise(
         F.concat_ws("/", "p_brand", F.col("block").cast("string")))
     brand_no = F.regexp_extract("p_brand", r"(\d+)", 1).cast("bigint")
     kind = F.col("kind").cast("int")
     rows = files.select(
         (F.col("block") * BLOCK_STRIDE + brand_no * 3 + kind).alias("artifact_seq"),
-        F.concat_ws("/", folder, F.get(F.array(*[F.lit(m) for m in MANIFESTS]), kind)).alias("filename"),
+        F.concat_ws("/", folder, F.get(constant(MANIFESTS, "array<string>"), kind)).alias("filename"),
         F.lit("UNKNOWN_DEPENDENCY_FILE").alias("source"),
         F.concat(F.get(heads, kind), "body", F.get(tails, kind)).alias("content"),
     )
