@@ -121,9 +121,15 @@ def context_free(pattern: str) -> bool:
     return not _CONTEXT_SENSITIVE.search(_CLASS_OR_ESCAPE.sub("x", pattern))
 
 
-def any_match(col: Column, patterns: Sequence[str]) -> Column:
-    """One alternation over all patterns (already in Java form), each with its own inline flags."""
-    return col.rlike("|".join(f"(?:{p})" for p in patterns))
+def any_match(col: Column, patterns: Sequence[str], opens: str | None = None) -> Column:
+    """One alternation over all patterns (already in Java form), each with its own inline flags.
+
+    `opens` is the body of a character class that every match begins with; testing it first skips most positions.
+    """
+    alternation = "|".join(f"(?:{p})" for p in patterns)
+    if opens:
+        return col.rlike(f"(?=[{opens}])(?:{alternation})")
+    return col.rlike(alternation)
 
 
 def row_digest(columns: Sequence[str]) -> Column:

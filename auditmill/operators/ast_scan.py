@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from auditmill.functions.text import any_match
 from auditmill.operators.findings import as_findings, emission_texts
 from auditmill.rules import Ruleset, ruleset
 from auditmill.sources.artifacts import code_artifacts
@@ -39,7 +40,7 @@ def may_hit(content: Column, catalog: Ruleset) -> Column:
     """
     if catalog.tokens is None:
         return F.lit(True)
-    return content.rlike("[^\\x00-\\x7f]|" + "|".join(catalog.tokens))
+    return any_match(content, [r"[^\x00-\x7f]", *catalog.tokens], r"[^\x00-\x7f]" + "".join(t[0] for t in catalog.tokens))
 
 
 def scan_trees(
@@ -58,15 +59,15 @@ def scan_trees(
     catalog = ruleset(rules)
     code = artifacts.where(F.col("language") == "python") if catalog.python_only else artifacts
     code = code_artifacts(code)
-    if not report_errors:
-        code = code.where(may_hit(F.col("content"), catalog))
+    parsed = code if report_errors else code.where(may_hit(F.col("content"), catalog))
     worker = _tree_worker(catalog, report_errors, 1 if once_per_content else len(_OWNER))
     hit_schema = ", ".join(f"{n} {t}" for n, t, _ in _HIT_FIELDS)
     if not once_per_content:
         owner_schema = "artifact_id string, artifact_seq bigint, filename string, source string"
-        return code.select(*_OWNER, "content").mapInArrow(worker, f"{owner_schema}, {hit_schema}")
-    distinct = code.select("content_hash", "content").distinct()
+        return parsed.select(*_OWNER, "content").mapInArrow(worker, f"{owner_schema}, {hit_schema}")
+    distinct = parsed.select("content_hash", "content").distinct()
     hits = distinct.mapInArrow(worker, f"content_hash string, {hit_schema}")
+    # The owners' side names no content: from a stored artifact table it reads ids and hashes only.
     return code.select("content_hash", *_OWNER).join(hits, "content_hash").drop("content_hash")
 
 

@@ -30,7 +30,11 @@ def gate_plan(
 ) -> DataFrame:
     """Five gates in plan order. With `keys` (columns of every input) there is one plan per group, and `artifacts`
     brings in groups without any finding."""
-    facts = risk_facts(findings, dependencies, artifacts, keys)
+    return plan_from_facts(risk_facts(findings, dependencies, artifacts, keys), keys)
+
+
+def plan_from_facts(facts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The five gates of each facts row."""
     secrets = F.col("SECRET") > 0
     gates = [
         ("CI_SECURITY", _texts("SAST Scanner", "Dependency Scanner"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditmill.functions.text import any_match, constant, context_free, explode_lines, java_pattern, strip
@@ -21,17 +21,25 @@ def scan_lines(
     """Findings of the line rules over code artifacts. Narrow from scan to output: no shuffle, no Python.
     `extra` artifact columns (an event time, a project) travel along behind the finding columns.
 
-    `prefilter` drops whole contents without any match before they are split into lines; it applies only when every
-    pattern is free of anchors and look-around, where the result is provably the same.
+    `prefilter` tests the rules' hints on whole contents before they are split into lines, then on lines. The test on
+    contents applies only when every hint is free of anchors and look-around, where the result is provably the same.
     """
     catalog = ruleset(rules)
     code = artifacts.where(F.col("language") == "python") if catalog.python_only else artifacts
     code = code_artifacts(code)
     numbered = catalog.line_rules
     patterns = [java_pattern(r.pattern) for _, r in numbered]
-    if prefilter and all(context_free(r.pattern) for _, r in numbered):
-        code = code.where(any_match(F.col("content"), patterns))
-    lines = explode_lines(code, (*_KEEP, *extra)).where(any_match(F.col("line"), patterns))
+    first_look = [r.hint.pattern if r.hint else r.pattern for _, r in numbered]
+    opens = "".join(r.hint.opens for _, r in numbered) if all(r.hint for _, r in numbered) else None
+
+    def promising(column: str) -> Column:
+        return any_match(F.col(column), [java_pattern(p) for p in first_look], opens)
+
+    if prefilter and all(map(context_free, first_look)):
+        code = code.where(promising("content"))
+    lines = explode_lines(code, (*_KEEP, *extra))
+    if prefilter:
+        lines = lines.where(promising("line"))
     hits = F.array(*[F.when(F.col("line").rlike(p), F.lit(n)) for n, p in enumerate(patterns)])
     texts = emission_texts(r.emits[0] for _, r in numbered)
     ordinals = constant([i for i, _ in numbered], "array<int>")

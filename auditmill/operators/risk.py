@@ -45,6 +45,12 @@ def risk_facts(
     )
 
 
+def merge_facts(facts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Facts of a whole from the facts of its parts (batches, partitions, days): every measure adds up."""
+    measures = [c for c in facts.columns if c not in keys]
+    return facts.groupBy(*keys).agg(*[F.expr(f"CAST(coalesce(sum(`{c}`), 0) AS BIGINT) AS `{c}`") for c in measures])
+
+
 def high_or_critical() -> Column:
     return (F.col("CRITICAL") + F.col("HIGH")) > 0
 

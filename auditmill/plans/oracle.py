@@ -537,3 +537,5 @@ put("package_size", f"{CODE},{DEPS}{AUDITED},{DOCUMENTS}", """SELECT n AS total_
   CASE WHEN n >= 1048576 THEN printf('%.2f MB', n / 1048576) ELSE printf('%.2f KB', n / 1024) END AS size_text
   FROM (SELECT CAST(sum(octet_length(encode(content))) AS BIGINT) AS n FROM
     (SELECT content FROM audited UNION ALL SELECT content FROM doc_artifacts))""")
+
+ORACLE["stream_secret_findings"] = ORACLE["secret_findings_documents"]

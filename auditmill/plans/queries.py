@@ -26,7 +26,8 @@ from auditmill.operators.regex_scan import scan_lines
 from auditmill.plans.audit import all_findings, joined_gate_plan, package_size, run_audit
 from auditmill.rules import CORE, Rule, ruleset
 from auditmill.sources import corpora
-from auditmill.sources.artifacts import inventory, is_manifest, language_by_extension, pasted_snippets
+from auditmill.sources.artifacts import inventory, language_by_extension, pasted_snippets, route
+from auditmill.streaming.arrivals import drained
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -88,8 +89,7 @@ def artifact_language(spark, sf):
 
 @query
 def artifact_routing(spark, sf):
-    route = F.when(is_manifest(), "dependency_scan").when(F.col("language") == "python", "code_scan").otherwise("none")
-    return corpora.audit_corpus(spark, sf).select("artifact_seq", "filename", route.alias("route"))
+    return corpora.audit_corpus(spark, sf).select("artifact_seq", "filename", route().alias("route"))
 
 
 @query
@@ -201,6 +201,16 @@ def rule_catalog(spark, sf):
     return risk.rule_hits(rule_table(spark), found)
 
 
+@query
+def stream_secret_findings(spark, sf):
+    """The line scan over documents arriving as a stream; the sink's table equals the batch result."""
+    arrivals = spark.readStream.schema(corpora.table(spark, sf, "documents").schema).option(
+        "pathGlobFilter", "documents.parquet"
+    ).parquet(sf)
+    found = scan_lines(corpora.documents_as_artifacts(arrivals))
+    return drained(found, "stream_secret_findings").select("finding_id", *FINDING_COLUMNS)
+
+
 # --- Dependencies ---------------------------------------------------------------------------------------------------
 
 

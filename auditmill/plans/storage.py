@@ -25,7 +25,11 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write once, read many: cuts the lineage, survives executor loss, and lets later reads prune columns."""
+    """Write once, read many: cuts the lineage, survives executor loss, and lets later reads prune columns.
+
+    Scan output is small against the contents it comes from; the rebalance packs it into files of the advisory size
+    (and splits hot partitions) instead of one tiny file per scan task.
+    """
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.hint("rebalance").write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

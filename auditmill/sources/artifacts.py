@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from auditmill.functions.text import FIELD_SEP, LINE_BREAK, java_pattern, strip
@@ -92,20 +93,43 @@ def pasted_snippets(rows: DataFrame) -> DataFrame:
     )
 
 
-def is_manifest() -> Column:
-    return has_suffix(F.col("filename"))
+CODE_ROUTE, MANIFEST_ROUTE, NO_ROUTE = "code_scan", "dependency_scan", "none"
 
 
-def is_code() -> Column:
-    return (F.col("language") == "python") & ~is_manifest()
+def route() -> Column:
+    """Which scan an artifact goes to: manifests by suffix, then everything whose language is python."""
+    return (
+        F.when(has_suffix(F.col("filename")), MANIFEST_ROUTE)
+        .when(F.col("language") == "python", CODE_ROUTE)
+        .otherwise(NO_ROUTE)
+    )
 
 
 def code_artifacts(artifacts: DataFrame) -> DataFrame:
-    return artifacts.where(is_code())
+    if "route" in artifacts.columns:
+        return artifacts.where(F.col("route") == CODE_ROUTE)
+    return artifacts.where((F.col("language") == "python") & ~has_suffix(F.col("filename")))
 
 
 def manifest_artifacts(artifacts: DataFrame) -> DataFrame:
-    return artifacts.where(is_manifest())
+    if "route" in artifacts.columns:
+        return artifacts.where(F.col("route") == MANIFEST_ROUTE)
+    return artifacts.where(has_suffix(F.col("filename")))
+
+
+def store_artifacts(artifacts: DataFrame, path: str) -> DataFrame:
+    """Write the artifact table partitioned by route and read it back.
+
+    Scans then open only their own route's files, and everything that needs ids or hashes but no content (joins by
+    content hash, inventory, manifest, scores) reads only those columns.
+    """
+    artifacts.withColumn("route", route()).write.partitionBy("route").parquet(path)
+    return read_artifacts(artifacts.sparkSession, path)
+
+
+def read_artifacts(spark: SparkSession, path: str) -> DataFrame:
+    schema = T.StructType([*ARTIFACT.fields, T.StructField("route", T.StringType())])
+    return spark.read.schema(schema).parquet(path)
 
 
 def inventory(artifacts: DataFrame, *, legacy: bool = False) -> DataFrame:

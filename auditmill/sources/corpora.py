@@ -18,9 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def document_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document, whole text, as one artifact."""
-    rows = table(spark, sf_dir, "documents").select(
+def documents_as_artifacts(documents: DataFrame) -> DataFrame:
+    rows = documents.select(
         F.col("doc_id").alias("artifact_seq"),
         F.concat(F.lit("documents/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("filename"),
         "source",
@@ -29,6 +28,11 @@ def document_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return artifacts_from(rows)
 
 
+def document_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, whole text, as one artifact."""
+    return documents_as_artifacts(table(spark, sf_dir, "documents"))
+
+
 # The 24 line templates, by event_id modulo 24 (m = MD5 of the event id as text).
 CODE_LINE = """
 CASE event_id % 24

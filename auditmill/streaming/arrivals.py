@@ -1,18 +1,18 @@
-"""Structured Streaming entry: arriving artifact files, stateless scans, windowed counts, gate refresh."""
+"""Structured Streaming entry: arriving artifacts, stateless scans, windowed counts, gate refresh."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from auditmill.operators.dependencies import analyze_dependencies
-from auditmill.operators.gates import gate_plan
+from auditmill.operators.gates import plan_from_facts
 from auditmill.operators.regex_scan import scan_lines
-from auditmill.plans.audit import run_audit
-from auditmill.schemas import ARTIFACT, DEPENDENCY, FINDING
+from auditmill.operators.risk import merge_facts, risk_facts
+from auditmill.plans.audit import all_findings
+from auditmill.operators.dependencies import analyze_dependencies
+from auditmill.plans.storage import new_path
+from auditmill.schemas import ARTIFACT
 
 
 def arriving_artifacts(spark: SparkSession, path: str, *, files_per_trigger: int | None = None, fmt: str = "parquet") -> DataFrame:
@@ -24,18 +24,52 @@ def arriving_artifacts(spark: SparkSession, path: str, *, files_per_trigger: int
 
 
 def new_contents(artifacts: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Drop contents seen before within `delay`; state is bounded by the watermark."""
+    """Drop contents already seen within `delay`; the watermark bounds the state."""
     return artifacts.withWatermark("created_at", delay).dropDuplicatesWithinWatermark(["content_hash"])
 
 
 def severity_counts(artifacts: DataFrame, window: str = "1 hour", delay: str = "1 hour") -> DataFrame:
-    """Line findings per tumbling window of artifact creation time and severity."""
+    """Line findings per tumbling window of artifact creation time and severity. Works on batch and stream input."""
     timed = artifacts.withWatermark("created_at", delay)
-    findings = scan_lines(timed.withColumn("filename", F.col("filename"))).select("artifact_id", "severity")
-    return _windowed(timed, findings, window)
+    counts = scan_lines(timed, extra=["created_at"]).groupBy(F.window("created_at", window).alias("w"), "severity").count()
+    return counts.select(F.col("w.start").alias("window_start"), "severity", F.col("count").alias("finding_count"))
+
+
+def audit_arrivals(artifacts: DataFrame, out_dir: str, checkpoint: str, *, available_now: bool = False) -> StreamingQuery:
+    """Scan every micro-batch with the batch operators and keep findings, dependencies and facts per batch.
+
+    A retried batch overwrites its own folder, so results are exactly once.
+    """
+
+    def scan_batch(batch: DataFrame, batch_id: int) -> None:
+        findings_path, dependencies_path = (f"{out_dir}/{t}/batch_id={batch_id}" for t in ("findings", "dependencies"))
+        spark = batch.sparkSession
+        findings, dependencies = all_findings(batch), analyze_dependencies(batch)
+        findings.write.mode("overwrite").parquet(findings_path)
+        dependencies.write.mode("overwrite").parquet(dependencies_path)
+        # Facts come from the written tables, not from a second scan.
+        facts = risk_facts(
+            spark.read.schema(findings.schema).parquet(findings_path),
+            spark.read.schema(dependencies.schema).parquet(dependencies_path),
+        )
+        facts.write.mode("overwrite").parquet(f"{out_dir}/facts/batch_id={batch_id}")
+
+    writer = artifacts.writeStream.foreachBatch(scan_batch).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def current_gate_plan(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Gate plan over everything that has arrived, from one facts row per batch."""
+    return plan_from_facts(merge_facts(spark.read.parquet(f"{out_dir}/facts").drop("batch_id")))
 
 
-def _windowed(timed: DataFrame, findings: DataFrame, window: str) -> DataFrame:
-    return findings.join(timed.select("artifact_id", "created_at"), "artifact_id").groupBy(
-        F.window("created_at", window).alias("w"), "severity"
-    ).count()
+def drained(stream: DataFrame, label: str) -> DataFrame:
+    """Run a stateless stream over what is available now into a Parquet sink in the shared folder, and read that."""
+    spark = stream.sparkSession
+    path = new_path(spark, label)
+    query = (
+        stream.writeStream.format("parquet").option("path", f"{path}/table")
+        .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{path}/table")
