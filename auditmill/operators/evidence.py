@@ -36,7 +36,9 @@ def inputs_hash(artifacts: DataFrame) -> DataFrame:
         .sortWithinPartitions("content_hash")
         .mapInArrow(_pack, "first string, block binary, copies bigint")
     )
-    return packed.repartition(1).sortWithinPartitions("first").mapInArrow(_fold, "inputs_hash string")
+    # One empty block, so that an empty input has the digest of empty text.
+    start = artifacts.sparkSession.range(1).selectExpr("'' AS first", "CAST('' AS BINARY) AS block", "1L AS copies")
+    return start.unionByName(packed).repartition(1).sortWithinPartitions("first").mapInArrow(_fold, "inputs_hash string")
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

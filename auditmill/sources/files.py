@@ -20,7 +20,10 @@ _MEMBER_SCHEMA = "path string, filename string, content string, error_class stri
 
 
 def read_uploads(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(rows `filename, content`, quarantine): strict UTF-8, one row per file, whole contents."""
+    """(rows `filename, content`, quarantine): strict UTF-8, one row per file, whole contents.
+
+    Spark's file listing leaves files of zero bytes out, so those make no row here (empty archive members do).
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
