@@ -43,7 +43,8 @@ def scan_lines(
     hits = F.array(*[F.when(F.col("line").rlike(p), F.lit(n)) for n, p in enumerate(patterns)])
     texts = emission_texts(r.emits[0] for _, r in numbered)
     ordinals = constant([i for i, _ in numbered], "array<int>")
-    rows = lines.select(*_KEEP, *extra, "line_no", "line", F.explode(F.array_compact(hits)).alias("hit"))
+    # One slot per rule, empty ones dropped behind the generator: array functions would leave generated code.
+    rows = lines.select(*_KEEP, *extra, "line_no", "line", F.explode(hits).alias("hit")).where("hit IS NOT NULL")
     rows = rows.withColumns({
         "text": F.get(texts, F.col("hit")), "rule_ord": F.get(ordinals, F.col("hit")),
         "evidence_snippet": strip(F.col("line")),
