@@ -27,8 +27,9 @@ def inputs_hash(artifacts: DataFrame) -> DataFrame:
     """SHA-256 over the concatenation of all sorted content hashes, copies included.
 
     Copies are counted before the shuffle; hashes are range-sorted in parallel and packed into blocks. A plain SHA-256
-    is sequential by definition, so its last step streams the packed blocks through one running digest: constant
-    memory, nothing collected. `inputs_hash_tree` has no sequential step.
+    is sequential by definition, so its last step streams the packed blocks through one running digest, in constant
+    memory. Use it to compare with manifests that hold this value; `inputs_hash_tree` has no sequential step and is
+    the digest for very large runs.
     """
     counts = artifacts.groupBy("content_hash").agg(F.count("*").alias("copies"))
     packed = (
@@ -120,21 +121,24 @@ def outputs_hash(reports: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFram
     return parts.agg(F.sha2(chain, 256).alias("outputs_hash"))
 
 
-def manifest_header(inputs: DataFrame, outputs: DataFrame, *, team: str = TEAM, app_version: str = APP_VERSION) -> DataFrame:
-    """One row; the run id follows from the two hashes, so a rerun over equal data names the same run.
+def manifest_header(*digests: DataFrame, team: str = TEAM, app_version: str = APP_VERSION) -> DataFrame:
+    """One manifest row over one-row digest tables (`inputs_hash`, `inputs_hash_tree`, `outputs_hash`; a missing one
+    is null). The run id follows from the digests, so a rerun over equal data names the same run.
 
     `parser_version` records the Python grammar the syntax-tree scan used.
     """
-    both = inputs.select(F.col("inputs_hash"), F.lit(None).cast("string").alias("outputs_hash")).unionByName(
-        outputs.select(F.lit(None).cast("string").alias("inputs_hash"), F.col("outputs_hash"))
-    )
-    merged = both.agg(F.max("inputs_hash").alias("inputs_hash"), F.max("outputs_hash").alias("outputs_hash"))
+    names = ("inputs_hash", "inputs_hash_tree", "outputs_hash")
+    rows = None
+    for digest in digests:
+        row = digest.selectExpr(*[c if c in digest.columns else f"CAST(NULL AS STRING) AS {c}" for c in names])
+        rows = row if rows is None else rows.unionByName(row)
+    merged = rows.agg(*[F.max(c).alias(c) for c in names])
     return merged.select(
-        F.sha2(F.concat("inputs_hash", "outputs_hash"), 256).alias("run_id"),
+        F.sha2(F.concat_ws("", F.coalesce("inputs_hash", "inputs_hash_tree"), "outputs_hash"), 256).alias("run_id"),
         F.current_timestamp().alias("generated_at"),
         F.lit(team).alias("team_or_user"),
         F.lit(app_version).alias("app_version"),
-        "inputs_hash", "outputs_hash",
+        *names,
         F.lit(f"{sys.version_info.major}.{sys.version_info.minor}").alias("parser_version"),
         F.lit(__version__).alias("engine_version"),
     )

@@ -20,6 +20,7 @@ from auditmill.schemas import DEPENDENCY_FIELDS, FINDING_FIELDS, FINDING_ORDER
 
 GATE_COLUMNS = ("gate_ord", "gate_type", "tools", "required_checks", "failure_action", "owner_role", "evidence_required")
 SUMMARY_COLUMNS = ("section", "ord", "key", "value")
+PLAIN_HASH_LIMIT = 50_000_000  # artifacts; 64 bytes each through one running digest
 
 
 @dataclass(frozen=True)
@@ -115,8 +116,15 @@ def write_reports(audit: Audit, out_dir: str, *, ordered: bool = False, fmt: str
     audit.scan_errors.write.format(fmt).save(f"{out_dir}/scan_errors")
 
 
-def write_manifest(audit: Audit, out_dir: str, *, fmt: str = "json", **identity: str) -> None:
-    header = evidence.manifest_header(audit.inputs_hash, audit.outputs_hash, **identity)
+def write_manifest(
+    audit: Audit, out_dir: str, *, fmt: str = "json", plain_limit: int = PLAIN_HASH_LIMIT, **identity: str
+) -> None:
+    """Header row and artifact list. The plain inputs hash, sequential by definition, is left null beyond
+    `plain_limit` artifacts; the tree digest covers the inputs at any size."""
+    digests = [evidence.inputs_hash_tree(audit.artifacts), audit.outputs_hash]
+    if audit.artifacts.count() <= plain_limit:
+        digests.append(audit.inputs_hash)
+    header = evidence.manifest_header(*digests, **identity)
     header.coalesce(1).write.format(fmt).save(f"{out_dir}/_manifest/header")
     evidence.manifest_artifacts_table(audit.artifacts).write.format(fmt).save(f"{out_dir}/_manifest/artifacts")
 

@@ -485,6 +485,13 @@ def outputs_hash(spark, sf):
     return run_audit(corpora.audit_corpus(spark, sf)).outputs_hash
 
 
+@query
+def evidence_manifest(spark, sf):
+    audit = run_audit(corpora.audit_corpus(spark, sf))
+    header = evidence.manifest_header(audit.inputs_hash, evidence.inputs_hash_tree(audit.artifacts), audit.outputs_hash)
+    return header.select("run_id", "team_or_user", "app_version", "inputs_hash", "inputs_hash_tree", "outputs_hash")
+
+
 @query
 def evidence_manifest_artifacts(spark, sf):
     return evidence.manifest_artifacts_table(corpora.audit_corpus(spark, sf))

@@ -151,3 +151,9 @@ def test_detail_and_filters(audit):
     assert fd.drop_repeated(audit.findings).count() == 11
     assert {r.phase_name: r.new_findings for r in fd.findings_by_phase(audit.findings).collect()} == {
         "regex": 5, "ast": 5, "dependency": 3}
+
+
+def test_out_of_domain_rows_are_quarantined(audit):
+    odd = audit.findings.withColumn("severity", F.expr("IF(rule_id = 'SECRET_AWS_KEY', 'SEVERE', IF(rule_id = 'DEP_DENYLISTED', NULL, severity))"))
+    good, bad = fd.split_by_domain(odd)
+    assert good.count() == 11 and sorted(r.message for r in bad.collect()) == ["INSECURE_DEPENDENCY", "SEVERE/SECRET"]

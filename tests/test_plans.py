@@ -8,7 +8,7 @@ from auditmill.operators import risk
 from auditmill.operators.ast_scan import scan_tree_findings
 from auditmill.operators.dependencies import analyze_dependencies
 from auditmill.operators.regex_scan import scan_lines
-from auditmill.plans.audit import all_findings, run_audit, write_package
+from auditmill.plans.audit import all_findings, run_audit, write_manifest, write_package
 from auditmill.plans.queries import QUERIES
 from auditmill.schemas import DEPENDENCY_FIELDS, FINDING_FIELDS
 from auditmill.sources.artifacts import store_artifacts
@@ -31,6 +31,9 @@ def test_package(spark, make, tmp_path):
     assert [g.failure_action for g in gates] == ["BLOCK"] * 5 and gates[0].tools == ["SAST Scanner", "Dependency Scanner"]
     header = spark.read.json(f"{target}/_manifest/header").first()
     assert header.team_or_user == "team x" and header.inputs_hash == audit.inputs_hash.first()[0]
+    write_manifest(audit, str(tmp_path / "large"), plain_limit=5)
+    large = spark.read.json(str(tmp_path / "large" / "_manifest" / "header")).first()
+    assert "inputs_hash" not in large and large.inputs_hash_tree == header.inputs_hash_tree and large.run_id
     assert spark.read.json(f"{target}/_manifest/artifacts").count() == 6
     bodies = {r.filename: (r.content, r.source) for r in spark.read.parquet(f"{target}/artifacts").collect()}
     assert bodies == {name: (content, source) for name, content, source in FILES}
@@ -71,7 +74,7 @@ def test_narrow_scans_have_no_exchange(make, tmp_path):
         assert "Exchange" not in plan_of(df)
 
 
-STORED = ("executive_summary", "outputs_hash", "stream_secret_findings")
+STORED = ("executive_summary", "evidence_manifest", "outputs_hash", "stream_secret_findings")
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in STORED])
