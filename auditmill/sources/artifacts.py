@@ -60,12 +60,14 @@ def artifacts_from(rows: DataFrame, *, source: str | None = None, variant: str =
         given("created_at", "TIMESTAMP", "current_timestamp()"),
         given("language", "STRING", "'python'"),
         "content",
-        "sha2(content, 256) AS content_hash",
+        # Declared non-null, so that joins and groupings on digests add no null test that would hash contents again.
+        "coalesce(sha2(content, 256), '') AS content_hash",
     )
     if variant == "doc":
         base = base.withColumn("language", language_by_extension(F.col("filename")))
     identity = F.concat_ws(FIELD_SEP, "filename", "source", "content_hash", "artifact_seq")
-    return base.withColumn("artifact_id", F.sha2(identity, 256)).select(*ARTIFACT.fieldNames())
+    digest = F.coalesce(F.sha2(identity, 256), F.lit(""))
+    return base.withColumn("artifact_id", digest).select(*ARTIFACT.fieldNames())
 
 
 def split_invalid(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

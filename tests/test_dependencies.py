@@ -1,5 +1,11 @@
 """Manifest dialects, classification precedence, variants and dependency queries."""
 
+import re
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from auditmill import policy
 from auditmill.operators.dependencies import (
     analyze_dependencies,
     classify,
@@ -86,3 +92,31 @@ def test_real_sample_four(make):
     deps = analyze_dependencies(make({"requirements.txt": text}))
     assert [(r.severity, r.finding_type) for r in dependency_findings(deps).orderBy("line_no").collect()] == [
         ("HIGH", "INSECURE_DEPENDENCY")] + [("MEDIUM", "HALLUCINATED_PACKAGE")] * 3
+
+
+PIECES = st.lists(st.sampled_from(
+    ["a", "Flask", "numpy", "x-pro", "-", ".", "_", "==", ">=", "~", "!=", " ", "\t", '"', ":", ",", "#", "1.0", "^2", "[x]", "/", "é", "{",
+     "}", "'", "\u00a0", "\x1f"]), max_size=9).map("".join)
+
+
+def brute(name, text, chosen):
+    for n, line in enumerate(text.splitlines(), start=1):
+        line = line.strip()
+        for dialect in chosen.dialects:
+            if line and line[0] != "#" and name.endswith(dialect.suffix) and (dialect.marker or "") in text:
+                match = re.match(dialect.pattern, line)
+                if match and match.group(1):
+                    version = match.group(dialect.version_group)
+                    package = match.group(1) if chosen.keep_name_case else match.group(1).lower()
+                    yield (name, n, package, version if version or chosen.null_version else "", line)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(PIECES, max_size=15), min_size=3, max_size=30), st.sampled_from(["core", "doc"]))
+def test_parsing_equals_brute_force(make, files, variant):
+    heads = ("", "dependencies = [\n", '"dependencies": {\n')
+    kinds = ("requirements.txt", "pyproject.toml", "package.json")
+    files = [(f"{n}/{kinds[n % 3]}", heads[n % 3] + "\n".join(lines), "UNKNOWN") for n, lines in enumerate(files)]
+    expected = [row for name, text, _ in files for row in brute(name, text, policy.policy(variant))]
+    got = parse_manifests(make(files), variant).select("source_file", "line_no", "name", "version_spec", "entry").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, expected))

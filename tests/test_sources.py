@@ -2,8 +2,11 @@
 
 import hashlib
 import io
+import re
 import zipfile
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from auditmill.sources.artifacts import artifacts_from, inventory, pasted_snippets, split_invalid
@@ -90,6 +93,22 @@ def test_sniffer(spark):
     assert {r.content: r.filename for r in pasted_snippets(df).collect()} == SNIFFED
 
 
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.sampled_from(["a==1", "b >= 2", "# c", "", "  ", "x = 1", "print(x)", "\u00a0d~=3", "\x0c", "-r x"]), max_size=6),
+                min_size=5, max_size=40))
+def test_sniffer_equals_brute_force(spark, texts):
+    texts = [t for t in {"\n".join(lines) for lines in texts} if t] or ["a==1"]
+
+    def name(text):
+        lines = [x.strip() for x in text.strip().splitlines()]
+        lines = [x for x in lines if x and x[0] != "#"]
+        hits = [x for x in lines if re.match(r"[a-zA-Z0-9_\-\.]+\s*[<>=!~]+", x)]
+        return "requirements.txt" if lines and len(hits) / len(lines) > 0.5 else "snippet.py"
+
+    df = spark.createDataFrame([(t,) for t in texts], "content string")
+    assert {r.content: r.filename for r in pasted_snippets(df).collect()} == {t: name(t) for t in texts}
+
+
 def test_inventory(spark):
     df = spark.createDataFrame([("a.py", "x", "CLAUDE")], "filename string, content string, source string")
     df = artifacts_from(df.withColumn("created_at", F.lit("2024-03-05 06:07:08").cast("timestamp")))
