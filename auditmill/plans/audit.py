@@ -86,11 +86,18 @@ def run_audit(
     *,
     store: bool = True,
     once_per_content: bool = True,
+    report_errors: bool = True,
 ) -> Audit:
     """Scan everything once. With `store`, scan results are written to the shared folder, since every later output
-    reads them again; one tree pass then serves both findings and parse errors."""
+    reads them again; one tree pass then serves both findings and parse errors. Several passes read `artifacts`, so
+    hand in a stored table (`store_artifacts`) when it is costly to derive.
+
+    Without `report_errors`, only contents that may hold a sink are parsed: same findings, an empty error table.
+    """
     keep = stored if store else (lambda df, label: df)
-    trees = keep(scan_trees(artifacts, rules, once_per_content=once_per_content), "tree_scan")
+    trees = scan_trees(artifacts, rules, once_per_content=once_per_content, report_errors=report_errors)
+    if report_errors:
+        trees = keep(trees, "tree_scan")
     dependencies = keep(analyze_dependencies(artifacts, packages), "dependencies")
     findings = keep(
         union_findings(

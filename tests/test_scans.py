@@ -163,3 +163,22 @@ def test_hot_content_is_parsed_once(spark, make):
     parsed = code_artifacts(artifacts).select("content_hash", "content").distinct()
     assert parsed.count() == 600  # c1.py holds the hot content too
     assert scan_tree_findings(artifacts).groupBy("artifact_id").agg(F.count("*").alias("n")).where("n <> 2").count() == 0
+
+
+def test_hot_content_join_is_split(spark, make):
+    """Files that share one content with hits: the join back splits their partition instead of piling them up."""
+    files = [(f"hot{n}.py", "eval('1')", "UNKNOWN") for n in range(6000)] + [(f"c{n}.py", f"eval('x{n}')", "UNKNOWN") for n in range(9000)]
+    settings_ = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    try:
+        for key, value in settings_.items():
+            spark.conf.set(key, value)
+        found = scan_tree_findings(make(files, partitions=16))
+        assert len(found.collect()) == 2 * 15000
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings_:
+            spark.conf.unset(key)
