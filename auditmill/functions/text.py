@@ -126,6 +126,8 @@ def any_match(col: Column, patterns: Sequence[str], opens: str | None = None) ->
 
     `opens` is the body of a character class that every match begins with; testing it first skips most positions.
     """
+    if not patterns:
+        return F.lit(False)
     alternation = "|".join(f"(?:{p})" for p in patterns)
     if opens:
         return col.rlike(f"(?=[{opens}])(?:{alternation})")

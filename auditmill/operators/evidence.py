@@ -80,8 +80,9 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([digest.hexdigest()], pa.string())], ["inputs_hash"])
 
 
-def digest_tree(digests: DataFrame, name: str) -> DataFrame:
-    """One row: root of a three-level tree over a column of row digests named `digest`, as a multiset.
+def digest_tree(digests: DataFrame, name: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Root of a three-level tree over a column of row digests named `digest`, as a multiset; one row, or one row per
+    group of `keys`.
 
     Equal digests collapse to `digest:count` in the map-side half of the first aggregate. The prefix fan-outs are
     fixed (16^5 leaves, 16^2 branches, one root), so no group grows beyond N / 16^5 distinct digests.
@@ -89,15 +90,16 @@ def digest_tree(digests: DataFrame, name: str) -> DataFrame:
 
     def level(df: DataFrame, prefix: int | None, out: str) -> DataFrame:
         joined = F.sha2(F.array_join(F.sort_array(F.collect_list("entry")), ""), 256)
-        if prefix is None:
-            return df.agg(joined.alias(out))
-        return df.groupBy(F.substring("entry", 1, prefix).alias("prefix")).agg(joined.alias(out))
+        parts = [] if prefix is None else [F.substring("entry", 1, prefix).alias("prefix")]
+        return df.groupBy(*keys, *parts).agg(joined.alias(out))
 
-    counted = digests.groupBy("digest").agg(F.count("*").alias("n"))
-    entries = counted.select(F.concat_ws(":", "digest", F.col("n").cast("string")).alias("entry"))
-    leaves = level(entries, LEAF_PREFIX, "digest").select(F.concat_ws(":", "prefix", "digest").alias("entry"))
-    branches = level(leaves, BRANCH_PREFIX, "digest").select(F.concat_ws(":", "prefix", "digest").alias("entry"))
-    return level(branches, None, name)
+    def entries(df: DataFrame, left: str, right: str) -> DataFrame:
+        return df.select(*keys, F.concat_ws(":", left, F.col(right).cast("string")).alias("entry"))
+
+    counted = digests.groupBy(*keys, "digest").agg(F.count("*").alias("n"))
+    leaves = level(entries(counted, "digest", "n"), LEAF_PREFIX, "leaf")
+    branches = level(entries(leaves, "prefix", "leaf"), BRANCH_PREFIX, "branch")
+    return level(entries(branches, "prefix", "branch"), None, name)
 
 
 def inputs_hash_tree(artifacts: DataFrame) -> DataFrame:
@@ -110,15 +112,16 @@ def dataset_digest(df: DataFrame, columns: Sequence[str], name: str = "dataset_h
 
 
 def outputs_hash(reports: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
-    """Hash of the report digests in the given order (findings, dependencies, gate plan, summary)."""
-    parts = None
+    """Hash of the report digests in the given order (findings, dependencies, gate plan, summary); one tree pass
+    serves all reports."""
+    rows = None
     for n, (df, columns) in enumerate(reports):
-        part = dataset_digest(df, columns).withColumn("n", F.lit(n))
-        parts = part if parts is None else parts.unionByName(part)
-    # One row per report.
-    chain = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "dataset_hash"))),
-                                     lambda s: s["dataset_hash"]), "")
-    return parts.agg(F.sha2(chain, 256).alias("outputs_hash"))
+        part = df.select(F.lit(n).alias("report"), row_digest(columns).alias("digest"))
+        rows = part if rows is None else rows.unionByName(part)
+    roots = digest_tree(rows, "root", ["report"])
+    empty = F.sha2(F.lit("").cast("binary"), 256)
+    chain = [F.coalesce(F.max(F.when(F.col("report") == n, F.col("root"))), empty) for n in range(len(reports))]
+    return roots.agg(F.sha2(F.concat(*chain), 256).alias("outputs_hash"))
 
 
 def manifest_header(*digests: DataFrame, team: str = TEAM, app_version: str = APP_VERSION) -> DataFrame:

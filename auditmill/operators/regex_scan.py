@@ -40,7 +40,7 @@ def scan_lines(
     lines = explode_lines(code, (*_KEEP, *extra))
     if prefilter:
         lines = lines.where(promising("line"))
-    hits = F.array(*[F.when(F.col("line").rlike(p), F.lit(n)) for n, p in enumerate(patterns)])
+    hits = F.array(*[F.when(F.col("line").rlike(p), F.lit(n)) for n, p in enumerate(patterns)]).cast("array<int>")
     texts = emission_texts(r.emits[0] for _, r in numbered)
     ordinals = constant([i for i, _ in numbered], "array<int>")
     # One slot per rule, empty ones dropped behind the generator: array functions would leave generated code.

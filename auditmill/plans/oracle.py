@@ -131,8 +131,15 @@ parsed AS (SELECT * FROM (
     lower({pick(1)}) AS name, {pick(2)} AS version_spec FROM dep_entries) WHERE name <> '')"""
 
 
+def naming_sql(policy) -> str:
+    return "|".join([f"{s}$" for s in policy.suffixes] + [f"^{p}-" for p in policy.prefixes])
+
+
+NAMING = naming_sql(CORE_POLICY)
+
+
 def classified_sql(policy=CORE_POLICY) -> str:
-    naming = "|".join([f"{s}$" for s in policy.suffixes] + [f"^{p}-" for p in policy.prefixes])
+    naming = naming_sql(policy)
     deny = ", ".join(map(text, policy.denylist))
     allow = ", ".join(map(text, policy.allowlist))
     return f"""{parsed_sql()},
@@ -343,6 +350,12 @@ _CLASSIFIED = """SELECT artifact_id, source_file, CAST(line_no AS INTEGER) AS li
 put("dep_classification", f"{DEPS},{classified_sql()}", _CLASSIFIED)
 put("dep_classification_notebook", f"{DEPS},{classified_sql(NOTEBOOK_POLICY)}", _CLASSIFIED)
 put("dep_classification_doc", f"{DEPS},{PARSED_DOC}", _CLASSIFIED)
+put("dep_classification_policy_table", f"""{DEPS},{parsed_sql()},
+policy AS (SELECT ['requests', 'numpy', 'pandas', 'left-pad', 'shodan', 'boto3'][p_partkey % 6 + 1] AS name,
+  bool_or(p_partkey % 6 >= 4 AND p_size > 25) AS denied FROM part GROUP BY 1),
+listed AS (SELECT p.*, CASE WHEN denied THEN 'DENY' WHEN NOT denied THEN 'ALLOW' ELSE 'UNKNOWN' END AS status
+  FROM parsed p LEFT JOIN policy USING (name)),
+deps AS (SELECT *, status = 'UNKNOWN' AND regexp_matches(name, '{NAMING}') AS suspicious FROM listed)""", _CLASSIFIED)
 put("dependency_report", f"{DEPS},{classified_sql()}", """SELECT artifact_id, CAST(line_no AS INTEGER) AS line_no, name,
   version_spec, source_file, status, risk_notes FROM dep_report""")
 put("dependency_findings", f"{DEPS},{classified_sql()},{dep_findings_sql()}", f"SELECT {LINE_ID}, {FINDING_COLUMNS} FROM dep_findings")

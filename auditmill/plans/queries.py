@@ -15,6 +15,7 @@ from auditmill.operators import findings as fd
 from auditmill.operators.ast_scan import scan_errors, scan_tree_findings
 from auditmill.operators.dependencies import (
     analyze_dependencies,
+    classify,
     dependencies_view,
     dependency_findings,
     dependency_risk_summary,
@@ -38,9 +39,14 @@ FINDING_TEXT = (
 FINDING_COLUMNS = ("artifact_id", "artifact_filename", "artifact_source", *FINDING_TEXT, "phase", "line_no", "rule_ord", "dup")
 
 
-def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(name: str | None = None):
+    """Register a query under its own name, or under `name` where an operator has taken it."""
+
+    def register(fn):
+        QUERIES[name or fn.__name__] = fn
+        return fn
+
+    return register
 
 
 def _findings(spark, sf):
@@ -69,7 +75,7 @@ def _doc_tables(spark, sf):
 # --- Sources and routing --------------------------------------------------------------------------------------------
 
 
-@query
+@query()
 def artifact_inventory(spark, sf):
     preview = F.concat(F.substring("content_hash", 1, 16), F.lit("..."))
     return corpora.document_artifacts(spark, sf).select(
@@ -77,27 +83,27 @@ def artifact_inventory(spark, sf):
     )
 
 
-@query
+@query()
 def code_artifact_inventory(spark, sf):
     return inventory(corpora.code_corpus(spark, sf))
 
 
-@query
+@query()
 def code_artifact_inventory_legacy(spark, sf):
     return inventory(corpora.code_corpus(spark, sf), legacy=True)
 
 
-@query
+@query()
 def artifact_language(spark, sf):
     return _doc_corpus(spark, sf).select("artifact_seq", "filename", "language")
 
 
-@query
+@query()
 def artifact_routing(spark, sf):
     return corpora.audit_corpus(spark, sf).select("artifact_seq", "filename", route().alias("route"))
 
 
-@query
+@query()
 def sniffed_filename(spark, sf):
     turns = corpora.conversation_snippets(spark, sf).select(
         F.concat_ws("/", F.lit("turn"), "conv_id", "turn").alias("snippet_id"), "content"
@@ -109,7 +115,7 @@ def sniffed_filename(spark, sf):
     return pasted.select("snippet_id", "filename", F.sha2("content", 256).alias("content_hash"))
 
 
-@query
+@query()
 def artifact_lines(spark, sf):
     return explode_lines(corpora.document_artifacts(spark, sf), ["artifact_seq"])
 
@@ -117,54 +123,51 @@ def artifact_lines(spark, sf):
 # --- Scans ----------------------------------------------------------------------------------------------------------
 
 
-@query
+@query()
 def secret_findings_documents(spark, sf):
     return scan_lines(corpora.document_artifacts(spark, sf)).select("finding_id", *FINDING_COLUMNS)
 
 
-@query
+@query()
 def regex_findings(spark, sf):
     return scan_lines(corpora.code_corpus(spark, sf)).select("finding_id", *FINDING_COLUMNS)
 
 
-@query
+@query()
 def regex_findings_notebook(spark, sf):
     return scan_lines(corpora.code_corpus(spark, sf), "notebook").select(*FINDING_COLUMNS)
 
 
-@query
+@query()
 def regex_findings_doc(spark, sf):
     return scan_lines(_doc_corpus(spark, sf), "doc").select(*FINDING_COLUMNS)
 
 
-@query
+@query()
 def ast_findings(spark, sf):
     return scan_tree_findings(corpora.code_corpus(spark, sf)).select(*FINDING_COLUMNS)
 
 
-@query
+@query()
 def ast_findings_in_place(spark, sf):
     return scan_tree_findings(corpora.code_corpus(spark, sf), once_per_content=False).select(*FINDING_COLUMNS)
 
 
-@query
+@query()
 def ast_findings_dedup(spark, sf):
     return fd.drop_repeated(scan_tree_findings(corpora.code_corpus(spark, sf))).select(*FINDING_COLUMNS)
 
 
-@query
+@query()
 def ast_findings_doc(spark, sf):
     return scan_tree_findings(_doc_corpus(spark, sf), "doc").select(*FINDING_COLUMNS)
 
 
-@query
+@query("scan_errors")
 def scan_error_rows(spark, sf):
     return scan_errors(corpora.code_corpus(spark, sf)).select("artifact_id", "stage", "error_class")
 
 
-QUERIES["scan_errors"] = QUERIES.pop("scan_error_rows")
-
-
 def _aliased_shell(node: ast.AST) -> bool:
     """Any `<name>.run(..., shell=True)` other than subprocess.run."""
     match node:
@@ -180,7 +183,7 @@ CUSTOM_RULES = (
 )
 
 
-@query
+@query()
 def custom_rule_findings(spark, sf):
     rules = CORE.with_rules(*CUSTOM_RULES)
     corpus = corpora.code_corpus(spark, sf)
@@ -199,14 +202,14 @@ def rule_table(spark: SparkSession, name: str = "core") -> DataFrame:
     return table.select("rule_id", "detection_method", "severity", by_id.alias("finding_type"), "cwe_mapping")
 
 
-@query
+@query()
 def rule_catalog(spark, sf):
     corpus = corpora.code_corpus(spark, sf)
     found = fd.union_findings(scan_lines(corpus), scan_tree_findings(corpus))
     return risk.rule_hits(rule_table(spark), found)
 
 
-@query
+@query()
 def stream_secret_findings(spark, sf):
     """The line scan over documents arriving as a stream; the sink's table equals the batch result."""
     arrivals = spark.readStream.schema(corpora.table(spark, sf, "documents").schema).option(
@@ -224,17 +227,17 @@ def _parsed(spark, sf, suffix):
     return rows.select("artifact_id", "source_file", "line_no", "name", "version_spec")
 
 
-@query
+@query()
 def dep_parse_requirements(spark, sf):
     return _parsed(spark, sf, "requirements.txt")
 
 
-@query
+@query()
 def dep_parse_pyproject(spark, sf):
     return _parsed(spark, sf, "pyproject.toml")
 
 
-@query
+@query()
 def dep_parse_package_json(spark, sf):
     return _parsed(spark, sf, "package.json")
 
@@ -245,130 +248,129 @@ def _classified(spark, sf, packages):
     )
 
 
-@query
+@query()
 def dep_classification(spark, sf):
     return _classified(spark, sf, "core")
 
 
-@query
+@query()
 def dep_classification_notebook(spark, sf):
     return _classified(spark, sf, "notebook")
 
 
-@query
+@query()
 def dep_classification_doc(spark, sf):
     return _classified(spark, sf, "doc")
 
 
-@query
+@query()
+def dep_classification_policy_table(spark, sf):
+    """Lists kept as a table with repeated rows, derived from the parts: the join form of the classification."""
+    policy_table = corpora.table(spark, sf, "part").selectExpr(
+        "element_at(array('requests', 'numpy', 'pandas', 'left-pad', 'shodan', 'boto3'), CAST(p_partkey % 6 AS INT) + 1) AS name",
+        "IF(p_partkey % 6 < 4, 'ALLOW', IF(p_size > 25, 'DENY', 'ALLOW')) AS status",
+    )
+    rows = classify(parse_manifests(corpora.dep_corpus(spark, sf)), policy_table=policy_table)
+    return rows.select("artifact_id", "source_file", "line_no", "name", "version_spec", "status", "suspicious")
+
+
+@query()
 def dependency_report(spark, sf):
     return _dependencies(spark, sf).select(
         "artifact_id", "line_no", "name", "version_spec", "source_file", "status", "risk_notes"
     )
 
 
-@query
+@query("dependency_findings")
 def dependency_finding_rows(spark, sf):
     return fd.dependency_related(dependency_findings(_dependencies(spark, sf))).select("finding_id", *FINDING_COLUMNS)
 
 
-QUERIES["dependency_findings"] = QUERIES.pop("dependency_finding_rows")
-
-
-@query
+@query()
 def dependency_findings_doc(spark, sf):
     return dependency_findings(_dependencies(spark, sf, "doc"), "doc").select(*FINDING_COLUMNS)
 
 
-@query
+@query("hallucinated_packages")
 def hallucinated_package_names(spark, sf):
     return hallucinated_packages(dependency_findings(_dependencies(spark, sf)))
 
 
-QUERIES["hallucinated_packages"] = QUERIES.pop("hallucinated_package_names")
-
-
-@query
+@query()
 def dependencies_filtered(spark, sf):
     deps = _dependencies(spark, sf)
     return dependencies_view(deps, dependency_findings(deps), ["UNKNOWN", "DENY"])
 
 
-@query
+@query()
 def dependencies_hallucinated(spark, sf):
     deps = _dependencies(spark, sf)
     return dependencies_view(deps, dependency_findings(deps), only_hallucinated=True)
 
 
-@query
+@query()
 def dependency_facets(spark, sf):
     return fd.facets(_dependencies(spark, sf), ["status"])
 
 
-@query
+@query("dependency_risk_summary")
 def dependency_risk_totals(spark, sf):
     deps = _dependencies(spark, sf)
     return dependency_risk_summary(deps, dependency_findings(deps), ["UNKNOWN"])
 
 
-QUERIES["dependency_risk_summary"] = QUERIES.pop("dependency_risk_totals")
-
-
 # --- Findings -------------------------------------------------------------------------------------------------------
 
 
-@query
+@query("all_findings")
 def all_finding_rows(spark, sf):
     return _findings(spark, sf).select(*FINDING_COLUMNS)
 
 
-QUERIES["all_findings"] = QUERIES.pop("all_finding_rows")
-
-
-@query
+@query()
 def finding_artifact_lookup(spark, sf):
     """Filenames looked up in an inventory that lacks the manifests: their findings show N/A."""
     looked_up = fd.with_filename(_findings(spark, sf), corpora.code_corpus(spark, sf))
     return looked_up.select("artifact_id", "artifact_filename", "rule_id", "line_no", "dup")
 
 
-@query
+@query()
 def findings_by_phase(spark, sf):
     return fd.findings_by_phase(_findings(spark, sf))
 
 
-@query
+@query()
 def findings_filtered(spark, sf):
     chosen = fd.filter_findings(_findings(spark, sf), ["CRITICAL", "MEDIUM"], ["SECRET", "UNSAFE_CRYPTO", "HALLUCINATED_PACKAGE"])
     return fd.findings_view(chosen)
 
 
-@query
+@query()
 def findings_wide(spark, sf):
     return fd.findings_view(_findings(spark, sf), wide=True)
 
 
-@query
+@query()
 def finding_detail(spark, sf):
     return fd.finding_detail(fd.filter_findings(_findings(spark, sf), ["HIGH"]), 7)
 
 
-@query
+@query()
 def finding_facets(spark, sf):
     return fd.facets(_findings(spark, sf), ["severity", "finding_type"])
 
 
-@query
+@query()
 def finding_type_breakdown(spark, sf):
     return risk.finding_type_breakdown(_findings(spark, sf))
 
 
-@query
+@query()
 def severity_breakdown(spark, sf):
     return risk.severity_breakdown(_findings(spark, sf))
 
 
-@query
+@query()
 def severity_breakdown_documents(spark, sf):
     return risk.severity_breakdown(scan_lines(corpora.document_artifacts(spark, sf)))
 
@@ -376,12 +378,12 @@ def severity_breakdown_documents(spark, sf):
 _TOP = ("rank", "severity", "finding_type", "rule_id", "description", "artifact_filename", "location", "remediation_guidance")
 
 
-@query
+@query()
 def top_findings(spark, sf):
     return fd.top_findings(_findings(spark, sf)).select(*_TOP)
 
 
-@query
+@query()
 def top_findings_ranked(spark, sf):
     return fd.top_findings(_findings(spark, sf), rank_by="severity_rank").select(*_TOP)
 
@@ -389,55 +391,49 @@ def top_findings_ranked(spark, sf):
 # --- Risk, gates, summary -------------------------------------------------------------------------------------------
 
 
-@query
+@query()
 def total_risk_score(spark, sf):
     return risk.total_risk_score(_findings(spark, sf))
 
 
-@query
+@query()
 def artifact_risk_score(spark, sf):
     corpus = corpora.audit_corpus(spark, sf)
     return risk.artifact_risk_score(corpus, all_findings(corpus))
 
 
-@query
+@query()
 def gate_flags(spark, sf):
     return risk.gate_flags(_findings(spark, sf), _dependencies(spark, sf))
 
 
-@query
+@query("gate_plan")
 def gate_plan_rows(spark, sf):
     return joined_gate_plan(gate_plan(_findings(spark, sf), _dependencies(spark, sf)))
 
 
-QUERIES["gate_plan"] = QUERIES.pop("gate_plan_rows")
-
-
-@query
+@query()
 def gate_plan_by_source(spark, sf):
     corpus = corpora.audit_corpus(spark, sf)
     by_source = [t.withColumnRenamed("artifact_source", "source") for t in (all_findings(corpus), _dependencies(spark, sf))]
     return joined_gate_plan(gate_plan(*by_source, artifacts=corpus, keys=["source"]))
 
 
-@query
+@query()
 def gate_plan_by_artifact(spark, sf):
     corpus = corpora.audit_corpus(spark, sf)
     plan = gate_plan(all_findings(corpus), _dependencies(spark, sf), artifacts=corpus, keys=["artifact_id"])
     return plan.select("artifact_id", "gate_ord", "gate_type", "failure_action")
 
 
-@query
+@query("gate_plan_doc")
 def gate_plan_doc_rows(spark, sf):
     plan = gate_plan_doc(*_doc_tables(spark, sf))
     listed = F.array_sort(F.transform(F.map_entries("details"), lambda e: F.concat_ws("=", e["key"], e["value"])))
     return plan.withColumn("details", F.array_join(listed, ","))
 
 
-QUERIES["gate_plan_doc"] = QUERIES.pop("gate_plan_doc_rows")
-
-
-@query
+@query("gate_details_doc")
 def gate_details_doc_rows(spark, sf):
     rows = gate_details_doc(*_doc_tables(spark, sf))
     return rows.groupBy("gate_type", "detail").agg(
@@ -445,28 +441,22 @@ def gate_details_doc_rows(spark, sf):
     )
 
 
-QUERIES["gate_details_doc"] = QUERIES.pop("gate_details_doc_rows")
-
-
-@query
+@query("gate_status_doc")
 def gate_status_doc_row(spark, sf):
     return gate_status_doc(gate_plan_doc(*_doc_tables(spark, sf)))
 
 
-QUERIES["gate_status_doc"] = QUERIES.pop("gate_status_doc_row")
-
-
-@query
+@query()
 def risk_themes(spark, sf):
     return summary.risk_themes(_findings(spark, sf))
 
 
-@query
+@query()
 def executive_summary(spark, sf):
     return _audit(spark, sf).executive_summary
 
 
-@query
+@query()
 def dashboard_metrics(spark, sf):
     corpus = corpora.audit_corpus(spark, sf)
     return risk.dashboard_metrics(all_findings(corpus), _dependencies(spark, sf), corpus)
@@ -475,36 +465,33 @@ def dashboard_metrics(spark, sf):
 # --- Evidence -------------------------------------------------------------------------------------------------------
 
 
-@query
+@query()
 def inputs_hash(spark, sf):
     return evidence.inputs_hash(corpora.document_artifacts(spark, sf))
 
 
-@query
+@query()
 def inputs_hash_tree(spark, sf):
     return evidence.inputs_hash_tree(corpora.document_artifacts(spark, sf))
 
 
-@query
+@query()
 def outputs_hash(spark, sf):
     return _audit(spark, sf).outputs_hash
 
 
-@query
+@query()
 def evidence_manifest(spark, sf):
     audit = _audit(spark, sf)
     header = evidence.manifest_header(audit.inputs_hash, evidence.inputs_hash_tree(audit.artifacts), audit.outputs_hash)
     return header.select("run_id", "team_or_user", "app_version", "inputs_hash", "inputs_hash_tree", "outputs_hash")
 
 
-@query
+@query()
 def evidence_manifest_artifacts(spark, sf):
     return evidence.manifest_artifacts_table(corpora.audit_corpus(spark, sf))
 
 
-@query
+@query("package_size")
 def package_size_text(spark, sf):
     return package_size(corpora.audit_corpus(spark, sf).unionByName(corpora.document_artifacts(spark, sf)))
-
-
-QUERIES["package_size"] = QUERIES.pop("package_size_text")

@@ -211,7 +211,7 @@ CORE = Ruleset(
         Rule(
             "INJECTION_SQL_FSTRING", "REGEX", "HIGH", *_SQL_TEXT,
             r"""f"\s*(SELECT|INSERT|UPDATE|DELETE|select|insert|update|delete).*\{.*\}""",
-            hint=Hint("f", r"""f"\s*[A-Za-z]{6}.*\{.*\}"""),
+            hint=Hint("f", r"""f"\s*(SELECT|INSERT|UPDATE|DELETE|select|insert|update|delete)"""),
         ),
         _MD5,
         *_TREE_RULES,

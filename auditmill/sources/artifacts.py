@@ -81,11 +81,18 @@ def split_invalid(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def looks_like_manifest(content: Column) -> Column:
-    """More than half of the stripped lines, blanks and comments aside, open with `name operator`."""
-    lines = F.transform(F.split(strip(content), LINE_BREAK, -1), strip)
-    entries = F.filter(lines, lambda s: (s != "") & ~s.startswith("#"))
-    hits = F.filter(entries, lambda s: s.rlike(java_pattern(MANIFEST_LINE)))
-    return (2 * F.size(hits)) > F.size(entries)
+    """More than half of the stripped lines, blanks and comments aside, open with `name operator`.
+
+    One pass over the lines: an entry votes for, another line against; a positive sum is a majority.
+    """
+
+    def vote(line: Column) -> Column:
+        text = strip(line)
+        return (
+            F.when((text == "") | text.startswith("#"), 0).when(text.rlike(java_pattern(MANIFEST_LINE)), 1).otherwise(-1)
+        )
+
+    return F.aggregate(F.split(strip(content), LINE_BREAK, -1), F.lit(0), lambda total, line: total + vote(line)) > 0
 
 
 def pasted_snippets(rows: DataFrame) -> DataFrame:

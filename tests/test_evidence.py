@@ -46,6 +46,7 @@ def test_outputs_hash_is_the_hash_of_digests_in_order(spark):
     one, two = spark.range(3), spark.range(5)
     parts = [evidence.dataset_digest(d, ["id"]).first()[0] for d in (one, two)]
     assert evidence.outputs_hash([(one, ["id"]), (two, ["id"])]).first()[0] == sha("".join(parts))
+    assert evidence.outputs_hash([(one, ["id"]), (one.where("false"), ["id"])]).first()[0] == sha(parts[0] + sha(""))
     assert evidence.outputs_hash([(two, ["id"]), (one, ["id"])]).first()[0] == sha("".join(reversed(parts)))
 
 

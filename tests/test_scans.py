@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from auditmill.operators.ast_scan import scan_errors, scan_tree_findings, scan_trees, tree_errors, tree_findings
 from auditmill.operators.regex_scan import scan_lines
 from auditmill.plans.queries import CUSTOM_RULES
-from auditmill.rules import CORE, RULESETS, Rule
+from auditmill.rules import CORE, RULESETS, Rule, Ruleset
 from auditmill.sources.artifacts import code_artifacts, manifest_artifacts
 from tests.samples import FILES
 
@@ -134,6 +134,13 @@ def test_custom_rules(make):
         ("DANGEROUS_EXEC_ALIASED_SHELL", 4), ("DANGEROUS_EXEC_ASSERT", 3)]
 
 
+def test_catalog_of_one_kind(make):
+    artifacts = make({"a.py": "eval('x')\nhashlib.md5(y)"})
+    for kind, counts in (("line_rules", (1, 0)), ("tree_rules", (0, 2))):
+        rules = Ruleset("one", tuple(r for _, r in getattr(CORE, kind)))
+        assert (scan_lines(artifacts, rules).count(), scan_tree_findings(artifacts, rules).count()) == counts
+
+
 def test_bad_rules_fail_on_the_driver():
     with pytest.raises(ValueError):
         Rule("NOPE_X", "REGEX", "LOW", "d", "r", pattern="x")
