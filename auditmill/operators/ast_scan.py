@@ -39,7 +39,7 @@ def may_hit(content: Column, catalog: Ruleset) -> Column:
     content outside ASCII passes.
     """
     if catalog.tokens is None:
-        return F.lit(True)
+        return content.isNotNull()
     return any_match(content, [r"[^\x00-\x7f]", *catalog.tokens], r"[^\x00-\x7f]" + "".join(t[0] for t in catalog.tokens))
 
 
@@ -59,7 +59,7 @@ def scan_trees(
     catalog = ruleset(rules)
     code = artifacts.where(F.col("language") == "python") if catalog.python_only else artifacts
     code = code_artifacts(code)
-    parsed = code if report_errors else code.where(may_hit(F.col("content"), catalog))
+    parsed = code.where("content IS NOT NULL" if report_errors else may_hit(F.col("content"), catalog))
     worker = _tree_worker(catalog, report_errors, 1 if once_per_content else len(_OWNER))
     hit_schema = ", ".join(f"{n} {t}" for n, t, _ in _HIT_FIELDS)
     if not once_per_content:

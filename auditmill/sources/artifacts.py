@@ -43,7 +43,8 @@ def sample_source_tag(filename: Column) -> Column:
 def artifacts_from(rows: DataFrame, *, source: str | None = None, variant: str = "core") -> DataFrame:
     """Artifact table from rows with `content` and, optionally, filename, source, artifact_seq and created_at.
 
-    Ids are digests, so a retried task yields the same ids. Rows with null content violate the model; route them
+    Ids are digests, so a retried task yields the same ids. Rows equal in filename, source and content share an id
+    unless `artifact_seq` tells them apart (the file sources set it). Rows with null content violate the model; route them
     with `split_invalid` first. `source` tags every row of the run.
     """
     have = set(rows.columns)

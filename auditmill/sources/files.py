@@ -1,38 +1,83 @@
-"""Uploaded files and zip archives as distributed sources."""
+"""Uploaded files and zip archives as distributed sources.
+
+Spark's own file listing leaves out empty files and names that begin with `_` or `.`, so `__init__.py` would be missing
+from an audit. Listing and reading therefore run as Spark jobs over Arrow filesystems (local, HDFS, S3, GCS, ABFS).
+"""
 
 from __future__ import annotations
 
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from auditmill.sources.artifacts import has_suffix
+
 # Accepted upload extensions.
 UPLOAD_SUFFIXES = (".py", ".txt", ".toml", ".json")
-MEMBERS_PER_BATCH = 64
+ARCHIVE_SUFFIX = ".zip"
+ROWS_PER_BATCH = 1024
 BYTES_PER_BATCH = 16 << 20
 
-_MEMBER_SCHEMA = "path string, filename string, content string, error_class string, message string"
+_LISTED = "path string, folder boolean"
+_MEMBERS = "path string, filename string, content string, error_class string, message string"
+
+
+def list_files(spark: SparkSession, location: str) -> DataFrame:
+    """Paths of all files under `location`: its children are listed once, then every child folder in its own task."""
+    uri = re.sub("^s3a:", "s3:", location)
+
+    def children(path: str) -> Iterator[tuple]:
+        system, base = fs.FileSystem.from_uri(uri)
+        for info in system.get_file_info(fs.FileSelector(base)):
+            yield info.path, info.type == fs.FileType.Directory
+
+    def descend(path: str, folder: bool) -> Iterator[tuple]:
+        if not folder:
+            yield path, False
+            return
+        system, _ = fs.FileSystem.from_uri(uri)
+        for info in system.get_file_info(fs.FileSelector(path, recursive=True)):
+            if info.type == fs.FileType.File:
+                yield info.path, False
+
+    top = spark.createDataFrame([(location,)], "path string").mapInArrow(_rows(children, _LISTED), _LISTED)
+    return top.repartition("path").mapInArrow(_rows(descend, _LISTED), _LISTED).select("path")
+
+
+def read_bytes(files: DataFrame, location: str) -> DataFrame:
+    """(path, content) of the listed files, read where the rows are."""
+    uri = re.sub("^s3a:", "s3:", location)
+    schema = "path string, content binary"
+
+    def load(path: str) -> Iterator[tuple]:
+        system, _ = fs.FileSystem.from_uri(uri)
+        with system.open_input_stream(path) as stream:
+            yield path, stream.read()
+
+    return files.repartition("path").mapInArrow(_rows(load, schema), schema)
 
 
-def read_uploads(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(rows `filename, content`, quarantine): strict UTF-8, one row per file, whole contents.
+def read_uploads(spark: SparkSession, location: str) -> tuple[DataFrame, DataFrame]:
+    """(rows `artifact_seq, filename, content`, quarantine): strict UTF-8, one row per file, whole contents.
 
-    Spark's file listing leaves files of zero bytes out, so those make no row here (empty archive members do).
+    The filename is the base name; `artifact_seq` is a digest of the full path, which keeps equal files in different
+    folders apart.
     """
+    wanted = list_files(spark, location).where(has_suffix(F.col("path"), UPLOAD_SUFFIXES))
     files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*{" + ",".join(UPLOAD_SUFFIXES) + "}")
-        .load(path)
+        read_bytes(wanted, location)
         .select("path", F.col("content").cast("string").alias("content"))
         .withColumn("valid", F.is_valid_utf8("content"))
     )
-    rows = files.where("valid").select(F.element_at(F.split("path", "/"), -1).alias("filename"), "content")
+    rows = files.where("valid").select(
+        F.xxhash64("path").alias("artifact_seq"), F.element_at(F.split("path", "/"), -1).alias("filename"), "content"
+    )
     bad = files.where("NOT valid").select(
         "path", F.lit("ingest").alias("stage"), F.lit("UnicodeDecodeError").alias("error_class"),
         F.lit("file is not valid UTF-8").alias("message"),
@@ -40,22 +85,18 @@ def read_uploads(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return rows, bad
 
 
-def read_archives(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(rows `filename, content`, quarantine) over every member of every zip archive under `path`.
+def read_archives(spark: SparkSession, location: str) -> tuple[DataFrame, DataFrame]:
+    """(rows `artifact_seq, filename, content`, quarantine) over every member of every zip archive.
 
     One archive is one input record; its members leave the worker in small batches, and the output is repartitioned
     so that one big archive does not keep its members in one task for the scans that follow.
     """
-    archives = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.zip")
-        .load(path)
-        .select("path", "content")
-    )
-    members = archives.mapInArrow(_fan_out, _MEMBER_SCHEMA)
+    archives = list_files(spark, location).where(F.col("path").endswith(ARCHIVE_SUFFIX))
+    members = read_bytes(archives, location).mapInArrow(_rows(_read_members, _MEMBERS), _MEMBERS)
     # (path, filename) is unique, so copies of one member spread out as well.
-    rows = members.where(F.col("error_class").isNull()).repartition("path", "filename").select("filename", "content")
+    rows = members.where(F.col("error_class").isNull()).repartition("path", "filename").select(
+        F.xxhash64("path", "filename").alias("artifact_seq"), "filename", "content"
+    )
     bad = members.where(F.col("error_class").isNotNull()).select(
         "path", F.lit("ingest").alias("stage"), "error_class", "message"
     )
@@ -79,31 +120,42 @@ def _member_text(raw: bytes) -> str:
     return raw.decode("utf-8", "ignore").replace("\r\n", "\n").replace("\r", "\n")
 
 
-def _read_members(path: str, blob: bytes) -> Iterator[dict]:
+def _read_members(path: str, blob: bytes) -> Iterator[tuple]:
     try:
         with zipfile.ZipFile(io.BytesIO(blob)) as archive:
             # A later member of the same name overwrites an earlier one.
             latest = {_safe_name(m.filename): m for m in archive.infolist() if not m.is_dir()}
             for name, member in latest.items():
                 try:
-                    yield {"path": path, "filename": name, "content": _member_text(archive.read(member))}
+                    yield path, name, _member_text(archive.read(member)), None, None
                 except (RuntimeError, NotImplementedError, zipfile.BadZipFile, EOFError, OSError) as e:
-                    yield {"path": f"{path}!{name}", "error_class": type(e).__name__, "message": str(e)}
+                    yield f"{path}!{name}", name, None, type(e).__name__, str(e)
     except zipfile.BadZipFile as e:
-        yield {"path": path, "error_class": type(e).__name__, "message": str(e)}
-
-
-def _fan_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ("path", "filename", "content", "error_class", "message")
-    schema = pa.schema([(n, pa.string()) for n in names])
-    for batch in batches:
-        for path, blob in zip(batch.column(0), batch.column(1)):
-            rows, held = [], 0
-            for row in _read_members(path.as_py(), blob.as_py()):
-                rows.append(row)
-                held += len(row.get("content") or "")
-                if len(rows) >= MEMBERS_PER_BATCH or held >= BYTES_PER_BATCH:
-                    yield pa.RecordBatch.from_pylist([{n: r.get(n) for n in names} for r in rows], schema)
-                    rows, held = [], 0
-            if rows:
-                yield pa.RecordBatch.from_pylist([{n: r.get(n) for n in names} for r in rows], schema)
+        yield path, None, None, type(e).__name__, str(e)
+
+
+_ARROW_TYPES = {"string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
+
+
+def _rows(expand: Callable[..., Iterable[tuple]], schema: str):
+    """Arrow worker that replaces each input row by the rows `expand(*row)` yields, in batches of bounded size."""
+    fields = pa.schema([(name, _ARROW_TYPES[kind]) for name, kind in (f.split() for f in schema.split(", "))])
+
+    def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush():
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), fields)], schema=fields)
+
+        for batch in batches:
+            for values in zip(*batch.columns):
+                for row in expand(*[v.as_py() for v in values]):
+                    held.append(row)
+                    size += sum(len(v) for v in row if isinstance(v, (str, bytes)))
+                    if len(held) >= ROWS_PER_BATCH or size >= BYTES_PER_BATCH:
+                        yield flush()
+                        held, size = [], 0
+        if held:
+            yield flush()
+
+    return worker

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from auditmill.operators.ast_scan import scan_tree_findings
+from auditmill.operators.dependencies import analyze_dependencies, dependency_findings
+from auditmill.operators.findings import union_findings
 from auditmill.operators.gates import plan_from_facts
 from auditmill.operators.regex_scan import scan_lines
 from auditmill.operators.risk import merge_facts, risk_facts
-from auditmill.plans.audit import all_findings
-from auditmill.operators.dependencies import analyze_dependencies
 from auditmill.plans.storage import new_path
 from auditmill.schemas import ARTIFACT
 
@@ -42,17 +43,17 @@ def audit_arrivals(artifacts: DataFrame, out_dir: str, checkpoint: str, *, avail
     """
 
     def scan_batch(batch: DataFrame, batch_id: int) -> None:
-        findings_path, dependencies_path = (f"{out_dir}/{t}/batch_id={batch_id}" for t in ("findings", "dependencies"))
-        spark = batch.sparkSession
-        findings, dependencies = all_findings(batch), analyze_dependencies(batch)
-        findings.write.mode("overwrite").parquet(findings_path)
-        dependencies.write.mode("overwrite").parquet(dependencies_path)
-        # Facts come from the written tables, not from a second scan.
-        facts = risk_facts(
-            spark.read.schema(findings.schema).parquet(findings_path),
-            spark.read.schema(dependencies.schema).parquet(dependencies_path),
+        def kept(df: DataFrame, name: str) -> DataFrame:
+            path = f"{out_dir}/{name}/batch_id={batch_id}"
+            df.write.mode("overwrite").parquet(path)
+            return df.sparkSession.read.schema(df.schema).parquet(path)
+
+        dependencies = kept(analyze_dependencies(batch), "dependencies")
+        findings = kept(
+            union_findings(scan_lines(batch), scan_tree_findings(batch), dependency_findings(dependencies)), "findings"
         )
-        facts.write.mode("overwrite").parquet(f"{out_dir}/facts/batch_id={batch_id}")
+        # Facts come from the written tables, not from a second scan.
+        kept(risk_facts(findings, dependencies), "facts")
 
     writer = artifacts.writeStream.foreachBatch(scan_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

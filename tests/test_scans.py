@@ -12,7 +12,7 @@ from auditmill.operators.ast_scan import scan_errors, scan_tree_findings, scan_t
 from auditmill.operators.regex_scan import scan_lines
 from auditmill.plans.queries import CUSTOM_RULES
 from auditmill.rules import CORE, RULESETS, Rule, Ruleset
-from auditmill.sources.artifacts import code_artifacts, manifest_artifacts
+from auditmill.sources.artifacts import artifacts_from, code_artifacts, manifest_artifacts
 from tests.samples import FILES
 
 KEY = ("artifact_filename", "rule_id", "line_no", "evidence_snippet", "dup")
@@ -157,6 +157,13 @@ def test_routing(make):
     assert names(manifest_artifacts(artifacts)) == ["c.toml", "d.json", "requirements.txt"]
 
 
+def test_null_content_is_skipped(spark):
+    df = artifacts_from(spark.createDataFrame([("a.py", None), ("b.py", "eval(x)")], "filename string, content string"))
+    for once in (True, False):
+        assert scan_trees(df, once_per_content=once).count() == 2
+    assert scan_lines(df).count() == 0
+
+
 def test_empty_input(make):
     artifacts = make(FILES).where("false")
     assert scan_lines(artifacts).count() == 0 and scan_tree_findings(artifacts).count() == 0 and scan_errors(artifacts).count() == 0

@@ -25,10 +25,16 @@ def test_uploads_are_strict_utf8(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "a.py").write_bytes("x = 'é'\r\n".encode())
     (tmp_path / "sub" / "requirements.txt").write_bytes(b"numpy\n")
+    (tmp_path / "sub" / "empty.toml").write_bytes(b"")
+    (tmp_path / "sub" / "_private dir").mkdir()
+    (tmp_path / "sub" / "_private dir" / "__init__.py").write_bytes(b"y")
+    (tmp_path / ".hidden #1.py").write_bytes(b"z")
     (tmp_path / "bad.json").write_bytes(b"\xff\xfe{}")
     (tmp_path / "note.md").write_bytes(b"ignored")
     rows, bad = read_uploads(spark, str(tmp_path))
-    assert {r.filename: r.content for r in rows.collect()} == {"a.py": "x = 'é'\r\n", "requirements.txt": "numpy\n"}
+    expected = {"a.py": "x = 'é'\r\n", "requirements.txt": "numpy\n", "empty.toml": "", "__init__.py": "y", ".hidden #1.py": "z"}
+    assert {r.filename: r.content for r in rows.collect()} == expected
+    assert {r.filename for r in read_uploads(spark, tmp_path.as_uri())[0].collect()} == set(expected)
     assert [(r.path.rsplit("/", 1)[1], r.error_class) for r in bad.collect()] == [("bad.json", "UnicodeDecodeError")]
 
 
@@ -52,6 +58,19 @@ def test_archives(spark, tmp_path):
     assert everything.count() == 159 and errors.count() == 1
 
 
+def test_equal_files_stay_apart(spark, tmp_path):
+    from auditmill.operators.risk import artifact_risk_score
+    from auditmill.plans.audit import all_findings
+
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "__init__.py").write_text("eval(x)")
+    (tmp_path / "c.zip").write_bytes(zipped([("a/__init__.py", "eval(x)"), ("b/__init__.py", "eval(x)")]))
+    artifacts = artifacts_from(read_any(spark, str(tmp_path))[0])
+    scores = artifact_risk_score(artifacts, all_findings(artifacts)).collect()
+    assert [r.risk_score for r in scores] == [100] * 4 and len({r.artifact_id for r in scores}) == 4
+
+
 def test_defaults_and_ids(spark):
     df = spark.createDataFrame([("a",), ("é\n",)], "content string")
     rows = artifacts_from(df, source="AGENT").collect()
