@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auditmill.functions.text import size_text
@@ -14,11 +14,14 @@ from auditmill.operators.dependencies import analyze_dependencies, dependency_fi
 from auditmill.operators.findings import union_findings
 from auditmill.operators.regex_scan import scan_lines
 from auditmill.plans.storage import new_path, stored
-from auditmill.policy import Policy
-from auditmill.rules import Ruleset
+from auditmill.policy import Policy, policy
+from auditmill.rules import Ruleset, ruleset
 from auditmill.schemas import DEPENDENCY_FIELDS, FINDING_FIELDS, FINDING_ORDER
+from auditmill.sources.artifacts import artifacts_from, split_invalid, store_artifacts
+from auditmill.sources.files import read_any
 
 GATE_COLUMNS = ("gate_ord", "gate_type", "tools", "required_checks", "failure_action", "owner_role", "evidence_required")
+DOC_GATE_COLUMNS = ("gate_ord", "gate_type", "action", "reason", "details")
 SUMMARY_COLUMNS = ("section", "ord", "key", "value")
 PLAIN_HASH_LIMIT = 50_000_000  # artifacts; 64 bytes each through one running digest
 
@@ -31,10 +34,12 @@ class Audit:
     findings: DataFrame
     dependencies: DataFrame
     scan_errors: DataFrame
+    doc_gates: bool = False  # gates of the documentation variant
 
     @property
     def gate_plan(self) -> DataFrame:
-        return gates.gate_plan(self.findings, self.dependencies)
+        plan = gates.gate_plan_doc if self.doc_gates else gates.gate_plan
+        return plan(self.findings, self.dependencies)
 
     @property
     def gate_plan_by_source(self) -> DataFrame:
@@ -57,13 +62,16 @@ class Audit:
         return evidence.outputs_hash([
             (self.findings, FINDING_FIELDS[1:]),  # the id restates the order key
             (self.dependencies, DEPENDENCY_FIELDS),
-            (joined_gate_plan(self.gate_plan), GATE_COLUMNS),
+            (joined_gate_plan(self.gate_plan), DOC_GATE_COLUMNS if self.doc_gates else GATE_COLUMNS),
             (self.executive_summary, SUMMARY_COLUMNS),
         ])
 
 
 def joined_gate_plan(plan: DataFrame, sep: str = "|") -> DataFrame:
-    """Gate rows with list columns joined to text."""
+    """Gate rows with list and map columns joined to text."""
+    if "details" in plan.columns:
+        pairs = F.sort_array(F.transform(F.map_entries("details"), lambda e: F.concat_ws("=", e["key"], e["value"])))
+        return plan.withColumn("details", F.array_join(pairs, ","))
     lists = ("tools", "required_checks", "evidence_required")
     return plan.withColumns({c: F.array_join(c, sep) for c in lists})
 
@@ -105,7 +113,7 @@ def run_audit(
         ),
         "findings",
     )
-    return Audit(artifacts, findings, dependencies, tree_errors(trees))
+    return Audit(artifacts, findings, dependencies, tree_errors(trees), policy(packages).name == "doc")
 
 
 def write_reports(audit: Audit, out_dir: str, *, ordered: bool = False, fmt: str = "json") -> None:
@@ -119,6 +127,9 @@ def write_reports(audit: Audit, out_dir: str, *, ordered: bool = False, fmt: str
     audit.dependencies.select(*DEPENDENCY_FIELDS, "artifact_id", "line_no").write.format(fmt).save(f"{out_dir}/dependencies")
     # Below: at most a few dozen rows each, one output file.
     audit.gate_plan.coalesce(1).write.format(fmt).save(f"{out_dir}/gate_plan")
+    if audit.doc_gates:
+        gates.gate_status_doc(audit.gate_plan).coalesce(1).write.format(fmt).save(f"{out_dir}/gate_status")
+        gates.gate_details_doc(audit.findings, audit.dependencies).write.format(fmt).save(f"{out_dir}/gate_details")
     audit.executive_summary.coalesce(1).write.format(fmt).save(f"{out_dir}/executive_summary")
     audit.scan_errors.write.format(fmt).save(f"{out_dir}/scan_errors")
 
@@ -136,15 +147,40 @@ def write_manifest(
     evidence.manifest_artifacts_table(audit.artifacts).write.format(fmt).save(f"{out_dir}/_manifest/artifacts")
 
 
-def write_package(audit: Audit, out_dir: str | None = None, **identity: str) -> str:
+def write_package(audit: Audit, out_dir: str | None = None, *, bodies: bool = True, **identity: str) -> str:
     """The whole audit package as one directory: artifact bodies by source, reports, manifest."""
     target = out_dir or new_path(audit.artifacts.sparkSession, "package")
-    audit.artifacts.write.partitionBy("source").parquet(f"{target}/artifacts")
+    if bodies:
+        audit.artifacts.write.partitionBy("source").parquet(f"{target}/artifacts")
     write_reports(audit, target)
     write_manifest(audit, target, **identity)
     return target
 
 
+def audit_uploads(
+    spark: SparkSession,
+    location: str,
+    out_dir: str,
+    *,
+    source: str = "UNKNOWN",
+    rules: str | Ruleset = "core",
+    packages: str | Policy = "core",
+    **identity: str,
+) -> Audit:
+    """Files and archives under `location` to a complete package under `out_dir`; one source tag for the run.
+
+    Artifact bodies are stored once, by route, and every scan reads that table; unusable inputs land in `quarantine`.
+    """
+    rows, undecodable = read_any(spark, location)
+    usable, empty = split_invalid(rows)
+    variant = "doc" if ruleset(rules).python_only else "core"
+    artifacts = store_artifacts(artifacts_from(usable, source=source, variant=variant), f"{out_dir}/artifacts")
+    undecodable.unionByName(empty).write.json(f"{out_dir}/quarantine")
+    audit = run_audit(artifacts, rules, packages)
+    write_package(audit, out_dir, bodies=False, **identity)
+    return audit
+
+
 def package_size(artifacts: DataFrame) -> DataFrame:
     """Artifact bytes with their display text."""
     total = artifacts.agg(F.coalesce(F.sum(F.octet_length("content").cast("bigint")), F.lit(0)).cast("bigint").alias("total_bytes"))

@@ -428,9 +428,7 @@ def gate_plan_by_artifact(spark, sf):
 
 @query("gate_plan_doc")
 def gate_plan_doc_rows(spark, sf):
-    plan = gate_plan_doc(*_doc_tables(spark, sf))
-    listed = F.array_sort(F.transform(F.map_entries("details"), lambda e: F.concat_ws("=", e["key"], e["value"])))
-    return plan.withColumn("details", F.array_join(listed, ","))
+    return joined_gate_plan(gate_plan_doc(*_doc_tables(spark, sf)))
 
 
 @query("gate_details_doc")

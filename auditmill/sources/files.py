@@ -21,6 +21,7 @@ from auditmill.sources.artifacts import has_suffix
 # Accepted upload extensions.
 UPLOAD_SUFFIXES = (".py", ".txt", ".toml", ".json")
 ARCHIVE_SUFFIX = ".zip"
+SPREAD_LEVELS = 2
 ROWS_PER_BATCH = 1024
 BYTES_PER_BATCH = 16 << 20
 
@@ -29,25 +30,27 @@ _MEMBERS = "path string, filename string, content string, error_class string, me
 
 
 def list_files(spark: SparkSession, location: str) -> DataFrame:
-    """Paths of all files under `location`: its children are listed once, then every child folder in its own task."""
+    """Paths of all files under `location`. The first levels are listed folder by folder and spread over tasks, the
+    folders found by then recursively."""
     uri = re.sub("^s3a:", "s3:", location)
 
-    def children(path: str) -> Iterator[tuple]:
-        system, base = fs.FileSystem.from_uri(uri)
-        for info in system.get_file_info(fs.FileSelector(base)):
-            yield info.path, info.type == fs.FileType.Directory
-
-    def descend(path: str, folder: bool) -> Iterator[tuple]:
-        if not folder:
-            yield path, False
-            return
-        system, _ = fs.FileSystem.from_uri(uri)
-        for info in system.get_file_info(fs.FileSelector(path, recursive=True)):
-            if info.type == fs.FileType.File:
-                yield info.path, False
-
-    top = spark.createDataFrame([(location,)], "path string").mapInArrow(_rows(children, _LISTED), _LISTED)
-    return top.repartition("path").mapInArrow(_rows(descend, _LISTED), _LISTED).select("path")
+    def lister(recursive: bool):
+        def contents(path: str, folder: bool) -> Iterator[tuple]:
+            if not folder:
+                yield path, False
+                return
+            system, base = fs.FileSystem.from_uri(uri)
+            for info in system.get_file_info(fs.FileSelector(path or base, recursive=recursive)):
+                is_folder = info.type == fs.FileType.Directory
+                if not (recursive and is_folder):
+                    yield info.path, is_folder
+
+        return _rows(contents, _LISTED)
+
+    found = spark.createDataFrame([("", True)], _LISTED)
+    for _ in range(SPREAD_LEVELS):
+        found = found.mapInArrow(lister(False), _LISTED).repartition("path")
+    return found.mapInArrow(lister(True), _LISTED).select("path")
 
 
 def read_bytes(files: DataFrame, location: str) -> DataFrame:

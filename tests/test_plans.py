@@ -8,7 +8,7 @@ from auditmill.operators import risk
 from auditmill.operators.ast_scan import scan_tree_findings
 from auditmill.operators.dependencies import analyze_dependencies
 from auditmill.operators.regex_scan import scan_lines
-from auditmill.plans.audit import all_findings, run_audit, write_manifest, write_package
+from auditmill.plans.audit import all_findings, audit_uploads, run_audit, write_manifest, write_package
 from auditmill.plans.queries import QUERIES
 from auditmill.schemas import DEPENDENCY_FIELDS, FINDING_FIELDS
 from auditmill.sources.artifacts import store_artifacts
@@ -39,6 +39,32 @@ def test_package(spark, make, tmp_path):
     assert bodies == {name: (content, source) for name, content, source in FILES}
 
 
+@pytest.mark.parametrize("variant", ["core", "doc"])
+def test_uploads_to_package(spark, tmp_path, variant):
+    import zipfile
+
+    inbox, out = tmp_path / "in", str(tmp_path / "out")
+    inbox.mkdir()
+    with zipfile.ZipFile(inbox / "project.zip", "w") as archive:
+        for name, content, _ in FILES[:3]:
+            archive.writestr(f"src/{name}", content)
+        archive.writestr("src/__init__.py", "def broken(:")
+    for name, content, _ in FILES[3:]:
+        (inbox / name).write_text(content)
+    (inbox / "latin.py").write_bytes(b"# \xe9")
+    audit = audit_uploads(spark, str(inbox), out, source="AGENT", rules=variant, packages=variant)
+    # doc: one eval, one MD5, one shell call, one pickle, one suspicious package in requirements.txt
+    assert audit.findings.count() == {"core": 13, "doc": 5}[variant]
+    assert spark.read.json(f"{out}/gate_plan").count() == {"core": 5, "doc": 3}[variant]
+    if variant == "doc":
+        assert spark.read.json(f"{out}/gate_status").first().overall_status == "BLOCK"
+        assert spark.read.json(f"{out}/gate_details").count() == 4 + 2
+    assert {r.source for r in audit.artifacts.collect()} == {"AGENT"} and audit.artifacts.count() == 7
+    assert spark.read.json(f"{out}/quarantine").count() == 1 and spark.read.json(f"{out}/scan_errors").count() == 1
+    assert spark.read.json(f"{out}/findings").count() == audit.findings.count()
+    assert spark.read.json(f"{out}/_manifest/artifacts").count() == 7
+
+
 def test_ordered_report(spark, make, tmp_path):
     from auditmill.plans.audit import write_reports
 
