@@ -212,9 +212,9 @@ def rule_catalog(spark, sf):
 @query()
 def stream_secret_findings(spark, sf):
     """The line scan over documents arriving as a stream; the sink's table equals the batch result."""
-    arrivals = spark.readStream.schema(corpora.table(spark, sf, "documents").schema).option(
-        "pathGlobFilter", "documents.parquet"
-    ).parquet(sf)
+    schema = corpora.table(spark, sf, "documents").schema
+    # A glob takes the table as one file or as a folder of files.
+    arrivals = spark.readStream.schema(schema).parquet(f"{sf}/documents.parque[t]")
     found = scan_lines(corpora.documents_as_artifacts(arrivals))
     return drained(found, "stream_secret_findings").select("finding_id", *FINDING_COLUMNS)
 
