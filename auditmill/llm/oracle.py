@@ -11,3 +11,32 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
        row_number() OVER w = 1 AS kept, text_sha256
 FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id NULLS LAST)
 """
+
+ORACLE["op2_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, sha1(html) AS d, octet_length(encode(html)) AS payload_bytes,
+             min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST(('0x' || substr(d, CAST(5 * (i // 4) + 1 AS INT), 5))::INT >> CAST(15 - 5 * (i % 4) AS INT) & 31 AS INT) + 1, 1)),
+         'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM h
+"""
+
+ORACLE["op9_chat_format"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+g AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS loss,
+         sum(length('<|im_start|>') + length(replace(role, '<|', '<||')) + 1 + length(replace(text, '<|', '<||'))
+             + length('<|im_end|>') + 1) AS formatted_chars
+  FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+       CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM g
+"""
