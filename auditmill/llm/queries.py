@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from auditmill.llm import bpe
 from auditmill.llm.chat import formatted_conversations, read_back
 from auditmill.llm.common import table
 from auditmill.llm.exact_dedup import exact_groups
@@ -65,3 +66,9 @@ def op9_chat_format(spark, sf):
 @query
 def op10_url_filter(spark, sf):
     return url_verdicts(table(spark, sf, "pages").select("page_id", "url"))
+
+
+@query
+def op7_byte_bpe(spark, sf):
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.round_trip(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
