@@ -3,7 +3,7 @@
 A word (one match of the split pattern) is encoded by a fold over its bytes: the state holds the parts and, beside each,
 the rank of merging it with its right neighbour; every step merges the leftmost smallest rank and looks up the two ranks
 that change. The rank map is a literal: pairs of ids hash to one slot of a displaced table, so a lookup is two array
-reads. Ranks are ids, so the fold's parts are the answer.
+reads. Ranks are ids, so the fold's parts are the answer. The literals stand in the plan once, bound to a variable.
 
 Distinct words of a bounded sample of documents (`SAMPLE_ROWS`) and the vocabulary's own words are folded once and become
 a literal word table; all other words are folded where they occur. The table only saves work: results do not depend on
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from auditmill.llm.common import let, text_or_empty
 
 SAMPLE_ROWS = 4_000
-CACHED_WORDS = 150_000
+CACHED_WORDS = 100_000
 #: Larger than any id.
 NONE = 1 << 30
 #: Fixed multipliers of the pair hash; products stay far below 2^63.
@@ -68,51 +68,58 @@ class PairTable:
             for x, (a, b, rank) in zip(at, entries):
                 self.slots[(x + shift) % self.size] = (a << 40) | (b << 20) | rank
 
-    def columns(self) -> tuple[Column, Column]:
-        """Shifts and slots as literals, folded from one string each when the plan is made."""
-        return (
-            F.split(F.lit(",".join(map(str, self.shift))), ",").cast("array<int>"),
-            F.split(F.lit(",".join(map(str, self.slots))), ",").cast("array<bigint>"),
-        )
+
+def _numbers(values: list[int], kind: str) -> Column:
+    """An array literal, folded from one string when the plan is made."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
 class Encoder:
-    """Column expressions for one vocabulary."""
+    """Column expressions for one vocabulary; `t` is the struct of literals that `tables` makes."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.pairs = PairTable(pair_ranks(ranks))
-        self.shift, self.slots = self.pairs.columns()
-        self.bytes = F.split(F.lit(",".join(str(ranks[bytes([b])]) for b in range(256))), ",").cast("array<int>")
         hexes = [""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             hexes[rank] = token.hex()
         self.pieces = F.split(F.lit(",".join(hexes)), ",")
 
-    def merged(self, a: Column, b: Column) -> Column:
+    def tables(self, *more: Column) -> Column:
+        single = [self.ranks[bytes([b])] for b in range(256)]
+        return F.struct(
+            _numbers(self.pairs.shift, "int").alias("shift"), _numbers(self.pairs.slots, "bigint").alias("slots"),
+            _numbers(single, "int").alias("bytes"), *more,
+        )
+
+    def merged(self, t: Column, a: Column, b: Column) -> Column:
         """The id that two ids merge to, or NONE; also NONE where one of them is null."""
         x, y = a.cast("bigint"), b.cast("bigint")
-        shift = F.get(self.shift, ((x * PAIR_A + y * PAIR_B) % self.pairs.groups).cast("int"))
-        slot = F.get(self.slots, (((x * PAIR_C + y * PAIR_D) % self.pairs.size + shift) % self.pairs.size).cast("int"))
+        shift = F.get(t["shift"], ((x * PAIR_A + y * PAIR_B) % self.pairs.groups).cast("int"))
+        slot = F.get(t["slots"], (((x * PAIR_C + y * PAIR_D) % self.pairs.size + shift) % self.pairs.size).cast("int"))
         key = F.shiftleft(x, 20).bitwiseOR(y)
         rank = lambda s: F.when(F.shiftright(s, 20) == key, s.bitwiseAND(F.lit((1 << 20) - 1).cast("bigint")).cast("int"))
         return F.coalesce(let(slot, rank), F.lit(NONE))
 
-    def fold(self, word: Column) -> Column:
+    def fold(self, t: Column, word: Column) -> Column:
         """The ids of one word, by merges alone."""
         letters = F.filter(F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), ""), lambda c: c != "")
-        start = let(F.transform(letters, lambda c: F.get(self.bytes, F.ascii(c))), lambda p: F.struct(
-            p.alias("parts"), F.transform(p, lambda x, i: self.merged(x, F.get(p, i + 1))).alias("ranks")))
+        start = let(
+            F.transform(letters, lambda c: F.get(t["bytes"], F.ascii(c))),
+            lambda p: F.struct(
+                p.alias("parts"), F.transform(p, lambda x, i: self.merged(t, x, F.get(p, i + 1))).alias("ranks")
+            ),
+        )
 
         def merge(parts: Column, ranks: Column, rank: Column) -> Column:
             def at(i: Column) -> Column:  # i counts from 1
-                left = F.when(i > 1, F.array(self.merged(F.get(parts, i - 2), rank))).otherwise(F.array().cast("array<int>"))
+                left = F.when(i > 1, F.array(self.merged(t, F.get(parts, i - 2), rank))).otherwise(F.array().cast("array<int>"))
                 rest = F.greatest(F.size(parts) - i - 1, F.lit(0))
                 return F.struct(
                     F.concat(F.slice(parts, F.lit(1), i - 1), F.array(rank), F.slice(parts, i + 2, rest)).alias("parts"),
                     F.concat(
                         F.slice(ranks, F.lit(1), F.greatest(i - 2, F.lit(0))), left,
-                        F.array(self.merged(rank, F.get(parts, i + 1))), F.slice(ranks, i + 2, rest),
+                        F.array(self.merged(t, rank, F.get(parts, i + 1))), F.slice(ranks, i + 2, rest),
                     ).alias("ranks"),
                 )
 
@@ -122,11 +129,14 @@ class Encoder:
             least = F.array_min(state["ranks"])
             return F.when(least == NONE, state).otherwise(let(least, lambda rank: merge(state["parts"], state["ranks"], rank)))
 
-        return let(start, lambda s: F.when(F.size(s["parts"]) < 2, s["parts"]).otherwise(
-            F.aggregate(F.sequence(F.lit(2), F.size(s["parts"])), s, step, lambda e: e["parts"])))
+        def folded(s: Column) -> Column:
+            steps = F.sequence(F.lit(2), F.size(s["parts"]))
+            return F.when(F.size(s["parts"]) < 2, s["parts"]).otherwise(F.aggregate(steps, s, step, lambda e: e["parts"]))
+
+        return let(start, folded)
 
-    def joined(self, word: Column) -> Column:
-        return F.array_join(self.fold(word), ",")
+    def joined(self, t: Column, word: Column) -> Column:
+        return F.array_join(self.fold(t, word), ",")
 
     def decoded(self, ids: Column) -> Column:
         """The bytes of comma-separated ids: their binary pieces, put together."""
@@ -143,7 +153,7 @@ class WordTable:
 
     def __init__(self, rows: list[tuple[str, int, str]], needed: set[str]):
         """rows: (word, hash, ids), the most useful first. `needed` words get a place whatever it takes."""
-        self.size = 1 << max(4, (2 * len(rows)).bit_length())
+        self.size = 1 << max(4, (3 * len(rows) // 2).bit_length())
         rows = sorted(rows, key=lambda r: r[0] not in needed)
         while True:
             self.words, self.ids = [""] * self.size, [""] * self.size
@@ -164,13 +174,17 @@ class WordTable:
                 return True
         return False
 
-    def lookup(self, word: Column, other: Column) -> Column:
-        words, ids = F.split(F.lit(MARK.join(self.words)), MARK), F.split(F.lit(MARK.join(self.ids)), MARK)
+    def columns(self) -> tuple[Column, Column]:
+        return F.split(F.lit(MARK.join(self.words)), MARK).alias("words"), F.split(F.lit(MARK.join(self.ids)), MARK).alias("ids")
+
+    def lookup(self, t: Column, word: Column, other: Column) -> Column:
+        """The word's ids from the table, or `other`."""
 
         def found(h: Column) -> Column:
             first = F.pmod(h, F.lit(self.size)).cast("int")
             second = F.pmod(F.shiftright(h, 32), F.lit(self.size)).cast("int")
-            return F.when(F.get(words, first) == word, F.get(ids, first)).when(F.get(words, second) == word, F.get(ids, second)).otherwise(other)
+            at = lambda i, otherwise: F.when(F.get(t["words"], i) == word, F.get(t["ids"], i)).otherwise(otherwise)
+            return at(first, at(second, other))
 
         return let(F.xxhash64(word), found)
 
@@ -178,8 +192,8 @@ class WordTable:
 def word_table(docs: DataFrame, encoder: Encoder, pattern: str) -> WordTable:
     spark: SparkSession = docs.sparkSession
     order = F.xxhash64(F.col("doc_id"), F.lit("bpe"))
-    ids = docs.select("doc_id").orderBy(order, "doc_id").limit(SAMPLE_ROWS).distinct()
-    sample = docs.join(F.broadcast(ids), "doc_id", "left_semi").limit(SAMPLE_ROWS)  # bounded, also if ids repeat
+    chosen = docs.select("doc_id").orderBy(order, "doc_id").limit(SAMPLE_ROWS).distinct()
+    sample = docs.join(F.broadcast(chosen), "doc_id", "left_semi").limit(SAMPLE_ROWS)  # bounded, also if ids repeat
     counted = (
         sample.select(F.explode(split_words(F.coalesce("text", F.lit("")), pattern)).alias("word")).groupBy("word")
         .agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(CACHED_WORDS)
@@ -192,7 +206,8 @@ def word_table(docs: DataFrame, encoder: Encoder, pattern: str) -> WordTable:
             pass
     own = spark.createDataFrame([(w, 0) for w in tokens], "word string, n bigint")
     distinct = counted.unionByName(own).groupBy("word").agg(F.max("n").alias("n"))
-    rows = distinct.select("word", "n", F.xxhash64("word").alias("h"), encoder.joined(F.col("word")).alias("ids")).toArrow().to_pylist()
+    ids = let(encoder.tables(), lambda t: encoder.joined(t, F.col("word")))
+    rows = distinct.select("word", "n", F.xxhash64("word").alias("h"), ids.alias("ids")).toArrow().to_pylist()
     rows.sort(key=lambda r: (-r["n"], r["word"]))
     unreached = {r["word"] for r in rows if r["word"] in tokens and tokens[r["word"]] != r["ids"]}
     if any(MARK in w for w in unreached):
@@ -209,7 +224,8 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 def _encoded(docs: DataFrame, encoder: Encoder, pattern: str) -> DataFrame:
     cached = word_table(docs, encoder, pattern)
     words = docs.select("doc_id", split_words(text_or_empty(), pattern).alias("words"))
-    ids = F.array_join(F.transform("words", lambda w: cached.lookup(w, encoder.joined(w))), ",")
+    each = lambda t: F.transform("words", lambda w: cached.lookup(t, w, encoder.joined(t, w)))
+    ids = let(encoder.tables(*cached.columns()), lambda t: F.array_join(each(t), ","))
     return words.select("doc_id", ids.alias("ids"))
 
 
