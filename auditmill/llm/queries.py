@@ -12,6 +12,7 @@ from auditmill.llm import bpe
 from auditmill.llm.chat import formatted_conversations, read_back
 from auditmill.llm.common import table
 from auditmill.llm.exact_dedup import exact_groups
+from auditmill.llm.language_model import language_model_scores
 from auditmill.llm.packing import packed
 from auditmill.llm.quality import quality_verdicts
 from auditmill.llm.toxicity import toxicity_scores
@@ -72,3 +73,8 @@ def op10_url_filter(spark, sf):
 def op7_byte_bpe(spark, sf):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.round_trip(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query
+def op6_language_model(spark, sf):
+    return language_model_scores(table(spark, sf, "documents"))
