@@ -12,6 +12,7 @@ from auditmill.llm import bpe
 from auditmill.llm.chat import formatted_conversations, read_back
 from auditmill.llm.common import table
 from auditmill.llm.exact_dedup import exact_groups
+from auditmill.llm.jaccard_join import similarity_classes
 from auditmill.llm.language_model import language_model_scores
 from auditmill.llm.packing import packed
 from auditmill.llm.quality import quality_verdicts
@@ -78,3 +79,8 @@ def op7_byte_bpe(spark, sf):
 @query
 def op6_language_model(spark, sf):
     return language_model_scores(table(spark, sf, "documents"))
+
+
+@query
+def op5_jaccard_join(spark, sf):
+    return similarity_classes(table(spark, sf, "documents"))
