@@ -88,23 +88,30 @@ def _fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 
+class _Folded(dict):
+    """Ids of words, folded at the first use."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__()
+        self.ranks = ranks
+
+    def __missing__(self, word: str) -> list[int]:
+        ids = self[word] = fold(word.encode(), self.ranks)
+        return ids
+
+
 class Codec:
     """Encodes texts with the folded words at hand; decodes ids."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.split = ranks, regex.compile(pattern).findall
+        self.split = regex.compile(pattern).findall
         self.pieces = {rank: token for token, rank in ranks.items()}
-        self.words: dict[str, list[int]] = {}
+        self.words = _Folded(ranks)
 
     def encode(self, text: str) -> list[int]:
-        words = self.words
-        found = self.split(text)
-        for word in set(found):
-            if word not in words:
-                words[word] = fold(word.encode(), self.ranks)
-        ids = list(chain.from_iterable(map(words.__getitem__, found)))
-        if len(words) > CACHED_WORDS:
-            words.clear()
+        ids = list(chain.from_iterable(map(self.words.__getitem__, self.split(text))))
+        if len(self.words) > CACHED_WORDS:
+            self.words.clear()
         return ids
 
     def decode(self, ids: list[int]) -> bytes:
