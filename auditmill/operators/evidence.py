@@ -125,19 +125,19 @@ def outputs_hash(reports: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFram
 
 
 def manifest_header(*digests: DataFrame, team: str = TEAM, app_version: str = APP_VERSION) -> DataFrame:
-    """One manifest row over one-row digest tables (`inputs_hash`, `inputs_hash_tree`, `outputs_hash`; a missing one
-    is null). The run id follows from the digests, so a rerun over equal data names the same run.
+    """One manifest row over one-row digest tables (`inputs_hash_tree`, `outputs_hash`; a missing one is null). The
+    plain `inputs_hash` is no part of it, since one task would have to read every hash. The run id follows from the digests, so a rerun over equal data names the same run.
 
     `parser_version` records the Python grammar the syntax-tree scan used.
     """
-    names = ("inputs_hash", "inputs_hash_tree", "outputs_hash")
+    names = ("inputs_hash_tree", "outputs_hash")
     rows = None
     for digest in digests:
         row = digest.selectExpr(*[c if c in digest.columns else f"CAST(NULL AS STRING) AS {c}" for c in names])
         rows = row if rows is None else rows.unionByName(row)
     merged = rows.agg(*[F.max(c).alias(c) for c in names])
     return merged.select(
-        F.sha2(F.concat_ws("", F.coalesce("inputs_hash", "inputs_hash_tree"), "outputs_hash"), 256).alias("run_id"),
+        F.sha2(F.concat_ws("", *names), 256).alias("run_id"),
         F.current_timestamp().alias("generated_at"),
         F.lit(team).alias("team_or_user"),
         F.lit(app_version).alias("app_version"),

@@ -23,7 +23,6 @@ from auditmill.sources.files import read_any
 GATE_COLUMNS = ("gate_ord", "gate_type", "tools", "required_checks", "failure_action", "owner_role", "evidence_required")
 DOC_GATE_COLUMNS = ("gate_ord", "gate_type", "action", "reason", "details")
 SUMMARY_COLUMNS = ("section", "ord", "key", "value")
-PLAIN_HASH_LIMIT = 50_000_000  # artifacts; 64 bytes each through one running digest
 
 
 @dataclass(frozen=True)
@@ -33,9 +32,15 @@ class Audit:
     artifacts: DataFrame
     findings: DataFrame
     dependencies: DataFrame
-    scan_errors: DataFrame
+    errors: DataFrame | None  # None: the run did not look for parse errors
     doc_gates: bool = False  # gates of the documentation variant
 
+    @property
+    def scan_errors(self) -> DataFrame:
+        if self.errors is None:
+            raise ValueError("this run left parse errors out (report_errors=False)")
+        return self.errors
+
     @property
     def gate_plan(self) -> DataFrame:
         plan = gates.gate_plan_doc if self.doc_gates else gates.gate_plan
@@ -100,7 +105,8 @@ def run_audit(
     reads them again; one tree pass then serves both findings and parse errors. Several passes read `artifacts`, so
     hand in a stored table (`store_artifacts`) when it is costly to derive.
 
-    Without `report_errors`, only contents that may hold a sink are parsed: same findings, an empty error table.
+    Without `report_errors`, only contents that may hold a sink are parsed: same findings, and asking for
+    the run's `scan_errors` raises.
     """
     keep = stored if store else (lambda df, label: df)
     trees = scan_trees(artifacts, rules, once_per_content=once_per_content, report_errors=report_errors)
@@ -113,7 +119,8 @@ def run_audit(
         ),
         "findings",
     )
-    return Audit(artifacts, findings, dependencies, tree_errors(trees), policy(packages).name == "doc")
+    errors = tree_errors(trees) if report_errors else None
+    return Audit(artifacts, findings, dependencies, errors, policy(packages).name == "doc")
 
 
 def write_reports(audit: Audit, out_dir: str, *, ordered: bool = False, fmt: str = "json") -> None:
@@ -121,7 +128,8 @@ def write_reports(audit: Audit, out_dir: str, *, ordered: bool = False, fmt: str
     the order columns travel along."""
     findings = audit.findings
     if ordered:
-        findings = findings.repartitionByRange(*FINDING_ORDER).sortWithinPartitions(*FINDING_ORDER)
+        # The writer needs rows of one severity together; sorted like this it does not sort again by severity alone.
+        findings = findings.repartitionByRange(*FINDING_ORDER).sortWithinPartitions("severity", *FINDING_ORDER)
     columns = [c for c in (*FINDING_FIELDS, *FINDING_ORDER, "artifact_filename") if c != "severity"]
     findings.select(*dict.fromkeys(columns), "severity").write.partitionBy("severity").format(fmt).save(f"{out_dir}/findings")
     audit.dependencies.select(*DEPENDENCY_FIELDS, "artifact_id", "line_no").write.format(fmt).save(f"{out_dir}/dependencies")
@@ -134,15 +142,9 @@ def write_reports(audit: Audit, out_dir: str, *, ordered: bool = False, fmt: str
     audit.scan_errors.write.format(fmt).save(f"{out_dir}/scan_errors")
 
 
-def write_manifest(
-    audit: Audit, out_dir: str, *, fmt: str = "json", plain_limit: int = PLAIN_HASH_LIMIT, **identity: str
-) -> None:
-    """Header row and artifact list. The plain inputs hash, sequential by definition, is left null beyond
-    `plain_limit` artifacts; the tree digest covers the inputs at any size."""
-    digests = [evidence.inputs_hash_tree(audit.artifacts), audit.outputs_hash]
-    if audit.artifacts.count() <= plain_limit:
-        digests.append(audit.inputs_hash)
-    header = evidence.manifest_header(*digests, **identity)
+def write_manifest(audit: Audit, out_dir: str, *, fmt: str = "json", **identity: str) -> None:
+    """Header row and artifact list. The inputs are covered by the tree digest, at every size."""
+    header = evidence.manifest_header(evidence.inputs_hash_tree(audit.artifacts), audit.outputs_hash, **identity)
     header.coalesce(1).write.format(fmt).save(f"{out_dir}/_manifest/header")
     evidence.manifest_artifacts_table(audit.artifacts).write.format(fmt).save(f"{out_dir}/_manifest/artifacts")
 

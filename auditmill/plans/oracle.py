@@ -548,10 +548,9 @@ OUTPUTS = f"""sha256(
 OUTPUT_TABLES = f"{F_ALL}{FLAGS}{SUMMARY}, gate_rows AS ({gates_sql('flags')})"
 put("outputs_hash", OUTPUT_TABLES, f"SELECT {OUTPUTS} AS outputs_hash")
 put("evidence_manifest", f"""{OUTPUT_TABLES}, header AS (SELECT {OUTPUTS} AS outputs_hash,
-  (SELECT sha256(string_agg(content_hash, '' ORDER BY content_hash)) FROM artifacts) AS inputs_hash,
   {tree_digest('SELECT content_hash AS digest FROM artifacts')} AS inputs_hash_tree)""",
-    """SELECT sha256(inputs_hash || outputs_hash) AS run_id, 'InnovateTech DevSecOps' AS team_or_user,
-  '1.0.0-alpha' AS app_version, inputs_hash, inputs_hash_tree, outputs_hash FROM header""")
+    """SELECT sha256(inputs_hash_tree || outputs_hash) AS run_id, 'InnovateTech DevSecOps' AS team_or_user,
+  '1.0.0-alpha' AS app_version, inputs_hash_tree, outputs_hash FROM header""")
 put("evidence_manifest_artifacts", F_ALL, "SELECT artifact_id, filename, content_hash FROM artifacts")
 put("package_size", f"{CODE},{DEPS}{AUDITED},{DOCUMENTS}", """SELECT n AS total_bytes,
   CASE WHEN n >= 1048576 THEN printf('%.2f MB', n / 1048576) ELSE printf('%.2f KB', n / 1024) END AS size_text

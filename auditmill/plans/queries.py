@@ -25,6 +25,7 @@ from auditmill.operators.dependencies import (
 from auditmill.operators.gates import gate_details_doc, gate_plan, gate_plan_doc, gate_status_doc
 from auditmill.operators.regex_scan import scan_lines
 from auditmill.plans.audit import all_findings, joined_gate_plan, package_size, run_audit
+from auditmill.plans.storage import stored
 from auditmill.rules import CORE, Rule, ruleset
 from auditmill.sources import corpora
 from auditmill.sources.artifacts import inventory, language_by_extension, pasted_snippets, route
@@ -55,7 +56,7 @@ def _findings(spark, sf):
 
 def _audit(spark, sf):
     """A stored run for the outputs that read findings several times; they need no parse errors."""
-    return run_audit(corpora.audit_corpus(spark, sf), report_errors=False)
+    return run_audit(stored(corpora.audit_corpus(spark, sf), "corpus"), report_errors=False)
 
 
 def _dependencies(spark, sf, packages="core"):
@@ -481,8 +482,8 @@ def outputs_hash(spark, sf):
 @query()
 def evidence_manifest(spark, sf):
     audit = _audit(spark, sf)
-    header = evidence.manifest_header(audit.inputs_hash, evidence.inputs_hash_tree(audit.artifacts), audit.outputs_hash)
-    return header.select("run_id", "team_or_user", "app_version", "inputs_hash", "inputs_hash_tree", "outputs_hash")
+    header = evidence.manifest_header(evidence.inputs_hash_tree(audit.artifacts), audit.outputs_hash)
+    return header.select("run_id", "team_or_user", "app_version", "inputs_hash_tree", "outputs_hash")
 
 
 @query()

@@ -52,8 +52,8 @@ def test_outputs_hash_is_the_hash_of_digests_in_order(spark):
 
 def test_manifest_header(spark, make):
     artifacts = make({"a.py": "x"})
-    header = evidence.manifest_header(evidence.inputs_hash(artifacts), evidence.outputs_hash([(artifacts, ["filename"])]))
+    header = evidence.manifest_header(evidence.inputs_hash_tree(artifacts), evidence.outputs_hash([(artifacts, ["filename"])]))
     row = header.first()
-    assert header.count() == 1 and row.run_id == sha(row.inputs_hash + row.outputs_hash)
+    assert header.count() == 1 and row.run_id == sha(row.inputs_hash_tree + row.outputs_hash)
     assert row.team_or_user and row.app_version and row.parser_version.startswith("3.")
     assert evidence.manifest_artifacts_table(artifacts).columns == ["artifact_id", "filename", "content_hash"]

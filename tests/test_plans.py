@@ -4,13 +4,13 @@ import re
 
 import pytest
 
-from auditmill.operators import risk
+from auditmill.operators import evidence, risk
 from auditmill.operators.ast_scan import scan_tree_findings
 from auditmill.operators.dependencies import analyze_dependencies
 from auditmill.operators.regex_scan import scan_lines
 from auditmill.plans.audit import all_findings, audit_uploads, run_audit, write_manifest, write_package
 from auditmill.plans.queries import QUERIES
-from auditmill.schemas import DEPENDENCY_FIELDS, FINDING_FIELDS
+from auditmill.schemas import DEPENDENCY_FIELDS, FINDING_FIELDS, FINDING_ORDER
 from auditmill.sources.artifacts import store_artifacts
 from tests.samples import FILES
 
@@ -30,10 +30,11 @@ def test_package(spark, make, tmp_path):
     gates = spark.read.json(f"{target}/gate_plan").orderBy("gate_ord").collect()
     assert [g.failure_action for g in gates] == ["BLOCK"] * 5 and gates[0].tools == ["SAST Scanner", "Dependency Scanner"]
     header = spark.read.json(f"{target}/_manifest/header").first()
-    assert header.team_or_user == "team x" and header.inputs_hash == audit.inputs_hash.first()[0]
-    write_manifest(audit, str(tmp_path / "large"), plain_limit=5)
-    large = spark.read.json(str(tmp_path / "large" / "_manifest" / "header")).first()
-    assert "inputs_hash" not in large and large.inputs_hash_tree == header.inputs_hash_tree and large.run_id
+    whole = evidence.manifest_header(evidence.inputs_hash_tree(audit.artifacts), audit.outputs_hash).first()
+    assert header.team_or_user == "team x" and header.run_id == whole.run_id
+    assert header.inputs_hash_tree == whole.inputs_hash_tree and header.outputs_hash == whole.outputs_hash
+    write_manifest(audit, str(tmp_path / "again"))
+    assert spark.read.json(str(tmp_path / "again" / "_manifest" / "header")).first().run_id == header.run_id
     assert spark.read.json(f"{target}/_manifest/artifacts").count() == 6
     bodies = {r.filename: (r.content, r.source) for r in spark.read.parquet(f"{target}/artifacts").collect()}
     assert bodies == {name: (content, source) for name, content, source in FILES}
@@ -71,6 +72,16 @@ def test_ordered_report(spark, make, tmp_path):
     audit = run_audit(make(FILES), store=False)
     write_reports(audit, str(tmp_path / "r"), ordered=True, fmt="parquet")
     assert spark.read.parquet(str(tmp_path / "r" / "findings")).count() == 13
+    files = list((tmp_path / "r" / "findings").glob("severity=*/*.parquet"))
+    for file in files:
+        rows = spark.read.parquet(str(file)).select(*FINDING_ORDER).toPandas().values.tolist()
+        assert rows == sorted(rows)
+    assert any(len(spark.read.parquet(str(f)).collect()) > 2 for f in files)
+
+
+def test_errors_that_were_left_out_cannot_be_read(make):
+    with pytest.raises(ValueError, match="parse errors"):
+        run_audit(make(FILES), store=False, report_errors=False).scan_errors
 
 
 def test_run_without_store_is_the_same(make):
