@@ -4,7 +4,8 @@ Documents with equal word sequences share a representative. A representative's s
 minhash tokens, of which two sets share a Jaccard share. In each of `RUNS` runs a set follows every token whose hash,
 salted by the path so far, falls below `BRANCH / TOKENS`: sets that share tokens meet in the same buckets. Buckets up to
 `BUCKET` members are compared by brute force; larger ones split again, down to `DEPTH` levels, and what is still large
-is compared in blocks. Runs repeat until the chance to miss a pair at the threshold is below 1 - `RECALL`.
+is compared in blocks. There are as many runs as bring the chance to miss a pair of exactly the threshold below
+1 - `RECALL` in buckets that need no split (7e-5); where every bucket splits once or twice it is about 5e-4 or 1e-3.
 
 Brute force on tokens keeps pairs well below the threshold too (five standard deviations), which gives candidate
 clusters; inside these, all pairs are compared exactly on whole shingle sets, large clusters in pairs of blocks. A task
