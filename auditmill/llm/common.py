@@ -23,7 +23,17 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     """Written to the cluster's shared folder and read again: later jobs neither recompute it nor depend on executors."""
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._saved_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables made by `saved` that every reader has already turned into stored tables of their own."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df._saved_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small_batches(spark: SparkSession, rows: int = 512) -> None:

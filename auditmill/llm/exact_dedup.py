@@ -216,5 +216,6 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all columns of `docs`."""
     carried = fresh(("row", "doc_id", "digest", "chars"), "columns_of_docs")
     rows = keyed(docs, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(carried))
-    dropped = _decided(rows).where("NOT kept").select("row")
+    # Stored, so that its measured size decides how it is joined: a small set of row numbers moves no text.
+    dropped = saved(_decided(rows).where("NOT kept").select("row"), "equal_rows")
     return rows.select("row", carried).join(dropped, "row", "left_anti").select(f"{carried}.*")

@@ -20,13 +20,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditmill.llm.common import fresh, saved, small_batches, text_or_empty, words_of
+from auditmill.llm.common import discard, fresh, saved, small_batches, text_or_empty, words_of
 
 SHINGLE = 5
 #: The threshold as a fraction, for exact comparisons.
@@ -72,10 +73,10 @@ def _arrays(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, hashes) to (row, tokens); texts without words are left out."""
-    schema = pa.schema([("row", pa.int64()), ("tokens", pa.binary())])
+    """(row, key, hashes) to (row, key, tokens); texts without words have no tokens."""
+    schema = pa.schema([("row", pa.int64()), ("key", pa.string()), ("tokens", pa.binary())])
     for batch in batches:
-        hashes, bounds = shingles(*_arrays(batch.column(1)))
+        hashes, bounds = shingles(*_arrays(batch.column(2)))
         some = np.flatnonzero(np.diff(bounds))
         starts = bounds[:-1][some]
         tokens = np.empty((len(some), TOKENS), np.uint32)
@@ -84,7 +85,10 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for k in range(TOKENS):
                     mixed = (hashes ^ _SEEDS[0, k]) * _SEEDS[1, k]
                     tokens[:, k] = np.minimum.reduceat(mixed, starts) >> np.uint64(32)
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some)), pa.array([t.tobytes() for t in tokens], pa.binary())], schema=schema)
+        found: list[bytes | None] = [None] * batch.num_rows
+        for at, own in zip(some.tolist(), tokens):
+            found[at] = own.tobytes()
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], schema=schema)
 
 
 def _tokens(column: pa.Array) -> np.ndarray:
@@ -237,7 +241,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = canonical(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.withColumnRenamed("m", "v"))
-        current = saved(canonical(moved), "edges")
+        last, current = current, saved(canonical(moved), "edges")
+        discard(last)
     return current.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
@@ -253,45 +258,46 @@ def _blocked(rows: DataFrame, blocks) -> DataFrame:
     )
 
 
-def _candidates(tokens: DataFrame) -> DataFrame:
-    """Forest edges over (row, tokens) that connect all sets that may be similar."""
-    found, paths = None, tokens.mapInArrow(_first_paths, "path bigint, row bigint")
+def _candidates(tokens: DataFrame) -> list[DataFrame]:
+    """Stored forest edges over (row, tokens), per level, that connect all sets that may be similar."""
+    found, paths = [], saved(tokens.mapInArrow(_first_paths, "path bigint, row bigint"), "paths")
     for depth in range(1, DEPTH + 1):
-        paths = saved(paths, "paths")
         sizes = paths.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
         members = saved(paths.join(sizes, "path").join(tokens, "row").select("path", "row", "tokens", "n"), "members")
         last = depth == DEPTH
         small = _blocked(members if last else members.where(F.col("n") <= BUCKET),
                          F.when(F.col("n") <= BUCKET, F.lit(1)).otherwise(F.ceil(F.col("n") / BLOCK)))
         sorted_ = small.select("path", "a", "b", "row", "tokens").repartition("path", "a", "b").sortWithinPartitions("path", "a", "b")
-        edges = saved(sorted_.mapInArrow(_candidate_edges, "u bigint, v bigint").distinct(), "candidates")
-        found = edges if found is None else found.unionByName(edges)
+        found.append(saved(sorted_.mapInArrow(_candidate_edges, "u bigint, v bigint").distinct(), "candidates"))
+        done = [paths, members]
         if not last:
-            paths = members.where(F.col("n") > BUCKET).select("path", "row", "tokens").mapInArrow(_next_paths, "path bigint, row bigint")
-    return found.distinct()
+            large = members.where(F.col("n") > BUCKET).select("path", "row", "tokens")
+            paths = saved(large.mapInArrow(_next_paths, "path bigint, row bigint"), "paths")
+        discard(*done)
+    return found
 
 
 def similarity_rows(docs: DataFrame, *carry) -> DataFrame:
     """Stored rows (row, doc_id, key, text, *carry); key stands for the word sequence."""
-    words = words_of(F.col("text"))
-    base = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"), *carry
-    )
+    words = words_of(text_or_empty())
+    base = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text", *carry)
     return saved(base.withColumn("key", F.sha2(F.array_join(words, " "), 256)), "similarity_rows")
 
 
 def _hashes():
-    return F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)).alias("hashes")
+    return F.transform(words_of(text_or_empty()), lambda w: F.xxhash64(w)).alias("hashes")
 
 
 def classes(rows: DataFrame) -> DataFrame:
     """(row, doc_id, root, n_links) of stored rows; root is a row number that stands for the class."""
     spark = rows.sparkSession
     small_batches(spark)
-    groups = saved(rows.groupBy("key").agg(F.min("row").alias("row"), F.count("*").alias("copies")), "sequences")
-    first = rows.select("row", "text").join(groups.select("row"), "row", "left_semi")
-    tokens = saved(first.select("row", _hashes()).mapInArrow(_signatures, "row bigint, tokens binary"), "tokens")
-    clusters = components(_candidates(tokens))
+    # Tokens are far smaller than texts, so they are made before copies meet: no text is shuffled for the candidates.
+    signed = rows.select("row", "key", _hashes()).mapInArrow(_signatures, "row bigint, key string, tokens binary")
+    groups = saved(signed.groupBy("key").agg(F.min("row").alias("row"), F.count("*").alias("copies"), F.first("tokens").alias("tokens")), "sequences")
+    edges = _candidates(groups.where("tokens is not null").select("row", "tokens"))
+    clusters = components(reduce(DataFrame.unionByName, edges))
+    discard(*edges)
     # Exact comparison of all pairs inside a candidate cluster; every text travels to the pairs of its own block only.
     sizes = clusters.groupBy("root").agg(F.count("*").alias("n"))
     members = clusters.join(sizes, "root").select(F.col("node").alias("row"), "root", "n").join(groups.select("row", "copies"), "row")
@@ -308,12 +314,17 @@ def classes(rows: DataFrame) -> DataFrame:
         groups.join(linked, "row", "left").join(joined.withColumnRenamed("node", "row"), "row", "left")
         .select("key", F.coalesce("root", "row").alias("root"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     )
-    return rows.select("row", "doc_id", "key").join(known, "key").select("row", "doc_id", "root", "n_links")
+    # Links and roots are at most a row per document, numbers only.
+    found = saved(rows.select("row", "doc_id", "key").join(known, "key").select("row", "doc_id", "root", "n_links"), "classes")
+    discard(groups, links)
+    return found
 
 
 def similarity_classes(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, class_id, class_size, n_links (documents of Jaccard similarity 0.8 or more to it)."""
-    found = saved(classes(similarity_rows(docs)), "classes")
+    rows = similarity_rows(docs)
+    found = classes(rows)
+    discard(rows)
     ids = found.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
     return found.join(ids, "root").select("doc_id", "class_id", "class_size", "n_links")
 
@@ -321,7 +332,13 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each class, the one with the smallest doc_id (nulls last), with all columns of `docs`."""
     carried = fresh(("row", "doc_id", "text", "key"), "columns_of_docs")
-    rows = similarity_rows(docs, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(carried))
+    others = [c for c in docs.columns if c.lower() != "text"]
+    rows = similarity_rows(docs, F.struct(*(F.col(f"`{c}`") for c in others)).alias(carried))
+    found = classes(rows)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
-    kept = classes(rows).groupBy("root").agg(first.alias("first")).select("first.row")
-    return rows.select("row", carried).join(kept, "row", "left_semi").select(f"{carried}.*")
+    kept = found.groupBy("root").agg(first.alias("first")).select("first.row")
+    # Stored, so that its measured size decides how it is joined: a small set of row numbers moves no text.
+    dropped = saved(found.select("row").join(kept, "row", "left_anti"), "similar_rows")
+    discard(found)
+    columns = [F.col("text").alias(c) if c.lower() == "text" else F.col(f"{carried}.`{c}`") for c in docs.columns]
+    return rows.select("row", "text", carried).join(dropped, "row", "left_anti").select(*columns)
