@@ -38,3 +38,13 @@ def test_decisions_take_effect(spark, stages):
     assert ids(d3) == ids(exact_dedup.exact_groups(d2).where("kept"))
     assert ids(d4) == sorted(r[0] for r in jaccard_join.similarity_classes(d3).select("class_id").distinct().collect())
     assert sorted({r[0] for r in packed.select("doc_id").collect()}) == ids(d4)
+
+
+def test_keep_one_carries_rows_whole(spark):
+    """Null and empty texts stay as they are, and columns named like the operator's own are carried, in their order."""
+    schema = "key string, text string, row int, doc_id int, tokens string"
+    rows = [("k", "a b c d e f", 1, 3, "t"), (None, " a b c d e  f", 2, 2, None), ("n", None, 3, 5, "u"), ("m", "", 4, 6, "v"), ("o", "z", 5, None, "w")]
+    kept = jaccard_join.keep_one(spark.createDataFrame(rows, schema))
+    assert kept.columns == ["key", "text", "row", "doc_id", "tokens"]
+    assert dict(kept.dtypes)["doc_id"] == "int"
+    assert sorted(map(tuple, kept.collect()), key=lambda r: r[2]) == [rows[1], rows[2], rows[4]]
