@@ -18,6 +18,18 @@ FINDING_TYPES = (
     "HALLUCINATED_PACKAGE",
     "LICENSE_RISK",
 )
+DOC_SEVERITIES = (*SEVERITIES, "INFO")
+DOC_FINDING_TYPES = (
+    "HARDCODED_SECRET",
+    "INSECURE_DESERIALIZATION",
+    "SQL_INJECTION",
+    "DANGEROUS_EXECUTION",
+    "WEAK_CRYPTO",
+    "OUTDATED_DEPENDENCY",
+    "DENYLISTED_DEPENDENCY",
+    "HALLUCINATED_PACKAGE",
+    "OTHER_VULNERABILITY",
+)
 DEPENDENCY_STATUSES = ("ALLOW", "DENY", "UNKNOWN")
 SOURCE_TAGS = ("COPILOT", "CLAUDE", "AGENT", "UNKNOWN")
 

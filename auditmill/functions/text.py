@@ -6,7 +6,8 @@ import json
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The line boundaries of Python's str.splitlines and the characters str.strip removes.
@@ -58,14 +59,17 @@ _INLINE_FLAGS = re.compile(r"\(\?([imsxau]+)\)")
 
 
 def java_pattern(pattern: str) -> str:
-    """Rewrite a Python `re` pattern so that Java's engine gives Python's Unicode-aware matches."""
+    """Rewrite a Python `re` pattern so that Java's engine gives Python's Unicode-aware matches.
+
+    Java allows no underscore in group names, so named groups become `g1`, `g2`, ...; comments are dropped.
+    """
     re.compile(pattern)  # a malformed rule fails here, on the driver
     flags = set()
     lead = _INLINE_FLAGS.match(pattern)
     if lead:
         flags, pattern = set(lead.group(1)), pattern[lead.end():]
     unicode_mode = "a" not in flags
-    out, i, in_class = [], 0, False
+    out, i, in_class, groups = [], 0, False, {}
     while i < len(pattern):
         ch = pattern[i]
         if ch == "\\" and i + 1 < len(pattern):
@@ -93,14 +97,19 @@ def java_pattern(pattern: str) -> str:
             i += len(head)
             continue
         elif pattern.startswith("(?P<", i):
-            out.append("(?<")
-            i += 4
+            end = pattern.index(">", i)
+            name = groups.setdefault(pattern[i + 4:end], f"g{len(groups) + 1}")
+            out.append(f"(?<{name}>")
+            i = end + 1
             continue
         elif pattern.startswith("(?P=", i):
             end = pattern.index(")", i)
-            out.append(rf"\k<{pattern[i + 4:end]}>")
+            out.append(rf"\k<{groups[pattern[i + 4:end]]}>")
             i = end + 1
             continue
+        elif pattern.startswith("(?#", i):
+            i = pattern.index(")", i) + 1
+            continue
         out.append(ch)
         i += 1
     java_flags = "".join(sorted(flags & set("imsx")))
@@ -109,6 +118,23 @@ def java_pattern(pattern: str) -> str:
     return (f"(?{java_flags})" if java_flags else "") + "".join(out)
 
 
+_ACCEPTED: set[str] = set()
+
+
+def check_patterns(spark: SparkSession, patterns: Sequence[str]) -> None:
+    """Let Java's engine compile the patterns (already in Java form) on the driver, so that one it does not take
+    raises while a plan is built and not inside a task. The one-row plan runs without a job."""
+    row = spark.sql("SELECT '' AS probe")
+    for pattern in patterns:
+        if pattern in _ACCEPTED:
+            continue
+        try:
+            row.select(F.col("probe").rlike(pattern)).collect()
+        except PySparkException as e:
+            raise ValueError(f"pattern has no equivalent in Java's engine: {pattern}") from e
+        _ACCEPTED.add(pattern)
+
+
 _CLASS_OR_ESCAPE = re.compile(r"\\[^bBAZ1-9]|\[\^?\]?(?:\\.|[^\]\\])*\]")
 _CONTEXT_SENSITIVE = re.compile(r"\\[bBAZ1-9]|\^|\$|\(\?[=!<>(]|\(\?P=|[+*?}]\+")
 

@@ -17,6 +17,7 @@ from auditmill.rules import Ruleset, ruleset
 from auditmill.sources.artifacts import code_artifacts
 
 ROWS_PER_BATCH = 4096
+CONTENT_SALTS = 64
 
 _HIT_FIELDS = (
     ("position", "bigint", pa.int64()),
@@ -47,14 +48,14 @@ def scan_trees(
     artifacts: DataFrame,
     rules: str | Ruleset = "core",
     *,
-    once_per_content: bool = True,
+    once_per_content: bool = False,
     report_errors: bool = True,
 ) -> DataFrame:
     """Raw scan rows per artifact: hits, plus one row per file that cannot be parsed when `report_errors`.
 
-    `once_per_content` parses each distinct content once and joins the hits back by content hash. Copies collapse in
-    the map-side half of the distinct, so a hot content never gathers in one task. Switch it off for inputs with few
-    copies: the scan is then narrow, without any shuffle. Rows are the same either way.
+    The scan is narrow, without any shuffle. `once_per_content` instead parses each distinct content once and joins the
+    hits back by content hash, which shuffles contents: for inputs made of many copies. Copies collapse in each map
+    task, then per salt, so a hot content meets as a bounded number of rows. Rows are the same either way.
     """
     catalog = ruleset(rules)
     code = artifacts.where(F.col("language") == "python") if catalog.python_only else artifacts
@@ -65,7 +66,8 @@ def scan_trees(
     if not once_per_content:
         owner_schema = "artifact_id string, artifact_seq bigint, filename string, source string"
         return parsed.select(*_OWNER, "content").mapInArrow(worker, f"{owner_schema}, {hit_schema}")
-    distinct = parsed.select("content_hash", "content").distinct()
+    salted = parsed.select("content_hash", "content", (F.spark_partition_id() % CONTENT_SALTS).alias("salt")).distinct()
+    distinct = salted.select("content_hash", "content").distinct()
     hits = distinct.mapInArrow(worker, f"content_hash string, {hit_schema}")
     # The owners' side names no content: from a stored artifact table it reads ids and hashes only.
     return code.select("content_hash", *_OWNER).join(hits, "content_hash").drop("content_hash")
@@ -89,12 +91,12 @@ def tree_errors(raw: DataFrame) -> DataFrame:
     )
 
 
-def scan_tree_findings(artifacts: DataFrame, rules: str | Ruleset = "core", *, once_per_content: bool = True) -> DataFrame:
+def scan_tree_findings(artifacts: DataFrame, rules: str | Ruleset = "core", *, once_per_content: bool = False) -> DataFrame:
     raw = scan_trees(artifacts, rules, once_per_content=once_per_content, report_errors=False)
     return tree_findings(raw, rules)
 
 
-def scan_errors(artifacts: DataFrame, rules: str | Ruleset = "core", *, once_per_content: bool = True) -> DataFrame:
+def scan_errors(artifacts: DataFrame, rules: str | Ruleset = "core", *, once_per_content: bool = False) -> DataFrame:
     return tree_errors(scan_trees(artifacts, rules, once_per_content=once_per_content))
 
 

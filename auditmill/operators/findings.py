@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from auditmill.functions.scoring import FINDING_TYPES, SEVERITIES, severity_rank
+from auditmill.functions.scoring import DOC_FINDING_TYPES, DOC_SEVERITIES, FINDING_TYPES, SEVERITIES, severity_rank
 from auditmill.functions.text import FIELD_SEP, constant
 from auditmill.schemas import FINDING, FINDING_ORDER, PHASES, declared
 
@@ -33,9 +33,11 @@ def as_findings(rows: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
     return full.selectExpr(*declared(FINDING), *extra)
 
 
-def split_by_domain(findings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(findings whose severity and type are in the domain, quarantine rows for the others)."""
-    valid = F.col("severity").isin(*SEVERITIES) & F.col("finding_type").isin(*FINDING_TYPES)
+def split_by_domain(findings: DataFrame, *, doc: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(findings whose severity and type are in the domain, quarantine rows for the others). `doc` takes the domain of
+    the documentation variant."""
+    severities, types = (DOC_SEVERITIES, DOC_FINDING_TYPES) if doc else (SEVERITIES, FINDING_TYPES)
+    valid = F.col("severity").isin(*severities) & F.col("finding_type").isin(*types)
     bad = findings.where(~F.coalesce(valid, F.lit(False))).select(
         F.col("finding_id").alias("path"), F.lit("findings").alias("stage"), F.lit("OutOfDomain").alias("error_class"),
         F.concat_ws("/", "severity", "finding_type").alias("message"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditmill.functions.text import any_match, constant, context_free, explode_lines, java_pattern, strip
+from auditmill.functions.text import any_match, check_patterns, constant, context_free, explode_lines, java_pattern, strip
 from auditmill.operators.findings import as_findings, emission_texts
 from auditmill.rules import Ruleset, ruleset
 from auditmill.sources.artifacts import code_artifacts
@@ -30,6 +30,7 @@ def scan_lines(
     numbered = catalog.line_rules
     patterns = [java_pattern(r.pattern) for _, r in numbered]
     first_look = [r.hint.pattern if r.hint else r.pattern for _, r in numbered]
+    check_patterns(artifacts.sparkSession, [*patterns, *map(java_pattern, first_look)])
     opens = "".join(r.hint.opens for _, r in numbered) if all(r.hint for _, r in numbered) else None
 
     def promising(column: str) -> Column:

@@ -11,14 +11,20 @@ from auditmill.functions.text import size_text
 from auditmill.operators import evidence, gates, summary
 from auditmill.operators.ast_scan import scan_tree_findings, scan_trees, tree_errors, tree_findings
 from auditmill.operators.dependencies import analyze_dependencies, dependency_findings
-from auditmill.operators.findings import union_findings
+from auditmill.operators.findings import split_by_domain, union_findings
 from auditmill.operators.regex_scan import scan_lines
 from auditmill.plans.storage import new_path, stored
-from auditmill.policy import Policy, policy
+from auditmill.policy import POLICIES, Policy, policy
 from auditmill.rules import Ruleset, ruleset
 from auditmill.schemas import DEPENDENCY_FIELDS, FINDING_FIELDS, FINDING_ORDER
-from auditmill.sources.artifacts import artifacts_from, split_invalid, store_artifacts
-from auditmill.sources.files import read_any
+from auditmill.sources.artifacts import (
+    UNUSABLE,
+    artifacts_from,
+    language_by_extension,
+    sniffed_name,
+    store_ingest,
+)
+from auditmill.sources.files import read_rows
 
 GATE_COLUMNS = ("gate_ord", "gate_type", "tools", "required_checks", "failure_action", "owner_role", "evidence_required")
 DOC_GATE_COLUMNS = ("gate_ord", "gate_type", "action", "reason", "details")
@@ -33,6 +39,7 @@ class Audit:
     findings: DataFrame
     dependencies: DataFrame
     errors: DataFrame | None  # None: the run did not look for parse errors
+    out_of_domain: DataFrame  # findings of custom rules whose type or severity the variant does not know
     doc_gates: bool = False  # gates of the documentation variant
 
     @property
@@ -82,23 +89,29 @@ def joined_gate_plan(plan: DataFrame, sep: str = "|") -> DataFrame:
 
 
 def all_findings(
-    artifacts: DataFrame, rules: str | Ruleset = "core", packages: str | Policy = "core"
+    artifacts: DataFrame,
+    rules: str | Ruleset = "core",
+    packages: str | Policy = "core",
+    dependencies: DataFrame | None = None,
 ) -> DataFrame:
-    """Line, tree and dependency findings of an artifact table, as one lazy plan."""
+    """Line, tree and dependency findings of an artifact table, as one lazy plan. Hand in `dependencies` where the
+    analyzed dependencies are used beside the findings."""
+    if dependencies is None:
+        dependencies = analyze_dependencies(artifacts, packages)
     return union_findings(
         scan_lines(artifacts, rules),
         scan_tree_findings(artifacts, rules),
-        dependency_findings(analyze_dependencies(artifacts, packages), packages),
+        dependency_findings(dependencies, packages),
     )
 
 
 def run_audit(
     artifacts: DataFrame,
     rules: str | Ruleset = "core",
-    packages: str | Policy = "core",
+    packages: str | Policy | None = None,
     *,
     store: bool = True,
-    once_per_content: bool = True,
+    once_per_content: bool = False,
     report_errors: bool = True,
 ) -> Audit:
     """Scan everything once. With `store`, scan results are written to the shared folder, since every later output
@@ -106,8 +119,16 @@ def run_audit(
     hand in a stored table (`store_artifacts`) when it is costly to derive.
 
     Without `report_errors`, only contents that may hold a sink are parsed: same findings, and asking for
-    the run's `scan_errors` raises.
+    the run's `scan_errors` raises. Without `packages`, the policy is the rule set's own; rules of the documentation
+    variant take languages by extension, whatever variant the artifacts were made with.
     """
+    catalog = ruleset(rules)
+    own = catalog.name.removesuffix("+custom")
+    packages = policy(packages or (own if own in POLICIES else "doc" if catalog.python_only else "core"))
+    if packages.name in (("core", "notebook") if catalog.python_only else ("doc",)):
+        raise ValueError(f"rules {catalog.name} and packages {packages.name} belong to different variants")
+    if catalog.python_only:
+        artifacts = artifacts.withColumn("language", language_by_extension(F.col("filename")))
     keep = stored if store else (lambda df, label: df)
     trees = scan_trees(artifacts, rules, once_per_content=once_per_content, report_errors=report_errors)
     if report_errors:
@@ -119,8 +140,9 @@ def run_audit(
         ),
         "findings",
     )
+    findings, out_of_domain = split_by_domain(findings, doc=catalog.python_only)
     errors = tree_errors(trees) if report_errors else None
-    return Audit(artifacts, findings, dependencies, errors, policy(packages).name == "doc")
+    return Audit(artifacts, findings, dependencies, errors, out_of_domain, catalog.python_only)
 
 
 def write_reports(audit: Audit, out_dir: str, *, ordered: bool = False, fmt: str = "json") -> None:
@@ -140,6 +162,7 @@ def write_reports(audit: Audit, out_dir: str, *, ordered: bool = False, fmt: str
         gates.gate_details_doc(audit.findings, audit.dependencies).write.format(fmt).save(f"{out_dir}/gate_details")
     audit.executive_summary.coalesce(1).write.format(fmt).save(f"{out_dir}/executive_summary")
     audit.scan_errors.write.format(fmt).save(f"{out_dir}/scan_errors")
+    audit.out_of_domain.write.format(fmt).save(f"{out_dir}/out_of_domain")
 
 
 def write_manifest(audit: Audit, out_dir: str, *, fmt: str = "json", **identity: str) -> None:
@@ -164,20 +187,30 @@ def audit_uploads(
     location: str,
     out_dir: str,
     *,
+    pastes: DataFrame | None = None,
     source: str = "UNKNOWN",
     rules: str | Ruleset = "core",
-    packages: str | Policy = "core",
+    packages: str | Policy | None = None,
     **identity: str,
 ) -> Audit:
-    """Files and archives under `location` to a complete package under `out_dir`; one source tag for the run.
+    """Files and archives under `location`, and a table of `pastes` (`content`, optionally `artifact_seq`), to a complete
+    package under `out_dir`; one source tag for the run.
 
-    Artifact bodies are stored once, by route, and every scan reads that table; unusable inputs land in `quarantine`.
+    Inputs are read once: artifact bodies are stored by route, and every scan reads that table; unusable inputs land
+    in `quarantine`. Pastes are named by sniffing, and empty ones make no artifact.
     """
-    rows, undecodable = read_any(spark, location)
-    usable, empty = split_invalid(rows)
     variant = "doc" if ruleset(rules).python_only else "core"
-    artifacts = store_artifacts(artifacts_from(usable, source=source, variant=variant), f"{out_dir}/artifacts")
-    undecodable.unionByName(empty).write.json(f"{out_dir}/quarantine")
+    inputs = artifacts_from(read_rows(spark, location), source=source, variant=variant, extra=UNUSABLE)
+    if pastes is not None:
+        seq = [c for c in ("artifact_seq",) if c in pastes.columns]
+        missing = F.col("content").isNull()
+        named = pastes.where(missing | (F.col("content") != "")).select(
+            *seq, "content", sniffed_name(F.col("content")).alias("filename"), F.lit(None).cast("string").alias("path"),
+            F.when(missing, "NullContent").alias("error_class"), F.when(missing, "content is required").alias("message"),
+        )
+        inputs = inputs.unionByName(artifacts_from(named, source=source, variant=variant, extra=UNUSABLE))
+    artifacts, unusable = store_ingest(inputs, f"{out_dir}/artifacts")
+    unusable.write.json(f"{out_dir}/quarantine")
     audit = run_audit(artifacts, rules, packages)
     write_package(audit, out_dir, bodies=False, **identity)
     return audit

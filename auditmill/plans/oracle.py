@@ -255,8 +255,17 @@ findings AS (SELECT * FROM line_findings UNION ALL SELECT * FROM tree_findings U
     ])
 
 
-def doc_rows_sql() -> str:
-    return f"""{DOCUMENTS},
+COPIES = f"""
+docs AS (
+  SELECT row_number() OVER (PARTITION BY coalesce(source, 'UNKNOWN'), text) - 1 AS artifact_seq, 'snippet.py' AS filename, source, text AS content
+  FROM documents WHERE text IS NOT NULL),
+doc_artifacts AS (
+  SELECT *, 'python' AS language, sha256(content) AS content_hash, {ARTIFACT_ID} AS artifact_id
+  FROM (SELECT * REPLACE (coalesce(source, 'UNKNOWN') AS source) FROM docs))"""
+
+
+def doc_rows_sql(documents: str = DOCUMENTS) -> str:
+    return f"""{documents},
 doc_rows AS (
   SELECT artifact_id, artifact_seq, filename, source, i AS line_no, ls[i] AS line
   FROM (SELECT *, {lines_of('content')} AS ls FROM doc_artifacts), unnest(range(1, len(ls) + 1)) AS t(i))"""
@@ -315,6 +324,7 @@ put("ast_findings_dedup", f"{CODE},{tree_sql(CORE, CORE_TREE)}", f"SELECT {FINDI
 put("ast_findings_doc", f"{CODE},{tree_sql(DOC, DOC_TREE)}", f"SELECT {FINDING_COLUMNS} FROM tree_findings")
 put("scan_errors", CODE, """SELECT artifact_id, 'ast' AS stage, 'SyntaxError' AS error_class FROM code_artifacts
   WHERE user_id % 17 = 0""")
+ORACLE["audit_scan_errors"] = ORACLE["scan_errors"]
 put("custom_rule_findings", CODE, """SELECT artifact_id, filename AS artifact_filename, source AS artifact_source,
   CASE r WHEN 13 THEN 'INJECTION_SINK' ELSE 'DANGEROUS_EXEC' END AS finding_type,
   CASE r WHEN 13 THEN 'LOW' ELSE 'HIGH' END AS severity,
@@ -416,6 +426,9 @@ put("top_findings_ranked", F_ALL, top_sql(_RANK))
 put("total_risk_score", F_ALL, f"SELECT CAST(coalesce(sum({WEIGHT}), 0) AS BIGINT) AS total_risk_score FROM findings")
 put("artifact_risk_score", F_ALL, f"""SELECT a.artifact_id, a.artifact_seq, a.filename, a.source, count(f.rule_id) AS finding_count,
   CAST(coalesce(sum({WEIGHT}), 0) AS BIGINT) AS risk_score FROM artifacts a LEFT JOIN findings f USING (artifact_id) GROUP BY ALL""")
+put("artifact_risk_score_copies", f"{doc_rows_sql(COPIES)},{line_rules_sql(CORE, 'doc_rows', 'findings')}",
+    f"""SELECT a.artifact_id, a.artifact_seq, a.filename, a.source, count(f.rule_id) AS finding_count,
+  CAST(coalesce(sum({WEIGHT}), 0) AS BIGINT) AS risk_score FROM doc_artifacts a LEFT JOIN findings f USING (artifact_id) GROUP BY ALL""")
 
 FLAGS = f""", flags AS (SELECT
   EXISTS (SELECT 1 FROM findings WHERE severity IN ('CRITICAL', 'HIGH')) AS severe,

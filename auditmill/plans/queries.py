@@ -28,7 +28,14 @@ from auditmill.plans.audit import all_findings, joined_gate_plan, package_size,
 from auditmill.plans.storage import stored
 from auditmill.rules import CORE, Rule, ruleset
 from auditmill.sources import corpora
-from auditmill.sources.artifacts import inventory, language_by_extension, pasted_snippets, route
+from auditmill.sources.artifacts import (
+    artifacts_from,
+    inventory,
+    language_by_extension,
+    pasted_snippets,
+    route,
+    split_invalid,
+)
 from auditmill.streaming.arrivals import drained
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +61,12 @@ def _findings(spark, sf):
     return all_findings(corpora.audit_corpus(spark, sf))
 
 
+def _tables(spark, sf):
+    """(corpus, findings, dependencies), manifests parsed in one place."""
+    corpus, dependencies = corpora.audit_corpus(spark, sf), _dependencies(spark, sf)
+    return corpus, all_findings(corpus, dependencies=dependencies), dependencies
+
+
 def _audit(spark, sf):
     """A stored run for the outputs that read findings several times; they need no parse errors."""
     return run_audit(stored(corpora.audit_corpus(spark, sf), "corpus"), report_errors=False)
@@ -70,7 +83,8 @@ def _doc_corpus(spark, sf):
 
 def _doc_tables(spark, sf):
     corpus = _doc_corpus(spark, sf)
-    return all_findings(corpus, "doc", "doc"), analyze_dependencies(corpus, "doc")
+    dependencies = analyze_dependencies(corpus, "doc")
+    return all_findings(corpus, "doc", "doc", dependencies), dependencies
 
 
 # --- Sources and routing --------------------------------------------------------------------------------------------
@@ -146,12 +160,12 @@ def regex_findings_doc(spark, sf):
 
 @query()
 def ast_findings(spark, sf):
-    return scan_tree_findings(corpora.code_corpus(spark, sf)).select(*FINDING_COLUMNS)
+    return scan_tree_findings(corpora.code_corpus(spark, sf), once_per_content=True).select(*FINDING_COLUMNS)
 
 
 @query()
 def ast_findings_in_place(spark, sf):
-    return scan_tree_findings(corpora.code_corpus(spark, sf), once_per_content=False).select(*FINDING_COLUMNS)
+    return scan_tree_findings(corpora.code_corpus(spark, sf)).select(*FINDING_COLUMNS)
 
 
 @query()
@@ -169,6 +183,13 @@ def scan_error_rows(spark, sf):
     return scan_errors(corpora.code_corpus(spark, sf)).select("artifact_id", "stage", "error_class")
 
 
+@query()
+def audit_scan_errors(spark, sf):
+    """Parse errors as a whole stored run keeps them."""
+    audit = run_audit(stored(corpora.audit_corpus(spark, sf), "corpus"))
+    return audit.scan_errors.select("artifact_id", "stage", "error_class")
+
+
 def _aliased_shell(node: ast.AST) -> bool:
     """Any `<name>.run(..., shell=True)` other than subprocess.run."""
     match node:
@@ -178,7 +199,8 @@ def _aliased_shell(node: ast.AST) -> bool:
 
 
 CUSTOM_RULES = (
-    Rule("INJECTION_JSON_LOADS", "REGEX", "LOW", "JSON is loaded.", "Validate the input.", "CWE-20", r"\bjson\.loads\("),
+    Rule("INJECTION_JSON_LOADS", "REGEX", "LOW", "JSON is loaded.", "Validate the input.", "CWE-20",
+         r"\b(?P<json_module>json)\.loads\("),
     Rule("DANGEROUS_EXEC_ALIASED_SHELL", "AST", "HIGH", "Shell call through an alias.", "Avoid shell=True.", "CWE-78",
          check=_aliased_shell, node_types=(ast.Call,), finding_type="DANGEROUS_EXEC"),
 )
@@ -403,27 +425,35 @@ def artifact_risk_score(spark, sf):
     return risk.artifact_risk_score(corpus, all_findings(corpus))
 
 
+@query()
+def artifact_risk_score_copies(spark, sf):
+    """Every document as a paste that nothing but its text identifies: equal pastes stay separate artifacts."""
+    pastes, _ = split_invalid(corpora.table(spark, sf, "documents").select("source", F.col("text").alias("content")))
+    artifacts = artifacts_from(pastes)
+    return risk.artifact_risk_score(artifacts, scan_lines(artifacts))
+
+
 @query()
 def gate_flags(spark, sf):
-    return risk.gate_flags(_findings(spark, sf), _dependencies(spark, sf))
+    return risk.gate_flags(*_tables(spark, sf)[1:])
 
 
 @query("gate_plan")
 def gate_plan_rows(spark, sf):
-    return joined_gate_plan(gate_plan(_findings(spark, sf), _dependencies(spark, sf)))
+    return joined_gate_plan(gate_plan(*_tables(spark, sf)[1:]))
 
 
 @query()
 def gate_plan_by_source(spark, sf):
-    corpus = corpora.audit_corpus(spark, sf)
-    by_source = [t.withColumnRenamed("artifact_source", "source") for t in (all_findings(corpus), _dependencies(spark, sf))]
+    corpus, *tables = _tables(spark, sf)
+    by_source = [t.withColumnRenamed("artifact_source", "source") for t in tables]
     return joined_gate_plan(gate_plan(*by_source, artifacts=corpus, keys=["source"]))
 
 
 @query()
 def gate_plan_by_artifact(spark, sf):
-    corpus = corpora.audit_corpus(spark, sf)
-    plan = gate_plan(all_findings(corpus), _dependencies(spark, sf), artifacts=corpus, keys=["artifact_id"])
+    corpus, found, dependencies = _tables(spark, sf)
+    plan = gate_plan(found, dependencies, artifacts=corpus, keys=["artifact_id"])
     return plan.select("artifact_id", "gate_ord", "gate_type", "failure_action")
 
 
@@ -457,8 +487,8 @@ def executive_summary(spark, sf):
 
 @query()
 def dashboard_metrics(spark, sf):
-    corpus = corpora.audit_corpus(spark, sf)
-    return risk.dashboard_metrics(all_findings(corpus), _dependencies(spark, sf), corpus)
+    corpus, found, dependencies = _tables(spark, sf)
+    return risk.dashboard_metrics(found, dependencies, corpus)
 
 
 # --- Evidence -------------------------------------------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,9 @@ MANIFEST_SUFFIXES = (".txt", ".toml", ".json")
 SAMPLE_TAGS = (("app_with_secrets.py", "COPILOT"), ("data_processor.py", "CLAUDE"))
 MANIFEST_TAG = "UNKNOWN_DEPENDENCY_FILE"
 
+COPY_SALTS = 64
+COPIES_PER_BLOCK = 4096
+
 
 def has_suffix(filename: Column, suffixes=MANIFEST_SUFFIXES) -> Column:
     return reduce(Column.__or__, [filename.endswith(s) for s in suffixes])
@@ -40,12 +44,15 @@ def sample_source_tag(filename: Column) -> Column:
     return tag.otherwise("UNKNOWN")
 
 
-def artifacts_from(rows: DataFrame, *, source: str | None = None, variant: str = "core") -> DataFrame:
-    """Artifact table from rows with `content` and, optionally, filename, source, artifact_seq and created_at.
+def artifacts_from(
+    rows: DataFrame, *, source: str | None = None, variant: str = "core", extra: Sequence[str] = ()
+) -> DataFrame:
+    """Artifact table from rows with `content` and, optionally, filename, source, language, artifact_seq and created_at.
 
-    Ids are digests, so a retried task yields the same ids. Rows equal in filename, source and content share an id
-    unless `artifact_seq` tells them apart (the file sources set it). Rows with null content violate the model; route them
-    with `split_invalid` first. `source` tags every row of the run.
+    Ids are digests, so a retried task yields the same ids. `artifact_seq` tells equal rows apart (the file sources set
+    it, and it keeps the table narrow). Without it equal rows are counted and numbered, which shuffles each distinct
+    content; a stream has to bring it. Rows with null content violate the model; route them with `split_invalid` first.
+    `source` tags every row of the run. `extra` columns of the rows travel along behind the artifact's.
     """
     have = set(rows.columns)
 
@@ -54,8 +61,7 @@ def artifacts_from(rows: DataFrame, *, source: str | None = None, variant: str =
 
     if source is not None:
         rows, have = rows.withColumn("source", F.lit(source)), have | {"source"}
-    base = rows.selectExpr(
-        given("artifact_seq", "BIGINT", "0L"),
+    columns = [
         given("filename", "STRING", f"'{SNIPPET_NAME}'"),
         given("source", "STRING", "'UNKNOWN'"),
         given("created_at", "TIMESTAMP", "current_timestamp()"),
@@ -63,12 +69,38 @@ def artifacts_from(rows: DataFrame, *, source: str | None = None, variant: str =
         "content",
         # Declared non-null, so that joins and groupings on digests add no null test that would hash contents again.
         "coalesce(sha2(content, 256), '') AS content_hash",
-    )
+        *extra,
+    ]
+    identity = ["filename", "source", "content_hash", "artifact_seq"]
+    if "artifact_seq" in have:
+        base = rows.selectExpr(given("artifact_seq", "BIGINT", "0L"), *columns)
+    elif rows.isStreaming:
+        raise ValueError("a stream of artifacts needs artifact_seq: equal rows cannot be counted over all of it")
+    else:
+        # Rows that differ in a given time or language only are no copies of each other.
+        told = {"created_at": "CAST(unix_micros(CAST(created_at AS TIMESTAMP)) AS STRING)", "language": "language"}
+        marks = [f"coalesce({told[c]}, '') AS _{c}" for c in told if c in have]
+        base = _numbered(rows.selectExpr(*columns, *marks))
+        identity += [f"_{c}" for c in told if c in have]
     if variant == "doc":
         base = base.withColumn("language", language_by_extension(F.col("filename")))
-    identity = F.concat_ws(FIELD_SEP, "filename", "source", "content_hash", "artifact_seq")
-    digest = F.coalesce(F.sha2(identity, 256), F.lit(""))
-    return base.withColumn("artifact_id", digest).select(*ARTIFACT.fieldNames())
+    digest = F.coalesce(F.sha2(F.concat_ws(FIELD_SEP, *identity), 256), F.lit(""))
+    return base.withColumn("artifact_id", digest).select(*ARTIFACT.fieldNames(), *extra)
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Equal rows numbered from 0 by `artifact_seq`; equal rows are interchangeable, so any order gives the same table.
+
+    Copies travel as counts, first per salt, so a hot row meets as at most `COPY_SALTS` rows in one task. Its copies
+    are written out again in blocks that spread over tasks.
+    """
+    keys = rows.columns
+    salted = rows.withColumn("salt", F.spark_partition_id() % COPY_SALTS).groupBy(*keys, "salt").agg(F.count("*").alias("n"))
+    copies = salted.groupBy(*keys).agg(F.sum("n").alias("n"))
+    starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(COPIES_PER_BLOCK).cast("bigint")))
+    blocks = copies.select(*keys, "n", starts.alias("start")).repartition("content_hash", "start")
+    last = F.least(F.col("n"), F.col("start") + COPIES_PER_BLOCK) - 1
+    return blocks.select(*keys, F.explode(F.sequence("start", last)).alias("artifact_seq"))
 
 
 def split_invalid(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -97,14 +129,17 @@ def looks_like_manifest(content: Column) -> Column:
     return F.aggregate(split_lines(content), F.lit(0), lambda total, line: total + vote(line)) > 0
 
 
+def sniffed_name(content: Column) -> Column:
+    return F.when(looks_like_manifest(content), MANIFEST_NAME).otherwise(SNIPPET_NAME)
+
+
 def pasted_snippets(rows: DataFrame) -> DataFrame:
     """Pasted text gets a filename by sniffing; the content stays as pasted. Empty text makes no artifact."""
-    return rows.where(F.col("content") != "").withColumn(
-        "filename", F.when(looks_like_manifest(F.col("content")), MANIFEST_NAME).otherwise(SNIPPET_NAME)
-    )
+    return rows.where(F.col("content") != "").withColumn("filename", sniffed_name(F.col("content")))
 
 
-CODE_ROUTE, MANIFEST_ROUTE, NO_ROUTE = "code_scan", "dependency_scan", "none"
+CODE_ROUTE, MANIFEST_ROUTE, NO_ROUTE, QUARANTINE = "code_scan", "dependency_scan", "none", "quarantine"
+UNUSABLE = ("path", "error_class", "message")
 
 
 def route() -> Column:
@@ -143,6 +178,17 @@ def read_artifacts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def store_ingest(rows: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """(artifacts, quarantine) from artifact rows with the `UNUSABLE` columns, written in one pass: a row with an
+    `error_class` goes to a route of its own, which no scan opens."""
+    routes = F.when(F.col("error_class").isNotNull(), QUARANTINE).otherwise(route())
+    rows.withColumn("route", routes).write.partitionBy("route").parquet(path)
+    kept = [*ARTIFACT.fields, *[T.StructField(c, T.StringType()) for c in (*UNUSABLE, "route")]]
+    table = rows.sparkSession.read.schema(T.StructType(kept)).parquet(path)
+    bad = table.where(F.col("route") == QUARANTINE).select("path", F.lit("ingest").alias("stage"), "error_class", "message")
+    return table.where(F.col("route") != QUARANTINE).drop(*UNUSABLE), bad
+
+
 def inventory(artifacts: DataFrame, *, legacy: bool = False) -> DataFrame:
     """Display table; the legacy form shows a shorter hash and no language."""
     preview = F.concat(F.substring("content_hash", 1, 10 if legacy else 16), F.lit("..."))

@@ -6,9 +6,9 @@ from an audit. Listing and reading therefore run as Spark jobs over Arrow filesy
 
 from __future__ import annotations
 
-import io
 import re
 import zipfile
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -24,9 +24,12 @@ ARCHIVE_SUFFIX = ".zip"
 SPREAD_LEVELS = 2
 ROWS_PER_BATCH = 1024
 BYTES_PER_BATCH = 16 << 20
+MAX_BYTES = (1 << 30) - 1  # Spark holds a string in one array
+_TOO_LARGE = f"larger than {MAX_BYTES} bytes"
 
 _LISTED = "path string, folder boolean"
-_MEMBERS = "path string, filename string, content string, error_class string, message string"
+_PARTS = "path string, member string, error_class string, message string"
+_CONTENTS = "path string, member string, filename string, content string, error_class string, message string"
 
 
 def list_files(spark: SparkSession, location: str) -> DataFrame:
@@ -53,64 +56,43 @@ def list_files(spark: SparkSession, location: str) -> DataFrame:
     return found.mapInArrow(lister(True), _LISTED).select("path")
 
 
-def read_bytes(files: DataFrame, location: str) -> DataFrame:
-    """(path, content) of the listed files, read where the rows are."""
+def read_rows(spark: SparkSession, location: str, suffixes: tuple[str, ...] = (*UPLOAD_SUFFIXES, ARCHIVE_SUFFIX)) -> DataFrame:
+    """`artifact_seq, filename, content, path, error_class, message` of every file and archive member, in one pass.
+
+    One listing and one read: rows that could not be read have an `error_class` and no content. Archives are first
+    opened for their directory only; then members are spread over tasks, and each task reads its own members through
+    a seekable handle, so a big archive is neither one task nor one record. Files are strict UTF-8; the filename is
+    the base name, or the member's path. `artifact_seq` is a digest of the full path, which keeps equal files apart.
+    """
     uri = re.sub("^s3a:", "s3:", location)
-    schema = "path string, content binary"
+    wanted = list_files(spark, location).where(has_suffix(F.col("path"), suffixes))
+    # (path, member) is unique, so the copies and members of one archive spread out as well.
+    parts = wanted.repartition("path").mapInArrow(_rows(_parts(uri), _PARTS), _PARTS).repartition("path", "member")
+    rows = parts.sortWithinPartitions("path").mapInArrow(_rows(_contents(uri), _CONTENTS), _CONTENTS)
+    seq = F.when(F.col("member").isNull(), F.xxhash64("path")).otherwise(F.xxhash64("path", "filename"))
+    place = F.concat_ws("!", "path", "member")
+    return rows.select(seq.alias("artifact_seq"), "filename", "content", place.alias("path"), "error_class", "message")
 
-    def load(path: str) -> Iterator[tuple]:
-        system, _ = fs.FileSystem.from_uri(uri)
-        with system.open_input_stream(path) as stream:
-            yield path, stream.read()
 
-    return files.repartition("path").mapInArrow(_rows(load, schema), schema)
+def split_read(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows `artifact_seq, filename, content`, quarantine) of `read_rows`; store its rows first where both are used."""
+    bad = rows.where("error_class IS NOT NULL").select("path", F.lit("ingest").alias("stage"), "error_class", "message")
+    return rows.where("error_class IS NULL").select("artifact_seq", "filename", "content"), bad
 
 
 def read_uploads(spark: SparkSession, location: str) -> tuple[DataFrame, DataFrame]:
-    """(rows `artifact_seq, filename, content`, quarantine): strict UTF-8, one row per file, whole contents.
-
-    The filename is the base name; `artifact_seq` is a digest of the full path, which keeps equal files in different
-    folders apart.
-    """
-    wanted = list_files(spark, location).where(has_suffix(F.col("path"), UPLOAD_SUFFIXES))
-    files = (
-        read_bytes(wanted, location)
-        .select("path", F.col("content").cast("string").alias("content"))
-        .withColumn("valid", F.is_valid_utf8("content"))
-    )
-    rows = files.where("valid").select(
-        F.xxhash64("path").alias("artifact_seq"), F.element_at(F.split("path", "/"), -1).alias("filename"), "content"
-    )
-    bad = files.where("NOT valid").select(
-        "path", F.lit("ingest").alias("stage"), F.lit("UnicodeDecodeError").alias("error_class"),
-        F.lit("file is not valid UTF-8").alias("message"),
-    )
-    return rows, bad
+    """(rows, quarantine) of the single files."""
+    return split_read(read_rows(spark, location, UPLOAD_SUFFIXES))
 
 
 def read_archives(spark: SparkSession, location: str) -> tuple[DataFrame, DataFrame]:
-    """(rows `artifact_seq, filename, content`, quarantine) over every member of every zip archive.
-
-    One archive is one input record; its members leave the worker in small batches, and the output is repartitioned
-    so that one big archive does not keep its members in one task for the scans that follow.
-    """
-    archives = list_files(spark, location).where(F.col("path").endswith(ARCHIVE_SUFFIX))
-    members = read_bytes(archives, location).mapInArrow(_rows(_read_members, _MEMBERS), _MEMBERS)
-    # (path, filename) is unique, so copies of one member spread out as well.
-    rows = members.where(F.col("error_class").isNull()).repartition("path", "filename").select(
-        F.xxhash64("path", "filename").alias("artifact_seq"), "filename", "content"
-    )
-    bad = members.where(F.col("error_class").isNotNull()).select(
-        "path", F.lit("ingest").alias("stage"), "error_class", "message"
-    )
-    return rows, bad
+    """(rows, quarantine) over every member of every zip archive."""
+    return split_read(read_rows(spark, location, (ARCHIVE_SUFFIX,)))
 
 
-def read_any(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Single files and archive members together."""
-    files, bad_files = read_uploads(spark, path)
-    members, bad_archives = read_archives(spark, path)
-    return files.unionByName(members), bad_files.unionByName(bad_archives)
+def read_any(spark: SparkSession, location: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine) of single files and archive members together."""
+    return split_read(read_rows(spark, location))
 
 
 def _safe_name(name: str) -> str:
@@ -123,18 +105,64 @@ def _member_text(raw: bytes) -> str:
     return raw.decode("utf-8", "ignore").replace("\r\n", "\n").replace("\r", "\n")
 
 
-def _read_members(path: str, blob: bytes) -> Iterator[tuple]:
-    try:
-        with zipfile.ZipFile(io.BytesIO(blob)) as archive:
-            # A later member of the same name overwrites an earlier one.
+def _parts(uri: str):
+    """One row per file, or per member of an archive: the last of each name, as a later one overwrites it."""
+
+    def parts(path: str) -> Iterator[tuple]:
+        if not path.endswith(ARCHIVE_SUFFIX):
+            yield path, None, None, None
+            return
+        system, _ = fs.FileSystem.from_uri(uri)
+        try:
+            with system.open_input_file(path) as handle, zipfile.ZipFile(handle) as archive:
+                names = {_safe_name(m.filename) for m in archive.infolist() if not m.is_dir()}
+        except (zipfile.BadZipFile, pa.ArrowInvalid) as e:  # Arrow: a seek before the start of a very short file
+            yield path, None, "BadZipFile", str(e)
+        else:
+            for name in names:
+                yield path, name, None, None
+
+    return parts
+
+
+def _contents(uri: str):
+    """The text of each part. Parts come sorted by path, so the members of one archive share one open handle."""
+    held = {}
+
+    def members(system: fs.FileSystem, path: str) -> tuple[zipfile.ZipFile, dict]:
+        if held.get("path") != path:
+            for old in held.pop("open", ()):
+                old.close()
+            handle = system.open_input_file(path)
+            archive = zipfile.ZipFile(handle)
             latest = {_safe_name(m.filename): m for m in archive.infolist() if not m.is_dir()}
-            for name, member in latest.items():
-                try:
-                    yield path, name, _member_text(archive.read(member)), None, None
-                except (RuntimeError, NotImplementedError, zipfile.BadZipFile, EOFError, OSError) as e:
-                    yield f"{path}!{name}", name, None, type(e).__name__, str(e)
-    except zipfile.BadZipFile as e:
-        yield path, None, None, type(e).__name__, str(e)
+            held.update(path=path, open=(archive, handle), latest=latest)
+        return held["open"][0], held["latest"]
+
+    def contents(path: str, member: str | None, error_class: str | None, message: str | None) -> Iterator[tuple]:
+        name, text = member or path.rsplit("/", 1)[-1], None
+        if error_class is None:
+            system, _ = fs.FileSystem.from_uri(uri)
+            try:
+                if member is not None:
+                    archive, latest = members(system, path)
+                    if latest[member].file_size > MAX_BYTES:
+                        raise OverflowError(_TOO_LARGE)
+                    text = _member_text(archive.read(latest[member]))
+                else:
+                    with system.open_input_file(path) as handle:
+                        if handle.size() > MAX_BYTES:
+                            raise OverflowError(_TOO_LARGE)
+                        text = handle.read().decode()
+            except UnicodeDecodeError as e:
+                error_class, message = type(e).__name__, "file is not valid UTF-8"
+            except OverflowError as e:
+                error_class, message = "FileTooLarge", str(e)
+            except (RuntimeError, NotImplementedError, zipfile.BadZipFile, EOFError, zlib.error, pa.ArrowInvalid) as e:
+                error_class, message = type(e).__name__, str(e)
+        yield path, member, name, text, error_class, message
+
+    return contents
 
 
 _ARROW_TYPES = {"string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from auditmill.operators.ast_scan import scan_tree_findings
+from auditmill.operators.ast_scan import scan_trees, tree_errors, tree_findings
 from auditmill.operators.dependencies import analyze_dependencies, dependency_findings
 from auditmill.operators.findings import union_findings
 from auditmill.operators.gates import plan_from_facts
@@ -14,6 +14,7 @@ from auditmill.operators.regex_scan import scan_lines
 from auditmill.operators.risk import merge_facts, risk_facts
 from auditmill.plans.storage import new_path
 from auditmill.schemas import ARTIFACT
+from auditmill.sources.artifacts import split_invalid
 
 
 def arriving_artifacts(spark: SparkSession, path: str, *, files_per_trigger: int | None = None, fmt: str = "parquet") -> DataFrame:
@@ -37,7 +38,8 @@ def severity_counts(artifacts: DataFrame, window: str = "1 hour", delay: str = "
 
 
 def audit_arrivals(artifacts: DataFrame, out_dir: str, checkpoint: str, *, available_now: bool = False) -> StreamingQuery:
-    """Scan every micro-batch with the batch operators and keep findings, dependencies and facts per batch.
+    """Scan every micro-batch with the batch operators and keep findings, dependencies, facts, parse errors and
+    unusable rows (`quarantine`) per batch.
 
     A retried batch overwrites its own folder, so results are exactly once.
     """
@@ -48,9 +50,13 @@ def audit_arrivals(artifacts: DataFrame, out_dir: str, checkpoint: str, *, avail
             df.write.mode("overwrite").parquet(path)
             return df.sparkSession.read.schema(df.schema).parquet(path)
 
-        dependencies = kept(analyze_dependencies(batch), "dependencies")
+        usable, unusable = split_invalid(batch)
+        kept(unusable, "quarantine")
+        trees = kept(scan_trees(usable), "tree_scan")
+        kept(tree_errors(trees), "scan_errors")
+        dependencies = kept(analyze_dependencies(usable), "dependencies")
         findings = kept(
-            union_findings(scan_lines(batch), scan_tree_findings(batch), dependency_findings(dependencies)), "findings"
+            union_findings(scan_lines(usable), tree_findings(trees), dependency_findings(dependencies)), "findings"
         )
         # Facts come from the written tables, not from a second scan.
         kept(risk_facts(findings, dependencies), "facts")

@@ -70,7 +70,7 @@ def test_scans_equal_brute_force(make, files):
     assert rows_of(scan_lines(artifacts, prefilter=False)) == expected
     expected = sorted(x for name, text, _ in files for x in brute_tree(name, text))
     assert rows_of(scan_tree_findings(artifacts)) == expected
-    assert rows_of(scan_tree_findings(artifacts, once_per_content=False)) == expected
+    assert rows_of(scan_tree_findings(artifacts, once_per_content=True)) == expected
     for once in (True, False):
         raw = scan_trees(artifacts, once_per_content=once)
         assert rows_of(tree_findings(raw)) == expected
@@ -119,7 +119,7 @@ def test_broken_files_become_error_rows(make):
     assert set(errors) == set(files) - {"ok.py", "skip.txt"}
     assert errors["broken.py"] == "SyntaxError" and set(errors.values()) <= {"SyntaxError", "MemoryError", "RecursionError", "ValueError"}
     assert {r[0] for r in rows_of(scan_tree_findings(artifacts))} == {"ok.py"}
-    assert tree_errors(scan_trees(artifacts, once_per_content=False)).count() == len(errors)
+    assert tree_errors(scan_trees(artifacts, once_per_content=True)).count() == len(errors)
 
 
 def test_custom_rules(make):
@@ -173,10 +173,11 @@ def test_hot_content_is_parsed_once(spark, make):
     """A third of all files share one content: it is one row before the Python scan, and every copy has its findings."""
     files = [(f"hot{n}.py", "eval('1')", "UNKNOWN") for n in range(300)] + [(f"c{n}.py", f"eval('{n}')", "UNKNOWN") for n in range(600)]
     artifacts = make(files)
-    assert scan_tree_findings(artifacts).count() == 2 * 900
+    found = scan_tree_findings(artifacts, once_per_content=True)
+    assert found.count() == 2 * 900
     parsed = code_artifacts(artifacts).select("content_hash", "content").distinct()
     assert parsed.count() == 600  # c1.py holds the hot content too
-    assert scan_tree_findings(artifacts).groupBy("artifact_id").agg(F.count("*").alias("n")).where("n <> 2").count() == 0
+    assert found.groupBy("artifact_id").agg(F.count("*").alias("n")).where("n <> 2").count() == 0
 
 
 def test_hot_content_join_is_split(spark, make):
@@ -190,7 +191,7 @@ def test_hot_content_join_is_split(spark, make):
     try:
         for key, value in settings_.items():
             spark.conf.set(key, value)
-        found = scan_tree_findings(make(files, partitions=16))
+        found = scan_tree_findings(make(files, partitions=16), once_per_content=True)
         assert len(found.collect()) == 2 * 15000
         assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
     finally:

@@ -5,10 +5,13 @@ import io
 import re
 import zipfile
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from auditmill.operators.ast_scan import scan_tree_findings
+from auditmill.operators.risk import artifact_risk_score
 from auditmill.sources.artifacts import artifacts_from, inventory, pasted_snippets, split_invalid
 from auditmill.sources.files import read_any, read_archives, read_uploads
 
@@ -81,10 +84,35 @@ def test_defaults_and_ids(spark):
     assert artifacts_from(df).first().source == "UNKNOWN"
 
 
+def test_equal_rows_are_separate_artifacts(spark, monkeypatch):
+    monkeypatch.setattr("auditmill.sources.artifacts.COPIES_PER_BLOCK", 10)
+    texts = ["eval('x')"] * 57 + ["a"] * 10 + ["b"]
+    df = spark.createDataFrame([(t, "2024-01-01" if n < 30 else None) for n, t in enumerate(texts)], "content string, created_at string")
+    for rows in (df.select("content"), df.repartition(7).select("content")):
+        made = artifacts_from(rows).collect()
+        assert sorted(r.content for r in made) == sorted(texts) and len({r.artifact_id for r in made}) == len(texts)
+        assert sorted(r.artifact_seq for r in made if r.content == "a") == list(range(10))
+    timed = artifacts_from(df).collect()
+    assert len({r.artifact_id for r in timed}) == len(texts)
+    assert sum(r.created_at.year == 2024 for r in timed) == 30
+    artifacts = artifacts_from(df.limit(2))
+    scores = artifact_risk_score(artifacts, scan_tree_findings(artifacts)).collect()
+    assert [r.risk_score for r in scores] == [100, 100]  # two findings each
+    assert artifacts_from(df.where("false")).count() == 0
+
+
+def test_streams_must_identify_rows(spark, tmp_path):
+    spark.range(1).selectExpr("'x' AS content").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("content string").parquet(str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="artifact_seq"):
+        artifacts_from(stream)
+
+
 def test_languages(spark):
     names = ["a.py", "b.txt", "requirements.txt", "c.toml", "d.json", "Makefile"]
     df = spark.createDataFrame([(n, "") for n in names], "filename string, content string")
-    assert [r.language for r in artifacts_from(df, variant="doc").collect()] == ["python", "text", "text", "toml", "unknown", "unknown"]
+    assert {r.filename: r.language for r in artifacts_from(df, variant="doc").collect()} == dict(
+        zip(names, ["python", "text", "text", "toml", "unknown", "unknown"]))
     assert {r.language for r in artifacts_from(df).collect()} == {"python"}
 
 

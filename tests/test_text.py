@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from auditmill.functions import scoring
-from auditmill.functions.text import context_free, explode_lines, java_pattern, size_text, strip
+from auditmill.functions.text import check_patterns, context_free, explode_lines, java_pattern, size_text, strip
 from auditmill.rules import RULESETS
 
 BREAKS = ["\n", "\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029"]
@@ -32,7 +32,7 @@ def test_strip_like_python(spark):
 
 PATTERNS = [r.pattern for s in RULESETS.values() for r in s.rules if r.pattern] + [
     r"(?i)key", r"\bword\b", r"[\w-]+@\d+", r"\S+\s\W", r"[[a]&&b]", r"(?P<q>['\"]).*(?P=q)", r"a\Z", r"(?a)\w+\d", r"[]x]+",
-    r"[^\s\w]", r"end$",
+    r"[^\s\w]", r"end$", r"(?P<my_key>a)(?P<my_key2>\d|b)", r"(?P<open_quote>['\"]).*(?P=open_quote)", r"wo(?#comment)rd",
 ]
 PROBES = [
     'api_key = "0123456789abcdefghij"', 'API_KEY="0123456789abcdefghi"', 'TOKEN = "0123456789abcdefghij"',
@@ -52,6 +52,13 @@ def test_patterns_match_like_python(spark, pattern):
     assert got == [re.search(pattern, t) is not None for t in PROBES]
 
 
+def test_patterns_java_cannot_take_raise_on_the_driver(spark):
+    check_patterns(spark, [java_pattern(p) for p in PATTERNS])
+    for pattern in (r"(a)?(?(1)b|c)", r"(?P<my_key>a)?(?(my_key)b|c)"):
+        with pytest.raises(ValueError, match="Java"):
+            check_patterns(spark, [java_pattern(pattern)])
+
+
 def test_context_free():
     for pattern in ("^a", "a$", r"\ba", "(?=a)", "(?<!a)b", r"a\Z", "a++", r"(a)\1"):
         assert not context_free(pattern), pattern
