@@ -11,6 +11,7 @@ from auditmill.operators import summary
 from auditmill.policy import CORE as CORE_POLICY
 from auditmill.policy import NOTEBOOK as NOTEBOOK_POLICY
 from auditmill.rules import CORE, DOC, NOTEBOOK, Ruleset
+from auditmill.sources.corpora import NESTED_FILES
 
 ORACLE: dict[str, str] = {}
 
@@ -199,7 +200,7 @@ DOC_TREE = [
 ]
 
 
-def tree_sql(catalog: Ruleset, hits, name: str = "tree_findings") -> str:
+def tree_sql(catalog: Ruleset, hits, name: str = "tree_findings", more: str = "") -> str:
     texts = {e.rule_id: (i, e) for i, r in reversed(catalog.tree_rules) for e in r.emits if e.rule_id == r.rule_id}
     rows = []
     for r, rule_id, called, snippet, copies in hits:
@@ -213,12 +214,42 @@ def tree_sql(catalog: Ruleset, hits, name: str = "tree_findings") -> str:
 {name} AS (
   SELECT c.artifact_id, c.artifact_seq, c.filename AS artifact_filename, c.source AS artifact_source, t.finding_type,
     t.severity, t.rule_id, t.description, '{catalog.location_label} ' || c.line_no AS location, t.evidence_snippet,
-    t.remediation_guidance, CAST(t.cwe_mapping AS VARCHAR) AS cwe_mapping, 2 AS phase, c.line_no, t.rule_ord, t.dup
+    t.remediation_guidance, CAST(t.cwe_mapping AS VARCHAR) AS cwe_mapping, 2 AS phase, c.line_no, t.rule_ord, t.dup{more}
   FROM code_rows c JOIN (VALUES {values(rows)}) AS t(r, finding_type, severity, rule_id, description, evidence_snippet,
     remediation_guidance, cwe_mapping, rule_ord, dup) ON c.r = t.r
   WHERE c.user_id % 17 <> 0)"""
 
 
+# Expected tree hits by nested file: (file, position, line, emission rule id, called name, evidence, number of findings).
+# Positions count the nodes of the syntax tree breadth first, from 0 for the module.
+NESTED_TREE = [
+    (0, 12, 7, "AST_DANGEROUS_EVAL_EXEC", "eval", "eval('1 + 1')", 2),
+    (0, 14, 6, "AST_PICKLE_LOADS", "", "pickle.loads(blob)", 1),
+    (1, 4, 1, "AST_DANGEROUS_EVAL_EXEC", "eval", "eval('1')", 2),
+    (1, 6, 1, "AST_DANGEROUS_EVAL_EXEC", "exec", "exec('2')", 2),
+    (2, 12, 3, "AST_SUBPROCESS_SHELL_TRUE", "run", "subprocess.run(['ls'], shell=True)", 2),
+    (2, 14, 7, "AST_DANGEROUS_EVAL_EXEC", "eval", "builtins.eval(exec('z'))", 2),
+    (2, 19, 7, "AST_DANGEROUS_EVAL_EXEC", "eval", "builtins.eval", 2),
+    (2, 20, 7, "AST_DANGEROUS_EVAL_EXEC", "exec", "exec('z')", 2),
+]
+
+
+def nested_sql() -> str:
+    """Tree findings of the nested files; `tree_sql` gives their texts, one pseudo line per (file, position)."""
+    files = values((n, text(body)) for n, body in enumerate(NESTED_FILES))
+    places = values((100 * f + p, f, p, line) for f, p, line, *_ in NESTED_TREE)
+    hits = [(100 * f + p, rule_id, called, snippet, copies) for f, p, _, rule_id, called, snippet, copies in NESTED_TREE]
+    return f"""
+nested AS (
+  SELECT o_orderkey AS artifact_seq, 'o' || o_orderkey || '.py' AS filename,
+    ['COPILOT', 'CLAUDE', 'AGENT', 'UNKNOWN'][o_orderkey % 4 + 1] AS source, body || '# order ' || o_orderkey AS content
+  FROM orders JOIN (VALUES {files}) AS b(f, body) ON f = o_orderkey % 4),
+code_rows AS (
+  SELECT {ARTIFACT_ID} AS artifact_id, artifact_seq, filename, source, 1 AS user_id, r, position, line_no
+  FROM nested JOIN (VALUES {places}) AS p(r, f, position, line_no) ON f = artifact_seq % 4),
+{tree_sql(CORE, hits, more=", c.position")}"""
+
+
 def dep_findings_sql(doc: bool = False) -> str:
     branches = []
     reasons = [(0, dep._SUSPICIOUS_DOC, "suspicious")] if doc else [
@@ -322,6 +353,9 @@ put("ast_findings", f"{CODE},{tree_sql(CORE, CORE_TREE)}", f"SELECT {FINDING_COL
 ORACLE["ast_findings_in_place"] = ORACLE["ast_findings"]
 put("ast_findings_dedup", f"{CODE},{tree_sql(CORE, CORE_TREE)}", f"SELECT {FINDING_COLUMNS} FROM tree_findings WHERE dup = 0")
 put("ast_findings_doc", f"{CODE},{tree_sql(DOC, DOC_TREE)}", f"SELECT {FINDING_COLUMNS} FROM tree_findings")
+put("ast_findings_nested", nested_sql(), f"""SELECT sha256(concat_ws(chr(1), artifact_id, CAST(phase AS VARCHAR),
+    CAST(position AS VARCHAR), CAST(rule_ord AS VARCHAR), CAST(dup AS VARCHAR))) AS finding_id,
+  CAST(position AS BIGINT) AS position, {FINDING_COLUMNS} FROM tree_findings""")
 put("scan_errors", CODE, """SELECT artifact_id, 'ast' AS stage, 'SyntaxError' AS error_class FROM code_artifacts
   WHERE user_id % 17 = 0""")
 ORACLE["audit_scan_errors"] = ORACLE["scan_errors"]

@@ -178,6 +178,12 @@ def ast_findings_doc(spark, sf):
     return scan_tree_findings(_doc_corpus(spark, sf), "doc").select(*FINDING_COLUMNS)
 
 
+@query()
+def ast_findings_nested(spark, sf):
+    """Tree findings in nested code, with the ids and the tree positions that order them."""
+    return scan_tree_findings(corpora.nested_corpus(spark, sf)).select("finding_id", "position", *FINDING_COLUMNS)
+
+
 @query("scan_errors")
 def scan_error_rows(spark, sf):
     return scan_errors(corpora.code_corpus(spark, sf)).select("artifact_id", "stage", "error_class")

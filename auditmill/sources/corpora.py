@@ -92,6 +92,48 @@ def code_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return artifacts_from(rows)
 
 
+# Whole files by o_orderkey modulo 4, with nested blocks, calls over several lines and two sinks on one line.
+NESTED_FILES = (
+    """import pickle
+
+class Job:
+    def run(self, blob):
+        if blob:
+            return pickle.loads(blob)
+        return eval(
+            "1 + 1"
+        )
+""",
+    """x = eval("1"); y = exec("2")
+""",
+    """def go():
+    for i in range(3):
+        subprocess.run(
+            ["ls"],
+            shell=True,
+        )
+    return lambda: builtins.eval(exec("z"))
+""",
+    """def ok():
+    return json.loads("{}")
+""",
+)
+
+
+def nested_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One Python file per order; a closing comment makes every content its own."""
+    key = F.col("o_orderkey").cast("string")
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("bigint").alias("artifact_seq"),
+        F.concat(F.lit("o"), key, F.lit(".py")).alias("filename"),
+        F.get(constant(list(SOURCE_TAGS), "array<string>"), (F.col("o_orderkey") % 4).cast("int")).alias("source"),
+        F.concat(
+            F.get(constant(list(NESTED_FILES), "array<string>"), (F.col("o_orderkey") % 4).cast("int")), F.lit("# order "), key
+        ).alias("content"),
+    )
+    return artifacts_from(rows)
+
+
 # Package names by p_partkey modulo 16, manifest names by p_size modulo 3.
 PACKAGES = (
     "requests", "numpy", "pandas", "fastapi", "SQLAlchemy", "Flask", "pyyaml", "shodan", "MD5",
