@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditmill.functions.text import constant
+from auditmill.functions.text import FIELD_SEP, constant
 from auditmill.operators.risk import high_or_critical, risk_facts, risky_dependencies
 
 # Gate texts.
@@ -112,8 +112,14 @@ def gate_details_doc(findings: DataFrame, dependencies: DataFrame) -> DataFrame:
     return secrets.unionByName(severe).unionByName(unsafe)
 
 
+def details_text() -> Column:
+    """The details map as `key=value,...`, sorted; null where a gate has none."""
+    return F.array_join(F.sort_array(F.transform(F.map_entries("details"), lambda e: F.concat_ws("=", e["key"], e["value"]))), ",")
+
+
 def gate_status_doc(plan: DataFrame) -> DataFrame:
-    """Overall status and summary text of a documentation-variant plan (three rows in, one row out)."""
+    """Identity, overall status and summary text of a documentation-variant plan (three rows in, one row out). The id is
+    a digest of the gates, so equal plans have equal ids."""
     action = F.col("action")
     # Summary messages.
     message = (
@@ -126,12 +132,17 @@ def gate_status_doc(plan: DataFrame) -> DataFrame:
         .when((F.col("gate_type") == "CI_BUILD") & (action == "BLOCK"),
               "CI Build gate blocking due to insecure/hallucinated dependencies.")
     )
+    told = F.concat_ws(FIELD_SEP, "gate_type", "action", "reason", F.coalesce(details_text(), F.lit("")))
     totals = plan.agg(
+        F.array_sort(F.collect_list(F.struct("gate_ord", told.alias("text")))).alias("gates"),
         F.max(F.when(action == "BLOCK", 2).when(action == "WARN", 1).otherwise(0)).alias("worst"),
         F.array_sort(F.collect_list(F.when(message.isNotNull(), F.struct("gate_ord", message.alias("m"))))).alias("ms"),
     )
     text = F.array_join(F.transform("ms", lambda s: s["m"]), " ")
+    gates = F.array_join(F.transform("gates", lambda g: g["text"]), FIELD_SEP)
     return totals.select(
+        F.sha2(gates, 256).alias("plan_id"),
+        F.current_timestamp().alias("created_at"),
         F.when(F.col("worst") == 2, "BLOCK").when(F.col("worst") == 1, "WARN").otherwise("PASS").alias("overall_status"),
         F.when(F.size("ms") > 0, F.concat(F.lit("Analysis completed. "), text))
          .otherwise("Analysis completed. No significant risks found to block the pipeline.").alias("summary"),

@@ -82,8 +82,7 @@ class Audit:
 def joined_gate_plan(plan: DataFrame, sep: str = "|") -> DataFrame:
     """Gate rows with list and map columns joined to text."""
     if "details" in plan.columns:
-        pairs = F.sort_array(F.transform(F.map_entries("details"), lambda e: F.concat_ws("=", e["key"], e["value"])))
-        return plan.withColumn("details", F.array_join(pairs, ","))
+        return plan.withColumn("details", gates.details_text())
     lists = ("tools", "required_checks", "evidence_required")
     return plan.withColumns({c: F.array_join(c, sep) for c in lists})
 

@@ -537,7 +537,8 @@ put("gate_details_doc", D_ALL, """SELECT * FROM (
   UNION ALL SELECT 'CI_SECURITY', 'finding_id', count(*), count(*) FROM findings WHERE severity IN ('CRITICAL', 'HIGH')
   UNION ALL SELECT 'CI_BUILD', 'denylisted', count(*), count(DISTINCT name) FROM deps WHERE status = 'DENY'
   UNION ALL SELECT 'CI_BUILD', 'hallucinated', count(*), count(DISTINCT name) FROM deps WHERE status = 'HALLUCINATED') WHERE n > 0""")
-put("gate_status_doc", D_ALL + DOC_FLAGS, """SELECT CASE WHEN bool_or(action = 'BLOCK') THEN 'BLOCK' WHEN bool_or(action = 'WARN') THEN 'WARN'
+put("gate_status_doc", D_ALL + DOC_FLAGS, """SELECT sha256(string_agg(concat_ws(chr(1), gate_type, action, reason,
+    coalesce(details, '')), chr(1) ORDER BY gate_ord)) AS plan_id, CASE WHEN bool_or(action = 'BLOCK') THEN 'BLOCK' WHEN bool_or(action = 'WARN') THEN 'WARN'
   ELSE 'PASS' END AS overall_status, CASE WHEN count(message) > 0 THEN 'Analysis completed. ' || string_agg(message, ' ' ORDER BY gate_ord)
   ELSE 'Analysis completed. No significant risks found to block the pipeline.' END AS summary FROM doc_gates""")
 

@@ -478,7 +478,7 @@ def gate_details_doc_rows(spark, sf):
 
 @query("gate_status_doc")
 def gate_status_doc_row(spark, sf):
-    return gate_status_doc(gate_plan_doc(*_doc_tables(spark, sf)))
+    return gate_status_doc(gate_plan_doc(*_doc_tables(spark, sf))).drop("created_at")
 
 
 @query()

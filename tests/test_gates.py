@@ -56,7 +56,9 @@ def test_doc_plan(make, case):
     assert [r.gate_type for r in rows] == ["PRE_COMMIT", "CI_SECURITY", "CI_BUILD"]
     assert tuple(r.action for r in rows) == actions
     assert all((r.details is None) == (r.action == "PASS") for r in rows)
-    assert tuple(gate_status_doc(plan).first()) == (overall, text)
+    status = gate_status_doc(plan)
+    assert tuple(status.select("overall_status", "summary").first()) == (overall, text)
+    assert len(status.first().plan_id) == 64 and status.first().plan_id == gate_status_doc(plan).first().plan_id
 
 
 def test_doc_details_are_rows(make):
