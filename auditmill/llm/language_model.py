@@ -1,7 +1,8 @@
 """A gated recurrent language model: training by truncated backpropagation, scores of whole documents.
 
 Three things are gathered from the corpus: counts of all training words; the model's parameters, each training round's
-being the token-weighted mean of what all tasks learned from a share of the training documents; and nothing else.
+being the token-weighted mean of what all tasks learned from its part of the training documents; and nothing else. The
+rounds' parts are disjoint and together hold every training document, at every size of corpus.
 
 The softmax is factored: first a class, then a word of the class. The model knows the most frequent words and the end
 mark; every other word is "unknown" to it, and gets the unknown word's probability times its share of the unknown
@@ -33,8 +34,6 @@ CLASSES = 32
 WORDS = CLASSES * CLASSES  # of the model, with the end (1) and the unknown word (0)
 EMBED = HIDDEN = 16
 ROUNDS, LANES, WINDOW, RATE = 2, 48, 32, 0.01
-#: A round learns from one document in SHARE; all of them while a corpus has fewer than SMALL_CORPUS tokens a round.
-SHARE, SMALL_CORPUS = 10, 3_000_000
 LN10 = np.log(10.0)
 
 
@@ -323,10 +322,9 @@ def train(tokens: DataFrame, counts: Counts, shared) -> np.ndarray:
     """The model's parameters after all rounds; each task learns on its own documents, Spark averages."""
     context = tokens.sparkSession.sparkContext
     flat = packed(initial(counts.model_counts))
-    share = max(1, min(SHARE, counts.tokens // SMALL_CORPUS))
     documents = tokens.where("NOT held_out")
     for number in range(ROUNDS):
-        part = documents.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("lm")), F.lit(share)) == number % share).select("hashes")
+        part = documents.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("lm")), F.lit(ROUNDS)) == number).select("hashes")
         learned = part.mapInArrow(_train_worker(shared, context.broadcast(flat)), "at int, sum double, weight double")
         means = learned.groupBy("at").agg((F.sum("sum") / F.sum("weight")).alias("mean")).toArrow()  # a row per parameter
         if means.num_rows:

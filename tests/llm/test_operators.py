@@ -259,6 +259,21 @@ def test_language_model_base_and_bounds(docs, rows):
     assert all(r.score < 0 for r in got)
 
 
+def test_language_model_learns_from_every_training_document(spark):
+    """A word's embedding moves only if its document was learned from, also when the corpus is large."""
+    docs = spark.createDataFrame([(i, f"own{i} " * 4000) for i in range(40)], "doc_id bigint, text string").repartition(4)
+    tokens = language_model.split(docs)
+    counts = language_model.totals(language_model.word_counts(tokens), 32)
+    counts.tokens = 10**8
+    shared = spark.sparkContext.broadcast(vars(counts))
+    trained = language_model.unpacked(language_model.train(tokens, counts, shared))
+    before = language_model.initial(counts.model_counts)
+    hashes = [r.h for r in tokens.where("NOT held_out").selectExpr("hashes[0] AS h").collect()]
+    ids = counts.model_ids(np.array(hashes))
+    assert len(ids) > 20 and (ids > 1).all()
+    assert (np.abs(trained["embed"][ids] - before["embed"][ids]).max(1) > 1e-4).all()
+
+
 def test_language_model_gradients_and_carried_state():
     rng = np.random.default_rng(0)
     params = {k: (rng.standard_normal(s) * 0.3).astype(np.float32) for k, s in language_model.SHAPES.items()}
