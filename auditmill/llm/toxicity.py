@@ -2,9 +2,10 @@
 
 Two word-bigram models, of toxic and of ordinary labelled documents, share their lowest order: Kneser-Ney continuation
 counts over both classes. An expression seen after fewer than `MIN_CONTEXTS` different words is rare; both classes score
-it with the shared counts alone, so it does not count for either. A document's figures are its length-normalised
-log-likelihood ratio and the mean ratio of its `TOP` most toxic expressions; a logistic curve, fitted on labelled rows
-that the counts have not seen, turns them into a score.
+it with the shared counts alone, so it does not count for either. A pair seen `MIN_PAIR` times has both classes' own
+counts, also when its second word is rare; that word's share of the back-off is then the shared one. A document's
+figures are its length-normalised log-likelihood ratio and the mean ratio of its `TOP` most toxic expressions; a
+logistic curve, fitted on labelled rows that the counts have not seen, turns them into a score.
 
 The classifier is fitted on bounded samples of labelled rows, chosen by a hash of the id: `COUNT_ROWS` for the counts,
 `CURVE_ROWS` for the curve, and the model keeps the `MODEL_ROWS` most frequent expressions of each order. Scoring covers
@@ -139,9 +140,12 @@ def fit_counts(docs: DataFrame) -> Model:
     def alone(c: str, n: float, types: float) -> Column:
         return F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / n + DISCOUNT * types / n * shared
 
-    known = words.where(F.col("contexts") >= MIN_CONTEXTS).select(
-        "w", (F.col("c0") + F.col("c1")).alias("n"), alone("c0", n0, v0).alias("p0"), alone("c1", n1, v1).alias("p1")
-    )
+    common = F.col("contexts") >= MIN_CONTEXTS
+    known = words.select(
+        "w", (F.col("c0") + F.col("c1")).alias("n"), common.alias("common"),
+        F.when(common, alone("c0", n0, v0)).otherwise(shared).alias("p0"),
+        F.when(common, alone("c1", n1, v1)).otherwise(shared).alias("p1"),
+    )
 
     def after(i: int) -> Column:
         own = F.greatest(F.col(f"c{i}") - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col(f"t{i}") * F.col(f"p{i}")
@@ -152,7 +156,7 @@ def fit_counts(docs: DataFrame) -> Model:
     pair = joined.select(
         F.xxhash64("h", "w").alias("order"), "h", "w", (F.col("c0") + F.col("c1")).alias("n"), F.log(after(1) / after(0)).alias("ratio")
     )
-    word = known.select("w", "n", F.log(F.col("p1") / F.col("p0")).alias("ratio"))
+    word = known.where("common").select("w", "n", F.log(F.col("p1") / F.col("p0")).alias("ratio"))
     w = word.orderBy(F.desc("n"), "w").limit(MODEL_ROWS).toArrow()
     p = pair.orderBy(F.desc("n"), "order").limit(MODEL_ROWS).toArrow()
     with np.errstate(over="ignore"):

@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -151,6 +152,20 @@ def test_toxicity_separates_and_ignores_held_out_labels(spark):
     assert all(again[i] == pytest.approx(got[i].score) for i in got)
 
 
+def test_toxicity_counts_phrases_whose_second_word_follows_one_word(spark):
+    rng = random.Random(6)
+    plain = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(400):
+        words = [rng.choice(plain) for _ in range(30)]
+        rows.append((int(i % 4 == 0), " ".join(words + (["w1", "phrase"] * 2 if i % 4 == 0 else ["w1", "w2"]))))
+    docs = spark.createDataFrame(rows, "toxic int, text string").select("toxic", toxicity.token_hashes(F.col("text")).alias("hashes"))
+    model = toxicity.fit_counts(docs)
+    asked = spark.createDataFrame([("w1 phrase",), ("w7 phrase",)], "text string").select(toxicity.token_hashes(F.col("text")).alias("h"))
+    seen, unseen = (model.ratios(np.array(r.h, np.int64), np.array([0]))[1] for r in asked.collect())
+    assert seen > 2 and unseen == 0
+
+
 def test_toxicity_without_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     assert {r.score for r in toxicity.toxicity_scores(docs, none).collect()} == {0.0}
