@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 
 from auditmill.functions.scoring import DOC_FINDING_TYPES, DOC_SEVERITIES, FINDING_TYPES, SEVERITIES, severity_rank
 from auditmill.functions.text import FIELD_SEP, constant
+from auditmill.operators.positions import page, with_positions
 from auditmill.schemas import FINDING, FINDING_ORDER, PHASES, declared
 
+#: Up to here a position is found by a top-n selection.
+TOP_ROWS = 1000
+
 DEPENDENCY_TYPES = ("INSECURE_DEPENDENCY", "HALLUCINATED_PACKAGE")
 
 
@@ -87,15 +91,26 @@ def findings_view(findings: DataFrame, *, wide: bool = False) -> DataFrame:
     )
 
 
+def finding_positions(findings: DataFrame, *, first: int = 1) -> DataFrame:
+    """Every finding with its place in report order, counted from `first`: what a user pages through.
+
+    Findings are read twice, so hand in stored ones; `positions.page` reads a page of the (stored) result.
+    """
+    numbered = with_positions(findings, FINDING_ORDER, name="report_position")
+    return numbered.withColumn("report_position", F.col("report_position") + first)
+
+
 def finding_detail(findings: DataFrame, position: int) -> DataFrame:
-    """The n-th finding (0-based) in report order: a top-n selection, never a numbering of the whole table."""
+    """The n-th finding (0-based) in report order. Up to `TOP_ROWS` by a top-n selection, which sorts nothing else; a
+    deeper one by its stored position, so that no list of `position` rows ends on the driver."""
+    if position < TOP_ROWS:
+        found = findings.orderBy(*ordered_columns()).offset(position).limit(1)
+    else:
+        found = page(finding_positions(findings, first=0), position, 1, name="report_position")
     label = F.format_string("%s - %s (%s)", "severity", "rule_id", "artifact_filename")
-    return (
-        findings.orderBy(*ordered_columns()).offset(position).limit(1)
-        .select(
-            label.alias("label"), "severity", "rule_id", "artifact_filename", "location", "description",
-            "evidence_snippet", "remediation_guidance",
-        )
+    return found.select(
+        label.alias("label"), "severity", "rule_id", "artifact_filename", "location", "description",
+        "evidence_snippet", "remediation_guidance",
     )
 
 

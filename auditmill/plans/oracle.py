@@ -433,6 +433,12 @@ put("findings_wide", F_ALL, """SELECT severity, finding_type, rule_id, artifact_
 put("finding_detail", F_ALL, """SELECT severity || ' - ' || rule_id || ' (' || artifact_filename || ')' AS label, severity, rule_id,
   artifact_filename, location, description, evidence_snippet, remediation_guidance FROM findings WHERE severity = 'HIGH'
   ORDER BY phase, artifact_seq, artifact_id, line_no, rule_ord, dup LIMIT 1 OFFSET 7""")
+# Report order. Tree findings follow the breadth-first walk: the attribute inside a call lies one level below all calls.
+_REPORT = "phase, artifact_seq, artifact_id, phase = 2 AND evidence_snippet = 'model.eval', line_no, rule_ord, dup"
+put("finding_positions", F_ALL, f"""SELECT row_number() OVER (ORDER BY {_REPORT}) AS report_position, {FINDING_COLUMNS} FROM findings""")
+put("finding_detail_deep", F_ALL, f"""SELECT severity || ' - ' || rule_id || ' (' || artifact_filename || ')' AS label, severity, rule_id,
+  artifact_filename, location, description, evidence_snippet, remediation_guidance FROM findings
+  ORDER BY {_REPORT} LIMIT 1 OFFSET 1500""")
 put("finding_facets", F_ALL, """SELECT DISTINCT 'severity' AS facet, severity AS value FROM findings
   UNION ALL SELECT DISTINCT 'finding_type', finding_type FROM findings""")
 put("finding_type_breakdown", F_ALL, """SELECT t.finding_type, count(f.rule_id) AS finding_count
@@ -532,11 +538,21 @@ doc_gates AS (
     CASE WHEN denied + invented > 0 THEN 'CI Build gate blocking due to insecure/hallucinated dependencies.' END FROM counted)"""
 D_ALL = doc_findings_sql()
 put("gate_plan_doc", D_ALL + DOC_FLAGS, "SELECT gate_ord, gate_type, action, reason, details FROM doc_gates")
-put("gate_details_doc", D_ALL, """SELECT * FROM (
-  SELECT 'PRE_COMMIT' AS gate_type, 'finding_id' AS detail, count(*) AS n, count(*) AS n_distinct FROM findings WHERE finding_type = 'HARDCODED_SECRET'
-  UNION ALL SELECT 'CI_SECURITY', 'finding_id', count(*), count(*) FROM findings WHERE severity IN ('CRITICAL', 'HIGH')
-  UNION ALL SELECT 'CI_BUILD', 'denylisted', count(*), count(DISTINCT name) FROM deps WHERE status = 'DENY'
-  UNION ALL SELECT 'CI_BUILD', 'hallucinated', count(*), count(DISTINCT name) FROM deps WHERE status = 'HALLUCINATED') WHERE n > 0""")
+# Places of the tree findings in the breadth-first walk: the module, its statements, then the statements' children, of
+# which an expression has one, an assignment two (the value is the second) and a comment line none.
+PLACES = """, shapes AS (SELECT artifact_id, line_no, r,
+    CASE WHEN r = 14 THEN 0 WHEN r IN (6, 7, 8, 10, 11, 12, 17) THEN 1 ELSE 2 END AS children FROM code_rows),
+places AS (SELECT artifact_id, line_no, CAST(children - 1 + count(*) FILTER (r <> 14) OVER (PARTITION BY artifact_id) + 1
+    + coalesce(sum(children) OVER (PARTITION BY artifact_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+    AS BIGINT) AS position FROM shapes),
+named AS (SELECT f.finding_type, f.severity, sha256(concat_ws(chr(1), f.artifact_id, CAST(phase AS VARCHAR),
+    CAST(CASE WHEN phase = 2 THEN p.position ELSE f.line_no END AS VARCHAR), CAST(rule_ord AS VARCHAR), CAST(dup AS VARCHAR))) AS finding_id
+  FROM findings f LEFT JOIN places p ON p.artifact_id = f.artifact_id AND p.line_no = f.line_no)"""
+put("gate_details_doc", D_ALL + PLACES, """SELECT 'PRE_COMMIT' AS gate_type, 'finding_id' AS detail, finding_id AS value
+    FROM named WHERE finding_type = 'HARDCODED_SECRET'
+  UNION ALL SELECT 'CI_SECURITY', 'finding_id', finding_id FROM named WHERE severity IN ('CRITICAL', 'HIGH')
+  UNION ALL SELECT 'CI_BUILD', 'denylisted', name FROM deps WHERE status = 'DENY'
+  UNION ALL SELECT 'CI_BUILD', 'hallucinated', name FROM deps WHERE status = 'HALLUCINATED'""")
 put("gate_status_doc", D_ALL + DOC_FLAGS, """SELECT sha256(string_agg(concat_ws(chr(1), gate_type, action, reason,
     coalesce(details, '')), chr(1) ORDER BY gate_ord)) AS plan_id, CASE WHEN bool_or(action = 'BLOCK') THEN 'BLOCK' WHEN bool_or(action = 'WARN') THEN 'WARN'
   ELSE 'PASS' END AS overall_status, CASE WHEN count(message) > 0 THEN 'Analysis completed. ' || string_agg(message, ' ' ORDER BY gate_ord)

@@ -384,6 +384,19 @@ def finding_detail(spark, sf):
     return fd.finding_detail(fd.filter_findings(_findings(spark, sf), ["HIGH"]), 7)
 
 
+@query("finding_positions")
+def finding_position_rows(spark, sf):
+    """Every finding with its 1-based place in the report."""
+    rows = fd.finding_positions(stored(_findings(spark, sf), "findings"))
+    return rows.select("report_position", *FINDING_COLUMNS)
+
+
+@query()
+def finding_detail_deep(spark, sf):
+    """A finding far behind the first page of the report."""
+    return fd.finding_detail(stored(_findings(spark, sf), "findings"), 1500)
+
+
 @query()
 def finding_facets(spark, sf):
     return fd.facets(_findings(spark, sf), ["severity", "finding_type"])
@@ -470,10 +483,8 @@ def gate_plan_doc_rows(spark, sf):
 
 @query("gate_details_doc")
 def gate_details_doc_rows(spark, sf):
-    rows = gate_details_doc(*_doc_tables(spark, sf))
-    return rows.groupBy("gate_type", "detail").agg(
-        F.count("*").alias("n"), F.count_distinct("value").alias("n_distinct")
-    )
+    """The finding ids and package names that each gate of the documentation variant blocks on."""
+    return gate_details_doc(*_doc_tables(spark, sf))
 
 
 @query("gate_status_doc")

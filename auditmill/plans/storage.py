@@ -30,6 +30,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     Scan output is small against the contents it comes from; the rebalance packs it into files of the advisory size
     (and splits hot partitions) instead of one tiny file per scan task.
     """
+    return write_once(df.hint("rebalance"), label)
+
+
+def write_once(df: DataFrame, label: str) -> DataFrame:
+    """Like `stored`, with the partitions as they are."""
     path = new_path(df.sparkSession, label)
-    df.hint("rebalance").write.parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
