@@ -40,3 +40,48 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_cha
        CAST(formatted_chars AS BIGINT) AS formatted_chars
 FROM g
 """
+
+
+def merkle_sql(leaf_levels: int = 13, source_levels: int = 7) -> str:
+    """Both trees level by level, as far as `leaf_levels` and `source_levels` reach; a tree of one node stays as it is."""
+
+    def leaf(text: str) -> str:
+        cells = ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)
+        return "sha256(" + " || ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode({c})) || ':' || {c} END" for c in cells) + ")"
+
+    ctes = [f"""d AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,
+      count(*) OVER (PARTITION BY source) AS n FROM (SELECT doc_id, source, {leaf('text')} AS leaf,
+        CASE WHEN crc % 2 = 0 AND contains(text, chr(10)) THEN {leaf("replace(text, chr(10), '')")} END AS changed
+      FROM (SELECT *, {CRC32} AS crc FROM documents)))""",
+      "t0 AS (SELECT source AS k, p, leaf AS h, n FROM d)"]
+
+    def tree(name: str, levels: int) -> None:
+        for i in range(levels):
+            ctes.append(f"""{name}{i}r AS (SELECT k, p // 3 AS g, list(h ORDER BY p) AS hs, any_value(n) AS n FROM {name}{i} GROUP BY 1, 2)""")
+            ctes.append(f"""{name}{i + 1} AS (SELECT k, g AS p, CASE WHEN n = 1 THEN hs[1] ELSE sha256(array_to_string(hs, '')) END AS h,
+              (n + 2) // 3 AS n FROM {name}{i}r)""")
+
+    def climb(name: str, first: str, levels: int) -> None:
+        ctes.append(f"w{name}0 AS ({first})")
+        for i in range(levels):
+            left, right = "array_to_string(hs[1:w.p % 3], '')", "array_to_string(hs[w.p % 3 + 2:], '')"
+            ctes.append(f"""w{name}{i + 1} AS (SELECT w.* REPLACE (w.p // 3 AS p, CASE WHEN n = 1 THEN cur ELSE sha256({left} || cur || {right}) END AS cur,
+              proof || {left} || {right} AS proof) FROM w{name}{i} w JOIN {name}{i}r r ON r.k IS NOT DISTINCT FROM w.k AND r.g = w.p // 3)""")
+
+    tree("t", leaf_levels)
+    ctes.append(f"""u0 AS (SELECT 0 AS k, row_number() OVER (ORDER BY k NULLS FIRST) - 1 AS p, h, count(*) OVER () AS n, k AS source FROM t{leaf_levels})""")
+    tree("u", source_levels)
+    climb("t", "SELECT doc_id, source AS k, leaf, coalesce(changed, leaf) AS cur, '' AS proof, p FROM d", leaf_levels)
+    climb("u", f"""SELECT doc_id, leaf, cur, proof, 0 AS k, u.p, u.h AS subroot FROM wt{leaf_levels} w
+      JOIN u0 u ON u.source IS NOT DISTINCT FROM w.k""", source_levels)
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = root AS verified
+FROM wu{source_levels}, (SELECT h AS root FROM u{source_levels})"""
+
+
+#: Unsigned crc32 of the decimal doc_id, bit by bit: DuckDB has no such function.
+CRC32 = """list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda a, c: list_reduce(list_prepend(xor(a, c), range(8)), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END))"""
+CRC32 = f"xor(CAST({CRC32} AS BIGINT), 4294967295)"
+
+ORACLE["op11_merkle"] = merkle_sql()

@@ -14,6 +14,7 @@ from auditmill.llm.common import table
 from auditmill.llm.exact_dedup import exact_groups
 from auditmill.llm.jaccard_join import similarity_classes
 from auditmill.llm.language_model import language_model_scores
+from auditmill.llm.merkle import document_proofs
 from auditmill.llm.packing import packed
 from auditmill.llm.quality import quality_verdicts
 from auditmill.llm.toxicity import toxicity_scores
@@ -84,3 +85,9 @@ def op6_language_model(spark, sf):
 @query
 def op5_jaccard_join(spark, sf):
     return similarity_classes(table(spark, sf, "documents"))
+
+
+@query
+def op11_merkle(spark, sf):
+    proofs = document_proofs(table(spark, sf, "documents"))
+    return proofs.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
