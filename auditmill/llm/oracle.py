@@ -85,3 +85,36 @@ CRC32 = """list_reduce(list_prepend(4294967295, list_transform(string_split(CAST
 CRC32 = f"xor(CAST({CRC32} AS BIGINT), 4294967295)"
 
 ORACLE["op11_merkle"] = merkle_sql()
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+ORACLE["op13_decontamination"] = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS ws FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, ws, least(10, len(ws)) AS k
+  FROM (SELECT item_id, {_WORDS} AS ws FROM benchmark) WHERE len(ws) > 0),
+windows AS (SELECT DISTINCT item, k, array_to_string(ws[i:i + k - 1], ' ') AS w FROM b, unnest(range(1, len(ws) - k + 2)) AS t(i)),
+widths AS (SELECT DISTINCT k FROM windows),
+places AS (SELECT row, k, i, array_to_string(ws[i:i + k - 1], ' ') AS w FROM d, widths, unnest(range(1, len(ws) - k + 2)) AS t(i)),
+hits AS (SELECT row, k, i, item FROM places JOIN windows USING (k, w)),
+covered AS (SELECT row, count(DISTINCT i + j) AS n FROM hits, unnest(range(k)) AS t(j) GROUP BY row),
+found AS (SELECT row, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT row, item FROM hits) GROUP BY row)
+SELECT doc_id, len(ws) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(f.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(c.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered c USING (row) LEFT JOIN found f USING (row)"""
+
+ORACLE["op12_hard_negatives"] = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM r AS a, r WHERE a.vec_id % 100 = 0 AND r.vec_id <> a.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+FROM s JOIN p USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5"""

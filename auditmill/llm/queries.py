@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from auditmill.llm import bpe
 from auditmill.llm.chat import formatted_conversations, read_back
 from auditmill.llm.common import table
+from auditmill.llm.decontamination import contamination
 from auditmill.llm.exact_dedup import exact_groups
+from auditmill.llm.hard_negatives import hard_negatives, integer_vectors
 from auditmill.llm.jaccard_join import similarity_classes
 from auditmill.llm.language_model import language_model_scores
 from auditmill.llm.merkle import document_proofs
@@ -91,3 +93,16 @@ def op5_jaccard_join(spark, sf):
 def op11_merkle(spark, sf):
     proofs = document_proofs(table(spark, sf, "documents"))
     return proofs.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query
+def op12_hard_negatives(spark, sf):
+    """Every hundredth vector as anchor; of every seventh, the label is the next one."""
+    rows = integer_vectors(table(spark, sf, "embeddings"))
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", shifted), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op13_decontamination(spark, sf):
+    return contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
