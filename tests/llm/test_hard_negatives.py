@@ -52,7 +52,7 @@ def small_blocks(monkeypatch):
 
 def test_equals_brute_force_with_a_hot_label_and_ties(spark, small_blocks):
     pick = random.Random(1)
-    rows = [(i, [pick.choice([-0.5, 0, 0.25, 0.5]) for _ in range(5)], 1 if i % 3 else pick.randrange(4)) for i in range(400)]
+    rows = [(i, [pick.choice([-0.5, 0.0, 0.25, 0.5]) for _ in range(5)], 1 if i % 3 else pick.randrange(4)) for i in range(400)]
     expected = brute(quantised(rows))
     assert mined(frame(spark, rows)) == expected and len(expected) > 300
     assert any(r[4] == r[5] for r in expected)
