@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 from auditmill.functions.text import any_match
 from auditmill.operators.findings import as_findings, emission_texts
+from auditmill.plans.storage import write_once
 from auditmill.rules import Ruleset, ruleset
 from auditmill.sources.artifacts import code_artifacts
 
 ROWS_PER_BATCH = 4096
-CONTENT_SALTS = 64
 
 _HIT_FIELDS = (
     ("position", "bigint", pa.int64()),
@@ -30,7 +30,8 @@ _HIT_FIELDS = (
     ("error_class", "string", pa.string()),
     ("message", "string", pa.string()),
 )
-_OWNER = ("artifact_id", "artifact_seq", "filename", "source")
+HIT_SCHEMA = ", ".join(f"{name} {kind}" for name, kind, _ in _HIT_FIELDS)
+OWNER = ("artifact_id", "artifact_seq", "filename", "source")
 
 
 def may_hit(content: Column, catalog: Ruleset) -> Column:
@@ -53,24 +54,36 @@ def scan_trees(
 ) -> DataFrame:
     """Raw scan rows per artifact: hits, plus one row per file that cannot be parsed when `report_errors`.
 
-    The scan is narrow, without any shuffle. `once_per_content` instead parses each distinct content once and joins the
-    hits back by content hash, which shuffles contents: for inputs made of many copies. Copies collapse in each map
-    task, then per salt, so a hot content meets as a bounded number of rows. Rows are the same either way.
+    The scan is narrow, without any shuffle. `once_per_content` instead parses each distinct content once, where one of its
+    artifacts lies, and joins the hits back by content hash: for inputs made of many copies. Only hashes and ids are
+    shuffled to choose those artifacts. Rows are the same either way.
     """
     catalog = ruleset(rules)
     code = artifacts.where(F.col("language") == "python") if catalog.python_only else artifacts
     code = code_artifacts(code)
     parsed = code.where("content IS NOT NULL" if report_errors else may_hit(F.col("content"), catalog))
-    worker = _tree_worker(catalog, report_errors, 1 if once_per_content else len(_OWNER))
-    hit_schema = ", ".join(f"{n} {t}" for n, t, _ in _HIT_FIELDS)
+    worker = tree_worker(catalog, report_errors, 1 if once_per_content else len(OWNER))
     if not once_per_content:
         owner_schema = "artifact_id string, artifact_seq bigint, filename string, source string"
-        return parsed.select(*_OWNER, "content").mapInArrow(worker, f"{owner_schema}, {hit_schema}")
-    salted = parsed.select("content_hash", "content", (F.spark_partition_id() % CONTENT_SALTS).alias("salt")).distinct()
-    distinct = salted.select("content_hash", "content").distinct()
-    hits = distinct.mapInArrow(worker, f"content_hash string, {hit_schema}")
+        return parsed.select(*OWNER, "content").mapInArrow(worker, f"{owner_schema}, {HIT_SCHEMA}")
+    # Stored, so that its measured size decides the join: few copies to leave out move no content.
+    copies = write_once(copies_of_contents(parsed), "copies")
+    hits = parsed.join(copies, "artifact_id", "left_anti").select("content_hash", "content").mapInArrow(
+        worker, f"content_hash string, {HIT_SCHEMA}"
+    ).distinct()  # an artifact that is listed twice has been parsed twice
     # The owners' side names no content: from a stored artifact table it reads ids and hashes only.
-    return code.select("content_hash", *_OWNER).join(hits, "content_hash").drop("content_hash")
+    return code.select("content_hash", *OWNER).join(hits, "content_hash").drop("content_hash")
+
+
+def one_per_content(code: DataFrame) -> DataFrame:
+    """(content_hash, artifact_id): of each distinct content the artifact with the smallest id."""
+    return code.groupBy("content_hash").agg(F.min("artifact_id").alias("artifact_id"))
+
+
+def copies_of_contents(code: DataFrame) -> DataFrame:
+    """(artifact_id) of every artifact but the one of each content. Contents stay where they are."""
+    shared = code.groupBy("content_hash").agg(F.min("artifact_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    return code.select("content_hash", "artifact_id").join(shared, "content_hash").where("artifact_id <> first").select("artifact_id")
 
 
 def tree_findings(raw: DataFrame, rules: str | Ruleset = "core") -> DataFrame:
@@ -105,7 +118,7 @@ def _emissions(catalog: Ruleset) -> list:
     return list(dict.fromkeys(e for _, rule in catalog.tree_rules for e in rule.emits))
 
 
-def _tree_worker(catalog: Ruleset, report_errors: bool, n_keys: int):
+def tree_worker(catalog: Ruleset, report_errors: bool, n_keys: int):
     """Arrow worker: leading key columns and a content column in, keys and hit fields out."""
     emissions = _emissions(catalog)
     ordinal_of = {rule.rule_id: i for i, rule in reversed(catalog.tree_rules)}

@@ -96,12 +96,17 @@ def digest_tree(digests: DataFrame, name: str, keys: Sequence[str] = ()) -> Data
     def entries(df: DataFrame, left: str, right: str) -> DataFrame:
         return df.select(*keys, F.concat_ws(":", left, F.col(right).cast("string")).alias("entry"))
 
-    counted = digests.groupBy(*keys, "digest").agg(F.count("*").alias("n"))
-    leaves = level(entries(counted, "digest", "n"), LEAF_PREFIX, "leaf")
+    leaves = level(digest_entries(digests, keys), LEAF_PREFIX, "leaf")
     branches = level(entries(leaves, "prefix", "leaf"), BRANCH_PREFIX, "branch")
     return level(entries(branches, "prefix", "branch"), None, name)
 
 
+def digest_entries(digests: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The lowest entries of a digest tree: `digest:count`, one per distinct digest."""
+    counted = digests.groupBy(*keys, "digest").agg(F.count("*").cast("string").alias("n"))
+    return counted.select(*keys, F.concat_ws(":", "digest", "n").alias("entry"))
+
+
 def inputs_hash_tree(artifacts: DataFrame) -> DataFrame:
     """Parallel digest of the content hashes as a multiset; a different value from `inputs_hash` by construction."""
     return digest_tree(artifacts.select(F.col("content_hash").alias("digest")), "inputs_hash_tree")

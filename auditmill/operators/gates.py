@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditmill.functions.text import FIELD_SEP, constant
-from auditmill.operators.risk import high_or_critical, risk_facts, risky_dependencies
+from auditmill.operators.risk import high_or_critical, risk_facts, risk_rollup, risky_dependencies
 
 # Gate texts.
 DEFAULT_OWNER = "DevSecOps Team"
@@ -33,6 +33,19 @@ def gate_plan(
     return plan_from_facts(risk_facts(findings, dependencies, artifacts, keys), keys)
 
 
+#: Groupings of `gate_plan_rollup`: their names and key columns.
+LEVELS = {"total": (), "source": ("source",), "language": ("language",), "artifact": ("artifact_id",)}
+
+
+def gate_plan_rollup(
+    findings: DataFrame, dependencies: DataFrame, artifacts: DataFrame, levels: Mapping[str, Sequence[str]] = LEVELS
+) -> DataFrame:
+    """The five gates for every group of every level, from one aggregate over the stacked inputs. Columns: `level`, the key
+    columns of all levels (null where a level has no such key), and the gate's. Without artifacts there are no rows."""
+    keys = dict.fromkeys(k for own in levels.values() for k in own)
+    return plan_from_facts(risk_rollup(findings, dependencies, artifacts, levels), ["level", *keys])
+
+
 def plan_from_facts(facts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """The five gates of each facts row."""
     secrets = F.col("SECRET") > 0

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,27 @@ def risk_facts(
     half of the aggregate. Without keys the row is there even when every input is empty.
     """
 
+    return _stacked(findings, dependencies, artifacts, keys).groupBy(*keys).agg(*_measures())
+
+
+def risk_rollup(
+    findings: DataFrame, dependencies: DataFrame, artifacts: DataFrame, levels: Mapping[str, Sequence[str]]
+) -> DataFrame:
+    """The facts of several groupings from one aggregate: a column `level` with the grouping's name, its key columns (null
+    where a level does not group by them), and the facts. Every input has all key columns."""
+    keys = list(dict.fromkeys(k for own in levels.values() for k in own))
+    rows = _stacked(findings, dependencies, artifacts, keys)
+    sets = [[F.col(k) for k in own] for own in levels.values()]
+    grouped = rows.groupingSets(sets, *[F.col(k) for k in keys]).agg(F.grouping_id(*keys).alias("grouped"), *_measures())
+    # The bits of a grouping id tell, first key highest, which keys the level leaves out.
+    ids = {name: sum((k not in own) << (len(keys) - 1 - i) for i, k in enumerate(keys)) for name, own in levels.items()}
+    level = reduce(lambda chain, item: chain.when(F.col("grouped") == item[1], item[0]), ids.items(), F)
+    return grouped.select(level.alias("level"), *[c for c in grouped.columns if c != "grouped"])
+
+
+def _stacked(findings: DataFrame, dependencies: DataFrame | None, artifacts: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """All inputs as rows (keys, kind, severity, finding_type, status)."""
+
     def measured(df: DataFrame, kind: str, have: Sequence[str]) -> DataFrame:
         facts = [c if c in have else f"CAST(NULL AS STRING) AS {c}" for c in ("severity", "finding_type", "status")]
         return df.selectExpr(*keys, f"'{kind}' AS kind", *facts)
@@ -30,11 +52,14 @@ def risk_facts(
         rows = rows.unionByName(measured(dependencies, "dependency", ("status",)))
     if artifacts is not None:
         rows = rows.unionByName(measured(artifacts, "artifact", ()))
+    return rows
 
+
+def _measures() -> list[Column]:
     def tally(column: str, values: Sequence[str], prefix: str = "") -> list[Column]:
         return [F.expr(f"count_if({column} = '{v}') AS `{prefix}{v}`") for v in values]
 
-    return rows.groupBy(*keys).agg(
+    return [
         F.expr("count_if(kind = 'artifact') AS artifacts"),
         F.expr("count_if(kind = 'finding') AS findings"),
         F.expr("count_if(kind = 'dependency') AS dependencies"),
@@ -42,7 +67,7 @@ def risk_facts(
         *tally("severity", SEVERITIES),
         *tally("finding_type", (*FINDING_TYPES, "HARDCODED_SECRET")),
         *tally("status", (*DEPENDENCY_STATUSES, "HALLUCINATED"), "dep_"),
-    )
+    ]
 
 
 def merge_facts(facts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

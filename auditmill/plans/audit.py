@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from auditmill.operators.ast_scan import scan_tree_findings, scan_trees, tree_er
 from auditmill.operators.dependencies import analyze_dependencies, dependency_findings
 from auditmill.operators.findings import split_by_domain, union_findings
 from auditmill.operators.regex_scan import scan_lines
+from auditmill.plans.package import MANIFEST, Dataset, datasets_of, staged, write_dataset
 from auditmill.plans.storage import new_path, stored
 from auditmill.policy import POLICIES, Policy, policy
 from auditmill.rules import Ruleset, ruleset
@@ -22,7 +23,9 @@ from auditmill.sources.artifacts import (
     artifacts_from,
     language_by_extension,
     sniffed_name,
+    split_ingest,
     store_ingest,
+    stored_ingest,
 )
 from auditmill.sources.files import read_rows
 
@@ -71,12 +74,16 @@ class Audit:
 
     @property
     def outputs_hash(self) -> DataFrame:
-        return evidence.outputs_hash([
-            (self.findings, FINDING_FIELDS[1:]),  # the id restates the order key
-            (self.dependencies, DEPENDENCY_FIELDS),
-            (joined_gate_plan(self.gate_plan), DOC_GATE_COLUMNS if self.doc_gates else GATE_COLUMNS),
-            (self.executive_summary, SUMMARY_COLUMNS),
-        ])
+        return _outputs_hash(self.findings, self.dependencies, self.gate_plan, self.executive_summary)
+
+
+def _outputs_hash(findings: DataFrame, dependencies: DataFrame, plan: DataFrame, summary_rows: DataFrame) -> DataFrame:
+    return evidence.outputs_hash([
+        (findings, FINDING_FIELDS[1:]),  # the id restates the order key
+        (dependencies, DEPENDENCY_FIELDS),
+        (joined_gate_plan(plan), DOC_GATE_COLUMNS if "details" in plan.columns else GATE_COLUMNS),
+        (summary_rows, SUMMARY_COLUMNS),
+    ])
 
 
 def joined_gate_plan(plan: DataFrame, sep: str = "|") -> DataFrame:
@@ -144,7 +151,7 @@ def run_audit(
     return Audit(artifacts, findings, dependencies, errors, out_of_domain, catalog.python_only)
 
 
-def write_reports(audit: Audit, out_dir: str, *, ordered: bool = False, fmt: str = "json") -> None:
+def write_reports(audit: Audit, out_dir: str, *, ordered: bool = False, fmt: str = "json") -> list[Dataset]:
     """The report datasets, gate plan as plain strings. `ordered` range-sorts findings into report order; otherwise
     the order columns travel along."""
     findings = audit.findings
@@ -152,35 +159,52 @@ def write_reports(audit: Audit, out_dir: str, *, ordered: bool = False, fmt: str
         # The writer needs rows of one severity together; sorted like this it does not sort again by severity alone.
         findings = findings.repartitionByRange(*FINDING_ORDER).sortWithinPartitions("severity", *FINDING_ORDER)
     columns = [c for c in (*FINDING_FIELDS, *FINDING_ORDER, "artifact_filename") if c != "severity"]
-    findings.select(*dict.fromkeys(columns), "severity").write.partitionBy("severity").format(fmt).save(f"{out_dir}/findings")
-    audit.dependencies.select(*DEPENDENCY_FIELDS, "artifact_id", "line_no").write.format(fmt).save(f"{out_dir}/dependencies")
-    # Below: at most a few dozen rows each, one output file.
-    audit.gate_plan.coalesce(1).write.format(fmt).save(f"{out_dir}/gate_plan")
+    tables = {
+        "findings": findings.select(*dict.fromkeys(columns), "severity"),
+        "dependencies": audit.dependencies.select(*DEPENDENCY_FIELDS, "artifact_id", "line_no"),
+        # At most a few dozen rows each, one output file.
+        "gate_plan": audit.gate_plan.coalesce(1),
+        "executive_summary": audit.executive_summary.coalesce(1),
+        "scan_errors": audit.scan_errors,
+        "out_of_domain": audit.out_of_domain,
+    }
     if audit.doc_gates:
-        gates.gate_status_doc(audit.gate_plan).coalesce(1).write.format(fmt).save(f"{out_dir}/gate_status")
-        gates.gate_details_doc(audit.findings, audit.dependencies).write.format(fmt).save(f"{out_dir}/gate_details")
-    audit.executive_summary.coalesce(1).write.format(fmt).save(f"{out_dir}/executive_summary")
-    audit.scan_errors.write.format(fmt).save(f"{out_dir}/scan_errors")
-    audit.out_of_domain.write.format(fmt).save(f"{out_dir}/out_of_domain")
+        tables["gate_status"] = gates.gate_status_doc(audit.gate_plan).coalesce(1)
+        tables["gate_details"] = gates.gate_details_doc(audit.findings, audit.dependencies)
+    return [
+        write_dataset(df, out_dir, name, fmt, ["severity"] if name == "findings" else ()) for name, df in tables.items()
+    ]
 
 
-def write_manifest(audit: Audit, out_dir: str, *, fmt: str = "json", **identity: str) -> None:
+def write_manifest(audit: Audit, out_dir: str, *, fmt: str = "json", **identity: str) -> list[Dataset]:
     """Header row and artifact list. The inputs are covered by the tree digest, at every size."""
     header = evidence.manifest_header(evidence.inputs_hash_tree(audit.artifacts), audit.outputs_hash, **identity)
-    header.coalesce(1).write.format(fmt).save(f"{out_dir}/_manifest/header")
-    evidence.manifest_artifacts_table(audit.artifacts).write.format(fmt).save(f"{out_dir}/_manifest/artifacts")
+    return [
+        write_dataset(header.coalesce(1), out_dir, f"{MANIFEST}/header", fmt),
+        write_dataset(evidence.manifest_artifacts_table(audit.artifacts), out_dir, f"{MANIFEST}/artifacts", fmt),
+    ]
 
 
 def write_package(audit: Audit, out_dir: str | None = None, *, bodies: bool = True, **identity: str) -> str:
-    """The whole audit package as one directory: artifact bodies by source, reports, manifest."""
-    target = out_dir or new_path(audit.artifacts.sparkSession, "package")
-    if bodies:
-        audit.artifacts.write.partitionBy("source").parquet(f"{target}/artifacts")
-    write_reports(audit, target)
-    write_manifest(audit, target, **identity)
+    """The whole audit package as one directory: artifact bodies by source, reports, manifest.
+
+    It is written aside and then takes the place of what is there (`plans.package`): a reader finds the old package or
+    the new one, and a write that was interrupted leaves no trace or is carried to its end by the next one.
+    """
+    spark = audit.artifacts.sparkSession
+    target = out_dir or new_path(spark, "package")
+    with staged(spark, target) as stage:
+        written = [write_dataset(audit.artifacts, stage.path, "artifacts", "parquet", ["source"])] if bodies else []
+        stage.datasets += [*written, *write_reports(audit, stage.path), *write_manifest(audit, stage.path, **identity)]
     return target
 
 
+def package_outputs_hash(spark: SparkSession, target: str) -> DataFrame:
+    """The digest of a written package's reports, from its files alone: that of the run that wrote them."""
+    tables = {d.name: d.read(spark, target) for d in datasets_of(spark, target)}
+    return _outputs_hash(tables["findings"], tables["dependencies"], tables["gate_plan"], tables["executive_summary"])
+
+
 def audit_uploads(
     spark: SparkSession,
     location: str,
@@ -208,11 +232,17 @@ def audit_uploads(
             F.when(missing, "NullContent").alias("error_class"), F.when(missing, "content is required").alias("message"),
         )
         inputs = inputs.unionByName(artifacts_from(named, source=source, variant=variant, extra=UNUSABLE))
-    artifacts, unusable = store_ingest(inputs, f"{out_dir}/artifacts")
-    unusable.write.json(f"{out_dir}/quarantine")
-    audit = run_audit(artifacts, rules, packages)
-    write_package(audit, out_dir, bodies=False, **identity)
-    return audit
+    with staged(spark, out_dir) as stage:
+        artifacts, unusable = store_ingest(inputs, f"{stage.path}/artifacts")
+        stage.datasets.append(Dataset("artifacts", "parquet", stored_ingest(spark, f"{stage.path}/artifacts").schema.json()))
+        stage.datasets.append(write_dataset(unusable, stage.path, "quarantine", "json"))
+        audit = run_audit(artifacts, rules, packages)
+        stage.datasets += [*write_reports(audit, stage.path), *write_manifest(audit, stage.path, **identity)]
+    # The bodies have moved with the package.
+    artifacts, _ = split_ingest(stored_ingest(spark, f"{out_dir}/artifacts"))
+    if audit.doc_gates:
+        artifacts = artifacts.withColumn("language", language_by_extension(F.col("filename")))
+    return replace(audit, artifacts=artifacts)
 
 
 def package_size(artifacts: DataFrame) -> DataFrame:

@@ -87,7 +87,7 @@ code_files AS (
 code_artifacts AS (
   SELECT *, 'python' AS language, sha256(content) AS content_hash, {ARTIFACT_ID} AS artifact_id FROM code_files),
 code_rows AS (
-  SELECT a.artifact_id, a.artifact_seq, a.user_id, a.filename, a.source, l.line, l.r,
+  SELECT a.artifact_id, a.artifact_seq, a.user_id, a.filename, a.source, l.event_id, l.line, l.r,
     row_number() OVER (PARTITION BY l.user_id, l.block ORDER BY l.event_id) AS line_no
   FROM code_lines l JOIN code_artifacts a ON a.user_id = l.user_id AND a.block = l.block)"""
 
@@ -342,6 +342,10 @@ shares AS (SELECT snippet_id, avg(CASE WHEN regexp_matches(l, '^[a-zA-Z0-9_\\-\\
   sha256(content) AS content_hash FROM snippets s LEFT JOIN shares USING (snippet_id) WHERE content <> ''""")
 put("artifact_lines", doc_rows_sql(), "SELECT artifact_seq, CAST(line_no AS INTEGER) AS line_no, line FROM doc_rows")
 
+_UPLOADED = "'d' || doc_id || '.txt' AS filename, sha256({t}) AS content_hash, CAST(octet_length(encode({t})) AS INTEGER) AS n_bytes, CAST(NULL AS VARCHAR) AS error_class FROM documents WHERE text IS NOT NULL"
+ORACLE["upload_round_trip"] = "SELECT " + _UPLOADED.format(t="text")
+ORACLE["archive_round_trip"] = "SELECT " + _UPLOADED.format(t="replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10))")
+
 # --- Scans ----------------------------------------------------------------------------------------------------------
 
 put("secret_findings_documents", f"{doc_rows_sql()},{line_rules_sql(CORE, 'doc_rows', 'found')}",
@@ -351,6 +355,7 @@ put("regex_findings_notebook", f"{CODE},{line_rules_sql(NOTEBOOK, 'code_rows', '
 put("regex_findings_doc", f"{CODE},{line_rules_sql(DOC, 'code_rows', 'found')}", f"SELECT {FINDING_COLUMNS} FROM found")
 put("ast_findings", f"{CODE},{tree_sql(CORE, CORE_TREE)}", f"SELECT {FINDING_COLUMNS} FROM tree_findings")
 ORACLE["ast_findings_in_place"] = ORACLE["ast_findings"]
+ORACLE["ast_findings_incremental"] = ORACLE["ast_findings"]
 put("ast_findings_dedup", f"{CODE},{tree_sql(CORE, CORE_TREE)}", f"SELECT {FINDING_COLUMNS} FROM tree_findings WHERE dup = 0")
 put("ast_findings_doc", f"{CODE},{tree_sql(DOC, DOC_TREE)}", f"SELECT {FINDING_COLUMNS} FROM tree_findings")
 put("ast_findings_nested", nested_sql(), f"""SELECT sha256(concat_ws(chr(1), artifact_id, CAST(phase AS VARCHAR),
@@ -371,6 +376,16 @@ put("custom_rule_findings", CODE, """SELECT artifact_id, filename AS artifact_fi
   CASE r WHEN 13 THEN 1 ELSE 2 END AS phase, CAST(line_no AS INTEGER) AS line_no,
   CASE r WHEN 13 THEN 8 ELSE 9 END AS rule_ord, 0 AS dup
   FROM code_rows WHERE r = 13 OR (r = 12 AND user_id % 17 <> 0)""")
+# Order rules of shape 0 and 3 match the MD5 line of the event with the order's number, shape 1 the plain assignment.
+put("rule_table_findings", f"""{CODE},{line_rules_sql(CORE, 'code_rows', 'line_findings')},
+order_findings AS (
+  SELECT artifact_id, artifact_seq, filename AS artifact_filename, source AS artifact_source, 'UNSAFE_CRYPTO' AS finding_type,
+    'LOW' AS severity, 'ORDER_' || o_orderkey AS rule_id, 'Mark of order ' || o_orderkey || '.' AS description,
+    'line ' || line_no AS location, line AS evidence_snippet, 'Remove the mark.' AS remediation_guidance, 'CWE-1' AS cwe_mapping,
+    1 AS phase, line_no, CAST(o_orderkey + 100 AS INTEGER) AS rule_ord, 0 AS dup
+  FROM code_rows JOIN orders ON o_orderkey = event_id AND ((r = 5 AND o_orderkey % 4 IN (0, 3)) OR (r = 0 AND o_orderkey % 4 = 1))),
+found AS (SELECT * FROM line_findings UNION ALL SELECT * FROM order_findings)""",
+    f"SELECT {LINE_ID}, {FINDING_COLUMNS} FROM found")
 put("rule_catalog", f"""{CODE},{line_rules_sql(CORE, 'code_rows', 'line_findings')},{tree_sql(CORE, CORE_TREE)},
 hits AS (SELECT rule_id, count(*) AS n FROM (SELECT rule_id FROM line_findings UNION ALL SELECT rule_id FROM tree_findings) GROUP BY 1)""",
     f"""SELECT c.*, coalesce(n, 0) AS finding_count FROM (VALUES {values([
@@ -513,6 +528,27 @@ put("gate_plan_by_source", F_ALL + group_flags_sql("source", "artifact_source",
 put("gate_plan_by_artifact", F_ALL + group_flags_sql("artifact_id", "artifact_id", "artifact_id"),
     f"SELECT artifact_id, gate_ord, gate_type, failure_action FROM ({gates_sql('flags', 'artifact_id, ')})")
 
+_LANGUAGE = "CASE WHEN {f} LIKE '%.py' THEN 'python' WHEN {f} LIKE '%.txt' THEN 'text' WHEN {f} LIKE '%.toml' THEN 'toml' ELSE 'unknown' END"
+
+
+def rollup_sql() -> str:
+    facts = f"""COALESCE(bool_or(severity IN ('CRITICAL', 'HIGH')), false) AS severe, COALESCE(bool_or(finding_type = 'SECRET'), false) AS secrets,
+      COALESCE(bool_or(status IN ('DENY', 'UNKNOWN')), false) AS risky, COALESCE(sum({WEIGHT}), 0) AS score FROM stacked"""
+    keys = ("source", "language", "artifact_id")
+    levels = []
+    for level, own in (("total", None), ("source", "source"), ("language", "language"), ("artifact", "artifact_id")):
+        columns = ", ".join(k if k == own else f"CAST(NULL AS VARCHAR) AS {k}" for k in keys)
+        levels.append(f"SELECT '{level}' AS level, {columns}, {facts}" + (f" GROUP BY {own}" if own else ""))
+    return f""", stacked AS (
+  SELECT artifact_source AS source, {_LANGUAGE.format(f='artifact_filename')} AS language, artifact_id, severity, finding_type, NULL AS status FROM findings
+  UNION ALL SELECT artifact_source, {_LANGUAGE.format(f='source_file')}, artifact_id, NULL, NULL, status FROM deps
+  UNION ALL SELECT source, {_LANGUAGE.format(f='filename')}, artifact_id, NULL, NULL, NULL FROM artifacts),
+rolled AS ({' UNION ALL '.join(levels)})"""
+
+
+put("gate_plan_rollup", F_ALL + rollup_sql(), f"""SELECT level, source, language, artifact_id, gate_ord, gate_type, failure_action, owner_role
+  FROM ({gates_sql('rolled', 'level, source, language, artifact_id, ')})""")
+
 DOC_FLAGS = f""", counted AS (SELECT
   (SELECT count(*) FROM findings WHERE finding_type = 'HARDCODED_SECRET') AS secrets,
   (SELECT count(*) FROM findings WHERE severity IN ('CRITICAL', 'HIGH')) AS severe,
@@ -622,3 +658,36 @@ put("package_size", f"{CODE},{DEPS}{AUDITED},{DOCUMENTS}", """SELECT n AS total_
     (SELECT content FROM audited UNION ALL SELECT content FROM doc_artifacts))""")
 
 ORACLE["stream_secret_findings"] = ORACLE["secret_findings_documents"]
+
+LATEST = f"""
+docs AS (SELECT doc_id AS artifact_seq, 'a' || doc_id // 4 || '.md' AS filename, source, text AS content FROM documents
+  WHERE text IS NOT NULL QUALIFY row_number() OVER (PARTITION BY doc_id // 4 ORDER BY doc_id % 4 DESC) = 1),
+doc_artifacts AS (SELECT *, 'python' AS language, sha256(content) AS content_hash, {ARTIFACT_ID} AS artifact_id FROM docs)"""
+put("stream_latest_scores", f"{doc_rows_sql(LATEST)},{line_rules_sql(CORE, 'doc_rows', 'findings')}",
+    f"""SELECT 'a' || a.artifact_seq // 4 AS artifact_key, a.artifact_seq % 4 AS version, count(f.rule_id) AS finding_count,
+  CAST(coalesce(sum({WEIGHT}), 0) AS BIGINT) AS risk_score FROM doc_artifacts a LEFT JOIN findings f USING (artifact_id) GROUP BY a.artifact_seq""")
+
+
+def proofs_sql(lengths=(6, 5, 4, 3, 2, 1, 0)) -> str:
+    """Roots of the sixteen-fold tree and, per hash, how many entries share its groups."""
+    ctes = ["e0 AS (SELECT content_hash || ':' || count(*) AS entry FROM doc_artifacts GROUP BY content_hash)"]
+    for i, n in enumerate(lengths):
+        ctes.append(f"g{i} AS (SELECT left(entry, {n}) AS prefix, count(*) - 1 AS others, sha256(string_agg(entry, '' ORDER BY entry)) AS node FROM e{i} GROUP BY 1)")
+        ctes.append(f"e{i + 1} AS (SELECT prefix || ':' || node AS entry FROM g{i})")
+    last = len(lengths) - 1
+    joins = " ".join(f"JOIN g{i} ON g{i}.prefix = left(content_hash, {n})" for i, n in enumerate(lengths))
+    others = " + ".join(f"g{i}.others" for i in range(len(lengths)))
+    return f"""{', '.join(ctes)}
+SELECT artifact_id, content_hash, count(*) OVER (PARTITION BY content_hash) AS copies, g{last}.node AS root, {others} AS n_siblings,
+  true AS proven, false AS other_proven FROM doc_artifacts {joins}"""
+
+
+ORACLE["artifact_proofs"] = f"WITH {DOCUMENTS.strip()}, {proofs_sql()}"
+put("package_round_trip", f"""{OUTPUT_TABLES}, sizes AS (
+  SELECT 'artifacts' AS dataset, count(*) AS n_rows FROM artifacts UNION ALL SELECT 'findings', count(*) FROM findings
+  UNION ALL SELECT 'dependencies', count(*) FROM deps UNION ALL SELECT 'gate_plan', count(*) FROM gate_rows
+  UNION ALL SELECT 'executive_summary', count(*) FROM summary_rows
+  UNION ALL SELECT 'scan_errors', count(*) FROM code_artifacts WHERE user_id % 17 = 0
+  UNION ALL SELECT 'out_of_domain', 0 UNION ALL SELECT '_manifest/header', 1
+  UNION ALL SELECT '_manifest/artifacts', count(*) FROM artifacts)""",
+    f"SELECT dataset, n_rows, true AS valid, {OUTPUTS} AS outputs_hash FROM sizes")

@@ -22,10 +22,15 @@ from auditmill.operators.dependencies import (
     hallucinated_packages,
     parse_manifests,
 )
-from auditmill.operators.gates import gate_details_doc, gate_plan, gate_plan_doc, gate_status_doc
+from auditmill.operators.gates import LEVELS, gate_details_doc, gate_plan, gate_plan_doc, gate_plan_rollup, gate_status_doc
+from auditmill.operators.proofs import artifact_proofs, proven_root
 from auditmill.operators.regex_scan import scan_lines
-from auditmill.plans.audit import all_findings, joined_gate_plan, package_size, run_audit
-from auditmill.plans.storage import stored
+from auditmill.operators.rule_table import scan_lines_by_table
+from auditmill.operators.rule_table import rule_table as line_rule_table
+from auditmill.operators.scan_store import ScanStore
+from auditmill.plans.audit import all_findings, joined_gate_plan, package_outputs_hash, package_size, run_audit, write_package, write_reports
+from auditmill.plans.package import STAGES, verify_package
+from auditmill.plans.storage import new_path, stored
 from auditmill.rules import CORE, Rule, ruleset
 from auditmill.sources import corpora
 from auditmill.sources.artifacts import (
@@ -36,7 +41,9 @@ from auditmill.sources.artifacts import (
     route,
     split_invalid,
 )
+from auditmill.sources.upload_source import read_source, write_files
 from auditmill.streaming.arrivals import drained
+from auditmill.streaming.replacement import KEY, current_scores, score_changes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -135,6 +142,26 @@ def artifact_lines(spark, sf):
     return explode_lines(corpora.document_artifacts(spark, sf), ["artifact_seq"])
 
 
+def _uploaded(spark, sf, **how):
+    """Every document as an uploaded text, written by tasks and read back through the registered source."""
+    path = new_path(spark, "uploads")
+    texts = corpora.table(spark, sf, "documents").where("text IS NOT NULL").selectExpr("concat('d', doc_id, '.txt') AS filename", "text AS content")
+    write_files(texts, path, **how)
+    return read_source(spark, path).select(
+        "filename", F.sha2("content", 256).alias("content_hash"), F.octet_length("content").alias("n_bytes"), "error_class"
+    )
+
+
+@query()
+def upload_round_trip(spark, sf):
+    return _uploaded(spark, sf)
+
+
+@query()
+def archive_round_trip(spark, sf):
+    return _uploaded(spark, sf, archives=True)
+
+
 # --- Scans ----------------------------------------------------------------------------------------------------------
 
 
@@ -168,6 +195,15 @@ def ast_findings_in_place(spark, sf):
     return scan_tree_findings(corpora.code_corpus(spark, sf)).select(*FINDING_COLUMNS)
 
 
+@query()
+def ast_findings_incremental(spark, sf):
+    """Two runs over one result store: first every other file, then all files, of which only the rest is parsed."""
+    corpus = stored(corpora.code_corpus(spark, sf), "corpus")
+    store = ScanStore(spark, new_path(spark, "scan_store"))
+    store.add(corpus.where("artifact_seq % 2 = 0"), report_errors=False)
+    return store.findings(corpus).select(*FINDING_COLUMNS)
+
+
 @query()
 def ast_findings_dedup(spark, sf):
     return fd.drop_repeated(scan_tree_findings(corpora.code_corpus(spark, sf))).select(*FINDING_COLUMNS)
@@ -238,6 +274,33 @@ def rule_catalog(spark, sf):
     return risk.rule_hits(rule_table(spark), found)
 
 
+def order_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """A rule table of the core line rules and one rule per order: of four shapes, two of which the code corpus can match."""
+    key = F.col("o_orderkey").cast("string")
+    shapes = F.array(
+        F.concat(F.lit(r'hashlib\.md5\(b"'), key, F.lit(r'"\)')),
+        F.concat(F.lit("^x"), key, F.lit(r"\s*=\s*"), key, F.lit("$")),
+        F.concat(F.lit("deprecated_module_"), key, F.lit(r"\.(?:load|dump)\(")),
+        F.concat(F.lit(r'(?:sha1\(b"'), key, F.lit(r'"\)|md5\(b"'), key, F.lit(r'"\))')),
+    )
+    own = corpora.table(spark, sf, "orders").select(
+        (F.col("o_orderkey") + 100).cast("int").alias("rule_ord"),
+        F.concat(F.lit("ORDER_"), key).alias("rule_id"),
+        F.lit("UNSAFE_CRYPTO").alias("finding_type"), F.lit("LOW").alias("severity"),
+        F.concat(F.lit("Mark of order "), key, F.lit(".")).alias("description"),
+        F.lit("Remove the mark.").alias("remediation_guidance"), F.lit("CWE-1").alias("cwe_mapping"),
+        F.get(shapes, (F.col("o_orderkey") % 4).cast("int")).alias("pattern"),
+    )
+    return line_rule_table(spark).unionByName(own)
+
+
+@query()
+def rule_table_findings(spark, sf):
+    """The line scan with all rules in a table: more than ten thousand at scale factor 0.01."""
+    rules = stored(order_rules(spark, sf), "rules")
+    return scan_lines_by_table(corpora.code_corpus(spark, sf), rules).select("finding_id", *FINDING_COLUMNS)
+
+
 @query()
 def stream_secret_findings(spark, sf):
     """The line scan over documents arriving as a stream; the sink's table equals the batch result."""
@@ -248,6 +311,19 @@ def stream_secret_findings(spark, sf):
     return drained(found, "stream_secret_findings").select("finding_id", *FINDING_COLUMNS)
 
 
+@query()
+def stream_latest_scores(spark, sf):
+    """Four documents as versions of one artifact, arriving in files that deal the versions out of order."""
+    rows = corpora.table(spark, sf, "documents").where("text IS NOT NULL").selectExpr(
+        "concat('a', doc_id DIV 4) AS artifact_key", "doc_id % 4 AS version", "doc_id AS artifact_seq",
+        "concat('a', doc_id DIV 4, '.md') AS filename", "source", "text AS content",
+    )
+    path = new_path(spark, "arrivals")
+    rows.repartition(4, F.xxhash64("artifact_seq")).write.parquet(path)
+    arrivals = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    return current_scores(drained(score_changes(artifacts_from(arrivals, extra=KEY)), "changes"))
+
+
 # --- Dependencies ---------------------------------------------------------------------------------------------------
 
 
@@ -476,6 +552,19 @@ def gate_plan_by_artifact(spark, sf):
     return plan.select("artifact_id", "gate_ord", "gate_type", "failure_action")
 
 
+@query("gate_plan_rollup")
+def gate_plan_rollup_rows(spark, sf):
+    """The gates of the whole, of every source, language and artifact, from one aggregate."""
+    corpus, found, dependencies = _tables(spark, sf)
+    keyed = [
+        df.withColumns({"source": F.col(source), "language": language_by_extension(F.col(name))})
+        for df, source, name in (
+            (found, "artifact_source", "artifact_filename"), (dependencies, "artifact_source", "source_file"), (corpus, "source", "filename"))
+    ]
+    keys = dict.fromkeys(k for own in LEVELS.values() for k in own)
+    return gate_plan_rollup(*keyed).select("level", *keys, "gate_ord", "gate_type", "failure_action", "owner_role")
+
+
 @query("gate_plan_doc")
 def gate_plan_doc_rows(spark, sf):
     return joined_gate_plan(gate_plan_doc(*_doc_tables(spark, sf)))
@@ -541,3 +630,27 @@ def evidence_manifest_artifacts(spark, sf):
 @query("package_size")
 def package_size_text(spark, sf):
     return package_size(corpora.audit_corpus(spark, sf).unionByName(corpora.document_artifacts(spark, sf)))
+
+
+@query("artifact_proofs")
+def artifact_proof_rows(spark, sf):
+    """A proof for every document that its hash is among the inputs, checked against the root, and with another hash."""
+    proofs = artifact_proofs(corpora.document_artifacts(spark, sf))
+    other = F.sha2(F.col("content_hash"), 256)
+    return proofs.select(
+        "artifact_id", "content_hash", "copies", "root",
+        F.aggregate("steps", F.lit(0), lambda n, s: n + s["siblings"]).cast("bigint").alias("n_siblings"),
+        (proven_root(F.col("content_hash"), F.col("copies"), F.col("steps")) == F.col("root")).alias("proven"),
+        (proven_root(other, F.col("copies"), F.col("steps")) == F.col("root")).alias("other_proven"),
+    )
+
+
+@query()
+def package_round_trip(spark, sf):
+    """A package that is written, half written again, and written again: what its files then hold, digests checked."""
+    corpus = stored(corpora.audit_corpus(spark, sf), "corpus")
+    target = write_package(run_audit(corpus))
+    write_reports(run_audit(corpus.where("artifact_seq % 2 = 0")), f"{target}/{STAGES}/interrupted")
+    write_package(run_audit(corpus), target)
+    outputs = package_outputs_hash(spark, target).first()[0]
+    return verify_package(spark, target).select("dataset", "n_rows", "valid", F.lit(outputs).alias("outputs_hash"))

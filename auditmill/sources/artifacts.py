@@ -183,8 +183,17 @@ def store_ingest(rows: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     `error_class` goes to a route of its own, which no scan opens."""
     routes = F.when(F.col("error_class").isNotNull(), QUARANTINE).otherwise(route())
     rows.withColumn("route", routes).write.partitionBy("route").parquet(path)
+    return split_ingest(stored_ingest(rows.sparkSession, path))
+
+
+def stored_ingest(spark: SparkSession, path: str) -> DataFrame:
+    """The table that `store_ingest` has written, unusable rows included."""
     kept = [*ARTIFACT.fields, *[T.StructField(c, T.StringType()) for c in (*UNUSABLE, "route")]]
-    table = rows.sparkSession.read.schema(T.StructType(kept)).parquet(path)
+    return spark.read.schema(T.StructType(kept)).parquet(path)
+
+
+def split_ingest(table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(artifacts, quarantine) of a stored ingest."""
     bad = table.where(F.col("route") == QUARANTINE).select("path", F.lit("ingest").alias("stage"), "error_class", "message")
     return table.where(F.col("route") != QUARANTINE).drop(*UNUSABLE), bad
 

@@ -68,7 +68,7 @@ def read_rows(spark: SparkSession, location: str, suffixes: tuple[str, ...] = (*
     wanted = list_files(spark, location).where(has_suffix(F.col("path"), suffixes))
     # (path, member) is unique, so the copies and members of one archive spread out as well.
     parts = wanted.repartition("path").mapInArrow(_rows(_parts(uri), _PARTS), _PARTS).repartition("path", "member")
-    rows = parts.sortWithinPartitions("path").mapInArrow(_rows(_contents(uri), _CONTENTS), _CONTENTS)
+    rows = parts.sortWithinPartitions("path").mapInArrow(_rows(contents_of(uri), _CONTENTS), _CONTENTS)
     seq = F.when(F.col("member").isNull(), F.xxhash64("path")).otherwise(F.xxhash64("path", "filename"))
     place = F.concat_ws("!", "path", "member")
     return rows.select(seq.alias("artifact_seq"), "filename", "content", place.alias("path"), "error_class", "message")
@@ -95,7 +95,7 @@ def read_any(spark: SparkSession, location: str) -> tuple[DataFrame, DataFrame]:
     return split_read(read_rows(spark, location))
 
 
-def _safe_name(name: str) -> str:
+def safe_name(name: str) -> str:
     """Member path as extraction would place it: no drive, no leading slash, no `.` or `..` steps."""
     return "/".join(step for step in re.sub(r"^[A-Za-z]:", "", name).split("/") if step not in ("", ".", ".."))
 
@@ -105,6 +105,12 @@ def _member_text(raw: bytes) -> str:
     return raw.decode("utf-8", "ignore").replace("\r\n", "\n").replace("\r", "\n")
 
 
+def member_names(system: fs.FileSystem, path: str) -> list[tuple[str, int]]:
+    """(name, compressed size) of an archive's members, sorted; of members with one name the last, as it overwrites the others."""
+    with system.open_input_file(path) as handle, zipfile.ZipFile(handle) as archive:
+        return sorted({safe_name(m.filename): m.compress_size for m in archive.infolist() if not m.is_dir()}.items())
+
+
 def _parts(uri: str):
     """One row per file, or per member of an archive: the last of each name, as a later one overwrites it."""
 
@@ -114,8 +120,7 @@ def _parts(uri: str):
             return
         system, _ = fs.FileSystem.from_uri(uri)
         try:
-            with system.open_input_file(path) as handle, zipfile.ZipFile(handle) as archive:
-                names = {_safe_name(m.filename) for m in archive.infolist() if not m.is_dir()}
+            names = [name for name, _ in member_names(system, path)]
         except (zipfile.BadZipFile, pa.ArrowInvalid) as e:  # Arrow: a seek before the start of a very short file
             yield path, None, "BadZipFile", str(e)
         else:
@@ -125,7 +130,7 @@ def _parts(uri: str):
     return parts
 
 
-def _contents(uri: str):
+def contents_of(uri: str):
     """The text of each part. Parts come sorted by path, so the members of one archive share one open handle."""
     held = {}
 
@@ -135,7 +140,7 @@ def _contents(uri: str):
                 old.close()
             handle = system.open_input_file(path)
             archive = zipfile.ZipFile(handle)
-            latest = {_safe_name(m.filename): m for m in archive.infolist() if not m.is_dir()}
+            latest = {safe_name(m.filename): m for m in archive.infolist() if not m.is_dir()}
             held.update(path=path, open=(archive, handle), latest=latest)
         return held["open"][0], held["latest"]
 
@@ -168,25 +173,29 @@ def _contents(uri: str):
 _ARROW_TYPES = {"string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
 
 
-def _rows(expand: Callable[..., Iterable[tuple]], schema: str):
-    """Arrow worker that replaces each input row by the rows `expand(*row)` yields, in batches of bounded size."""
+def batches_of(rows: Iterable[tuple], schema: str) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches of bounded size."""
     fields = pa.schema([(name, _ARROW_TYPES[kind]) for name, kind in (f.split() for f in schema.split(", "))])
+    held, size = [], 0
 
-    def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-
-        def flush():
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), fields)], schema=fields)
-
-        for batch in batches:
-            for values in zip(*batch.columns):
-                for row in expand(*[v.as_py() for v in values]):
-                    held.append(row)
-                    size += sum(len(v) for v in row if isinstance(v, (str, bytes)))
-                    if len(held) >= ROWS_PER_BATCH or size >= BYTES_PER_BATCH:
-                        yield flush()
-                        held, size = [], 0
-        if held:
+    def flush():
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), fields)], schema=fields)
+
+    for row in rows:
+        held.append(row)
+        size += sum(len(v) for v in row if isinstance(v, (str, bytes)))
+        if len(held) >= ROWS_PER_BATCH or size >= BYTES_PER_BATCH:
             yield flush()
+            held, size = [], 0
+    if held:
+        yield flush()
+
+
+def _rows(expand: Callable[..., Iterable[tuple]], schema: str):
+    """Arrow worker that replaces each input row by the rows `expand(*row)` yields."""
+
+    def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for values in zip(*batch.columns) for row in expand(*[v.as_py() for v in values]))
+        yield from batches_of(rows, schema)
 
     return worker
