@@ -98,24 +98,33 @@ class LiveIndex:
         """Adds `count` rows of a digest, the best of which has `rank` (smaller is better)."""
         known = self.find(digest)
         if known is not None:
-            self._bucket(digest)[digest] = (known[0] + count, min(known[1], rank))
+            # A digest whose best is unknown stays so: the new row need not be better than those that remain.
+            self._bucket(digest)[digest] = (known[0] + count, known[1] and min(known[1], rank))
             return
         self._bucket(digest)[digest] = (count, rank)
         if not self.filter.insert(self._key(digest)):
             self._resize()
 
-    def remove(self, digest: bytes, count: int = 1) -> bool:
-        """Takes rows of a live digest away; with the last one the digest leaves filter and content."""
+    def remove(self, digest: bytes, rank: tuple | None = None, count: int = 1) -> bool:
+        """Takes rows of a live digest away; with the last one the digest leaves filter and content. Where `rank` is that of the
+        best row, or is not given, the best of those that remain is unknown (None) until `renew`."""
         known = self.find(digest)
         if known is None:
             return False
         if known[0] > count:
-            self._bucket(digest)[digest] = (known[0] - count, known[1])
+            best = known[1] if rank is not None and known[1] is not None and known[1] < rank else None
+            self._bucket(digest)[digest] = (known[0] - count, best)
         else:
             del self._bucket(digest)[digest]
             self.filter.delete(self._key(digest))
         return True
 
+    def renew(self, digest: bytes, rank: tuple) -> None:
+        """Gives a live digest the rank of its best row, found among the rows that remain."""
+        known = self.find(digest)
+        if known is not None:
+            self._bucket(digest)[digest] = (known[0], rank)
+
     def _resize(self) -> None:
         buckets = 2 * (self.filter.mask + 1)
         while True:
@@ -155,7 +164,7 @@ def _groups(batches: Iterable[pa.RecordBatch], limit: int | None) -> Iterator[pa
 
 
 def _group_rows(index: LiveIndex) -> Iterator[pa.RecordBatch]:
-    rows = [(d, n, -r[0], None if r[1] else r[2], r[3]) for d, n, r in index.items()]
+    rows = [(d, n, -r[0], None if r[1] else r[2], r[3]) if r else (d, n, None, None, None) for d, n, r in index.items()]
     for start in range(0, len(rows), 20_000):
         columns = zip(*rows[start : start + 20_000])
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _GROUP)], schema=_GROUP)
@@ -191,6 +200,34 @@ def digest_groups(rows: DataFrame) -> DataFrame:
     return local.repartition(tasks, "digest").mapInArrow(lambda batches: _groups(batches, None), _GROUP_SQL)
 
 
+def _live_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Groups, then deletions of single rows (a last column tells them): what is live, without a row where the best has gone."""
+    index = LiveIndex()
+    for batch in batches:
+        for digest, n, chars, doc_id, row, gone in zip(*(c.to_pylist() for c in batch.columns)):
+            rank = (-chars, doc_id is None, doc_id or 0, row)
+            if gone:
+                index.remove(digest, rank)
+            else:
+                index.add(digest, n, rank)
+    yield from _group_rows(index)
+
+
+def groups_after_deletion(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """`digest_groups` of stored rows without those that `gone` (row) names: inserted, deleted again by their digests, and
+    looked up anew only for digests whose best row has gone."""
+    live = F.lit(False).alias("gone")
+    deleted = rows.join(gone.distinct(), "row", "left_semi").select(
+        "digest", F.lit(1).cast("bigint").alias("n"), "chars", "doc_id", "row", F.lit(True).alias("gone")
+    )
+    inserted = digest_groups(rows).select("digest", "n", "chars", "doc_id", "row", live)
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.count() // TASK_DIGESTS)
+    met = inserted.unionByName(deleted).repartition(tasks, "digest").sortWithinPartitions("gone")
+    left = saved(met.mapInArrow(_live_groups, _GROUP_SQL), "live_digests")
+    stale = rows.join(left.where("row IS NULL").select("digest"), "digest", "left_semi").join(gone, "row", "left_anti")
+    return left.where("row IS NOT NULL").unionByName(digest_groups(stale))
+
+
 def exact_groups(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, keep_id, group_size, kept, text_sha256."""
     rows = keyed(docs)

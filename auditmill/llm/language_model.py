@@ -10,6 +10,7 @@ words' counts, so that the whole is a distribution over words. Its output biases
 Scoring resets the state at a document's start and carries it over all its windows, however many.
 
 Words are known by 64-bit hashes. The most frequent `HEAD_WORDS` are sent to all tasks; counts of rarer ones are joined.
+Texts are read twice: for the counts, and to be stored as model ids of two bytes a token, which rounds and scores read.
 
 Defined results: null and empty texts consist of the end alone; a null id counts as the empty text in the split;
 repeated rows count and score each for itself; with no training documents all counts are 0 and the model is the base;
@@ -26,14 +27,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditmill.llm.common import remainder, saved, small_batches, text_or_empty, words_of
+from auditmill.llm.common import remainder, saved, text_or_empty, words_of
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HEAD_WORDS = 200_000
 CLASSES = 32
 WORDS = CLASSES * CLASSES  # of the model, with the end (1) and the unknown word (0)
 EMBED = HIDDEN = 16
-ROUNDS, LANES, WINDOW, RATE = 2, 48, 32, 0.01
+ROUNDS, LANES, WINDOW, RATE = 2, 192, 24, 0.02
+#: Updates that a task makes at least, while it has the text for as many windows.
+UPDATES = 100
+#: Tokens that a task learns from or scores together: enough to fill the lanes, few enough to bound its memory.
+CHUNK = 2_000_000
+#: Positions whose softmax is taken at once.
+SLICE = 8192
 LN10 = np.log(10.0)
 
 
@@ -91,9 +98,25 @@ def gates(p: Params, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
     return n + z * (h - n), r, z, n, hu[:, 2 * HIDDEN :]
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def _softmax(x: np.ndarray) -> np.ndarray:
+    e = np.exp(x - x.max(1, keepdims=True))
+    e /= e.sum(1, keepdims=True)
+    return e
+
+
+def _log_prob_of(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """ln softmax(x) at one place of each row."""
+    most = x.max(1)
+    return x[np.arange(len(x)), chosen] - most - np.log(np.exp(x - most[:, None]).sum(1))
+
+
+def _summed(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Per row number the sum of its values."""
+    order = np.argsort(rows, kind="stable")
+    found, starts = np.unique(rows[order], return_index=True)
+    out = np.zeros((size, values.shape[1]), values.dtype)
+    out[found] = np.add.reduceat(values[order], starts, axis=0)
+    return out
 
 
 def _by_class(targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -107,10 +130,12 @@ def _by_class(targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 def log_probs(p: Params, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """ln P(target | state), class first."""
-    out = _log_softmax(states @ p["class_w"] + p["class_b"])[np.arange(len(targets)), targets // CLASSES]
+    out = np.empty(len(targets), states.dtype)
+    for start in range(0, len(targets), SLICE):
+        part = slice(start, start + SLICE)
+        out[part] = _log_prob_of(states[part] @ p["class_w"] + p["class_b"], targets[part] // CLASSES)
     for c, at in _by_class(targets):
-        words = _log_softmax(states[at] @ p["word_w"][c] + p["word_b"][c])
-        out[at] += words[np.arange(len(at)), targets[at] % CLASSES]
+        out[at] += _log_prob_of(states[at] @ p["word_w"][c] + p["word_b"][c], targets[at] % CLASSES)
     return out
 
 
@@ -121,16 +146,16 @@ class Trainer:
         self.p = params
         self.m = {k: np.zeros_like(v) for k, v in params.items()}
         self.v = {k: np.zeros_like(v) for k, v in params.items()}
-        self.steps, self.tokens = 0, 0
+        self.steps, self.tokens, self.full = 0, 0, LANES * WINDOW
 
     def learn(self, tokens: np.ndarray, first: np.ndarray) -> None:
         """tokens: documents one after the other, each with its end; first: True where a document starts."""
-        steps = len(tokens) // LANES
-        if not steps:
-            self._learn_lanes(tokens[None], first[None])
-            return
-        cut = steps * LANES
-        self._learn_lanes(tokens[:cut].reshape(LANES, steps), first[:cut].reshape(LANES, steps))
+        # Few tokens make fewer lanes rather than fewer updates.
+        lanes = min(LANES, max(1, len(tokens) // (UPDATES * WINDOW)))
+        self.full = lanes * WINDOW
+        steps = len(tokens) // lanes
+        cut = steps * lanes
+        self._learn_lanes(tokens[:cut].reshape(lanes, steps), first[:cut].reshape(lanes, steps))
         if cut < len(tokens):
             self._learn_lanes(tokens[None, cut:], first[None, cut:])
 
@@ -146,44 +171,46 @@ class Trainer:
 
     def _window(self, x: np.ndarray, y: np.ndarray, keep: np.ndarray, h: np.ndarray) -> np.ndarray:
         p, (lanes, steps) = self.p, y.shape
-        e = p["embed"][x]
+        e = p["embed"][x.T]  # step by step from here on
         wx = e @ p["w"] + p["b"]
-        saved_steps, states = [], np.empty((steps, lanes, HIDDEN), np.float32)
+        keep = keep.T[:, :, None].astype(wx.dtype)
+        befores, states, r, z, n, un = (np.empty((steps, lanes, HIDDEN), wx.dtype) for _ in range(6))
         for t in range(steps):
-            before = h * keep[:, t, None]
-            h, *rest = gates(p, wx[:, t], before)
-            saved_steps.append((before, *rest))
+            befores[t] = h * keep[t]
+            h, r[t], z[t], n[t], un[t] = gates(p, wx[t], befores[t])
             states[t] = h
         g, d_states = self._output_grads(states.reshape(-1, HIDDEN), y.T.ravel())
         d_states = d_states.reshape(steps, lanes, HIDDEN)
-        d_wx, d_u, dh = np.empty_like(wx), np.zeros_like(p["u"]), np.zeros_like(h)
+        # What each gate passes on of the state's gradient, for all steps at once.
+        to_n = (1 - z) * (1 - n * n)
+        to_r, to_z = un * r * (1 - r), (befores - n) * z * (1 - z)
+        d_wx, d_hu, dh, back = np.empty_like(wx), np.empty_like(wx), np.zeros_like(h), p["u"].T.copy()
         for t in reversed(range(steps)):
-            before, r, z, n, un = saved_steps[t]
-            dh = dh + d_states[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (before - n) * z * (1 - z)
-            dr = dn * un * r * (1 - r)
-            to_x = np.concatenate([dr, dz, dn], 1)
-            to_u = np.concatenate([dr, dz, dn * r], 1)
-            d_wx[:, t] = to_x
-            d_u += before.T @ to_u
-            dh = (dh * z + to_u @ p["u"].T) * keep[:, t, None]
+            dh += d_states[t]
+            dn = dh * to_n[t]
+            step = d_hu[t]
+            step[:, :HIDDEN] = dn * to_r[t]
+            step[:, HIDDEN : 2 * HIDDEN] = dh * to_z[t]
+            step[:, 2 * HIDDEN :] = dn * r[t]
+            d_wx[t, :, 2 * HIDDEN :] = dn
+            dh = (dh * z[t] + step @ back) * keep[t]
+        d_wx[:, :, : 2 * HIDDEN] = d_hu[:, :, : 2 * HIDDEN]
+        d_u = befores.reshape(-1, HIDDEN).T @ d_hu.reshape(-1, 3 * HIDDEN)
         flat = d_wx.reshape(-1, 3 * HIDDEN)
         g["u"], g["w"], g["b"] = d_u, e.reshape(-1, EMBED).T @ flat, flat.sum(0)
-        g["embed"] = np.zeros_like(p["embed"])
-        np.add.at(g["embed"], x.ravel(), flat @ p["w"].T)
+        g["embed"] = _summed(x.T.ravel(), flat @ p["w"].T, len(p["embed"]))
         self._update(g, lanes * steps)
         return h
 
     def _output_grads(self, states: np.ndarray, targets: np.ndarray) -> tuple[Params, np.ndarray]:
         p = self.p
-        d = np.exp(_log_softmax(states @ p["class_w"] + p["class_b"]))
+        d = _softmax(states @ p["class_w"] + p["class_b"])
         d[np.arange(len(targets)), targets // CLASSES] -= 1
         g: Params = {"class_w": states.T @ d, "class_b": d.sum(0), "word_w": np.zeros_like(p["word_w"]), "word_b": np.zeros_like(p["word_b"])}
         d_states = d @ p["class_w"].T
         for c, at in _by_class(targets):
             own = states[at]
-            d = np.exp(_log_softmax(own @ p["word_w"][c] + p["word_b"][c]))
+            d = _softmax(own @ p["word_w"][c] + p["word_b"][c])
             d[np.arange(len(at)), targets[at] % CLASSES] -= 1
             g["word_w"][c], g["word_b"][c] = own.T @ d, d.sum(0)
             d_states[at] += d @ p["word_w"][c].T
@@ -192,7 +219,7 @@ class Trainer:
     def _update(self, grads: Params, tokens: int) -> None:
         self.steps += 1
         self.tokens += tokens
-        scale = min(1.0, tokens / (LANES * WINDOW))  # short windows, at a task's end, move less
+        scale = min(1.0, tokens / self.full)  # short windows, at a task's end, move less
         first, second = 1 - 0.9**self.steps, 1 - 0.99**self.steps
         for k, g in grads.items():
             g = np.clip(g / tokens, -0.1, 0.1)
@@ -209,7 +236,7 @@ def scored_documents(p: Params, documents: list[np.ndarray]) -> np.ndarray:
     wx = p["embed"] @ p["w"] + p["b"]  # a row per word
     h, previous = np.zeros((len(order), HIDDEN), np.float32), np.ones(len(order), np.int64)
     # Windows of all documents at once, longest first, so those still running stay in front.
-    step = 256
+    step = 128
     for at in range(0, int(lengths[0]) if len(order) else 0, step):
         running = int(np.searchsorted(-lengths, -at, "left"))
         width = min(step, int(lengths[0]) - at)
@@ -296,78 +323,119 @@ def _token_arrays(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return column.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def _train_worker(counts, flat) -> Callable:
-    schema = pa.schema([("at", pa.int32()), ("sum", pa.float64()), ("weight", pa.float64())])
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, trainer = Counts(**counts.value), Trainer(unpacked(flat.value))
-        for batch in batches:
-            hashes, offsets = _token_arrays(batch.column(0))
-            if not batch.num_rows:
-                continue
-            # Every document gets its end behind it.
-            tokens = np.insert(known.model_ids(hashes), offsets[1:], 1)
-            first = np.zeros(len(tokens), bool)
-            first[offsets[:-1] + np.arange(batch.num_rows)] = True
-            trainer.learn(tokens, first)
-        if trainer.tokens:
-            values = packed(trainer.p).astype(np.float64)
-            rows = [np.arange(len(values), dtype=np.int32), values * trainer.tokens, np.full(len(values), float(trainer.tokens))]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, rows)), schema=schema)
-
-    return work
-
-
-def train(tokens: DataFrame, counts: Counts, shared) -> np.ndarray:
-    """The model's parameters after all rounds; each task learns on its own documents, Spark averages."""
-    context = tokens.sparkSession.sparkContext
-    flat = packed(initial(counts.model_counts))
-    documents = tokens.where("NOT held_out")
-    for number in range(ROUNDS):
-        part = documents.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("lm")), F.lit(ROUNDS)) == number).select("hashes")
-        learned = part.mapInArrow(_train_worker(shared, context.broadcast(flat)), "at int, sum double, weight double")
-        means = learned.groupBy("at").agg((F.sum("sum") / F.sum("weight")).alias("mean")).toArrow()  # a row per parameter
-        if means.num_rows:
-            flat = flat.copy()
-            flat[means["at"].to_numpy()] = means["mean"].to_numpy()
-    return flat
-
-
-_SCORED = pa.schema(
+_ENCODED = pa.schema(
     [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("logs", pa.float64()),
-     ("unknown_logs", pa.float64()), ("n_unknown", pa.int64()), ("model", pa.float64()), ("rare", pa.list_(pa.int64()))]
+     ("unknown_logs", pa.float64()), ("n_unknown", pa.int64()), ("ids", pa.binary()), ("rare", pa.list_(pa.int64()))]
 )
-_SCORED_SQL = (
+_ENCODED_SQL = (
     "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, logs double, unknown_logs double, n_unknown bigint, "
-    "model double, rare array<bigint>"
+    "ids binary, rare array<bigint>"
 )
 
 
-def _score_worker(counts, flat) -> Callable:
-    """Everything but the counts of rare words, which come back as hashes."""
+def _encode_worker(counts) -> Callable:
+    """Model ids of each document, its end included, and all that its score takes from the counts of frequent words; rare
+    words come back as hashes."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, params = Counts(**counts.value), unpacked(flat.value)
+        known = Counts(**counts.value)
         logs = np.log10(known.counts + 0.5)
         end_log = np.log10(known.ends + 0.5)
         for batch in batches:
             hashes, offsets = _token_arrays(batch.column(2))
             at, there = known.find(hashes)
-            ids = known.model_ids(hashes)
+            ids = np.where(there, known.ids[at], 0) if len(known.ids) else np.zeros(len(hashes), np.int64)
             own = np.where(there, logs[at], 0.0) if len(logs) else np.zeros(len(hashes))
             owner = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
             per = lambda weights: np.bincount(owner, weights, batch.num_rows)  # noqa: B023, E731
-            documents = [np.append(ids[a:b], 1) for a, b in zip(offsets[:-1], offsets[1:])]
+            tokens = np.insert(ids, offsets[1:], 1).astype("<u2")  # every document gets its end behind it
+            ends = 2 * (offsets + np.arange(batch.num_rows + 1))
             rare = ~there
             rare_bounds = np.concatenate([[0], np.cumsum(rare)])[offsets].astype(np.int32)
             columns = [
                 batch.column(0), batch.column(1), pa.array(np.diff(offsets).astype(np.int64) + 1),
                 pa.array(per(there).astype(np.int64) + (known.ends > 0)),
                 pa.array(per(own) + end_log), pa.array(per(own * (ids == 0))), pa.array(per(ids == 0).astype(np.int64)),
-                pa.array(scored_documents(params, documents) / LN10),
+                pa.BinaryArray.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(tokens)]),
                 pa.ListArray.from_arrays(pa.array(rare_bounds), pa.array(hashes[rare])),
             ]
-            yield pa.RecordBatch.from_arrays(columns, schema=_SCORED)
+            yield pa.RecordBatch.from_arrays(columns, schema=_ENCODED)
+
+    return work
+
+
+def encode(tokens: DataFrame, shared) -> DataFrame:
+    """Stored documents as model ids: what `_encode_worker` gives, and a row number."""
+    rows = tokens.select("doc_id", "held_out", "hashes").mapInArrow(_encode_worker(shared), _ENCODED_SQL)
+    return saved(rows.withColumn("row", F.monotonically_increasing_id()), "lm_ids")
+
+
+def _documents(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(v.as_buffer(), "<u2").astype(np.int64) for v in column]
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], ids: str = "ids") -> Iterator[pa.RecordBatch]:
+    """Batches put together until they hold about `CHUNK` tokens; one that holds more stays as it is."""
+    held, size = [], 0
+    for batch in batches:
+        own = sum(map(len, (v.as_buffer() for v in batch.column(ids)))) // 2
+        if held and size + own > CHUNK:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+        if batch.num_rows:
+            held.append(batch)
+            size += own
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _train_worker(flat) -> Callable:
+    schema = pa.schema([("at", pa.int32()), ("sum", pa.float64()), ("weight", pa.float64())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trainer = Trainer(unpacked(flat.value))
+        for batch in _chunks(batches):
+            documents = _documents(batch.column(0))
+            first = np.zeros(sum(map(len, documents)), bool)
+            first[np.cumsum([0, *map(len, documents)])[:-1]] = True
+            trainer.learn(np.concatenate(documents), first)
+        if trainer.tokens:
+            values = packed(trainer.p).astype(np.float64)
+            rows = [np.arange(len(values), dtype=np.int32), values * trainer.tokens, np.full(len(values), float(trainer.tokens))]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, rows)), schema=schema)
+
+    return work
+
+
+def train(tokens: DataFrame, counts: Counts, shared) -> np.ndarray:
+    """The model's parameters after all rounds over documents (doc_id, held_out, hashes)."""
+    return train_encoded(encode(tokens, shared), counts)
+
+
+def train_encoded(documents: DataFrame, counts: Counts) -> np.ndarray:
+    """Each task learns on its own documents, Spark averages after every round. The more tasks there are, the less text each
+    round's parameters see between two averages."""
+    context = documents.sparkSession.sparkContext
+    flat = packed(initial(counts.model_counts))
+    documents = documents.where("NOT held_out")
+    for number in range(ROUNDS):
+        part = documents.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("lm")), F.lit(ROUNDS)) == number).select("ids")
+        learned = part.mapInArrow(_train_worker(context.broadcast(flat)), "at int, sum double, weight double")
+        means = learned.groupBy("at").agg((F.sum("sum") / F.sum("weight")).alias("mean")).toArrow()  # a row per parameter
+        if means.num_rows:
+            flat = flat.copy()
+            flat[means["at"].to_numpy()] = means["mean"].to_numpy()
+    return flat
+
+
+def _score_worker(flat) -> Callable:
+    """The ids, which come last, replaced by the model's score."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        params = unpacked(flat.value)
+        for batch in _chunks(batches):
+            scores = scored_documents(params, _documents(batch.column("ids"))) / LN10
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores)], [*batch.schema.names[:-1], "model"])
 
     return work
 
@@ -375,24 +443,23 @@ def _score_worker(counts, flat) -> Callable:
 def language_model_scores(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     context = docs.sparkSession.sparkContext
-    small_batches(docs.sparkSession, 2048)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     tokens = split(docs)
     counted = word_counts(tokens)
     ends = docs.where(remainder(F.col("doc_id"), 5) != 1).count()
     counts = totals(counted, ends)
-    shared = context.broadcast(vars(counts))  # HEAD_WORDS bounds it
-    flat = context.broadcast(train(tokens, counts, shared))
-    rows = saved(
-        tokens.mapInArrow(_score_worker(shared, flat), _SCORED_SQL).withColumn("row", F.monotonically_increasing_id()), "lm_scores"
-    )
+    rows = encode(tokens, context.broadcast(vars(counts)))  # HEAD_WORDS bounds it
+    flat = context.broadcast(train_encoded(rows, counts))
     # Counts of rare words: one row per document and word, joined by hash; a hot word would be split by adaptive execution.
     rare = rows.select("row", F.explode("rare").alias("h")).groupBy("row", "h").agg(F.count("*").alias("n"))
     found = rare.join(counted, "h", "left").groupBy("row").agg(
         F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("rare_logs"),
         F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("rare_known"),
     )
-    joined = rows.drop("rare").join(found, "row", "left").fillna({"rare_logs": 0.0, "rare_known": 0})
+    kept = ("row", "doc_id", "held_out", "n_tokens", "n_known", "logs", "unknown_logs", "n_unknown")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*kept).schema)
+    scored = rows.select(*kept, "ids").mapInArrow(_score_worker(flat), f"{schema}, model double")
+    joined = scored.join(found, "row", "left").fillna({"rare_logs": 0.0, "rare_known": 0})
     all_log = float(np.log10(counts.tokens + 0.5 * (counts.distinct + 1)))
     rest_log = float(np.log10(counts.rest_tokens + 0.5 * (counts.rest_distinct + 1)))
     return joined.select(

@@ -3,22 +3,24 @@
 Two word-bigram models, of toxic and of ordinary labelled documents, share their lowest order: Kneser-Ney continuation
 counts over both classes. An expression seen after fewer than `MIN_CONTEXTS` different words is rare; both classes score
 it with the shared counts alone, so it does not count for either. A pair seen `MIN_PAIR` times has both classes' own
-counts, also when its second word is rare; that word's share of the back-off is then the shared one. A document's
-figures are its length-normalised log-likelihood ratio and the mean ratio of its `TOP` most toxic expressions; a
-logistic curve, fitted on labelled rows that the counts have not seen, turns them into a score.
+counts, also when its second word is rare; that word's share of the back-off is then the shared one. A rarer pair counts
+as its second word alone; what its first word says, the ratio of both classes' back-off weights, is a figure of its own.
+
+A document's figures are its length-normalised log-likelihood ratio, the mean ratio of its `TOP` most toxic expressions,
+and the mean ratio of the back-off weights before its rare pairs; a logistic curve, fitted on labelled rows that the
+counts have not seen, turns them into a score and so decides what rare evidence is worth.
 
 The classifier is fitted on bounded samples of labelled rows, chosen by a hash of the id: `COUNT_ROWS` for the counts,
-`CURVE_ROWS` for the curve, and the model keeps the `MODEL_ROWS` most frequent expressions of each order. Scoring covers
-all rows and whole texts.
+`CURVE_ROWS` for the curve. Scoring covers all rows and whole texts.
 
 Defined results: null and empty texts have no words, their figures are 0 and their score is the curve's value there;
 labels that are null teach nothing, a document labelled both ways is toxic; a null id counts as the empty text in the
-split; repeated rows score alike. Without labels of both classes every score is the share of toxic ones (0 if none).
+split; repeated rows score alike, and all of them count in the samples' statistics, but no more than `CURVE_ROWS` rows
+fit the curve. Without labels of both classes every score is the share of toxic ones (0 if none).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,13 +28,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditmill.llm.common import fresh, remainder, saved, small_batches, text_or_empty
+from auditmill.llm.common import fresh, remainder, saved, text_or_empty
 
-COUNT_ROWS, CURVE_ROWS, MODEL_ROWS = 20_000, 10_000, 150_000
+COUNT_ROWS, CURVE_ROWS = 20_000, 10_000
 MIN_CONTEXTS, MIN_PAIR = 5, 12
 DISCOUNT = 0.75
 TOP = 3
 THRESHOLD = 0.7
+FIGURES = ("mean", "top", "rare", "words")
 #: Joins two word hashes to a pair's key, with wrap-around.
 PAIR_FACTOR = -7046029254386353131
 
@@ -50,18 +53,25 @@ class Model:
     word_ratio: np.ndarray
     pair_keys: np.ndarray
     pair_ratio: np.ndarray
+    context_keys: np.ndarray
+    context_ratio: np.ndarray
     curve: np.ndarray | None = None
     prior: float = 0.0
 
     def ratios(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Per token log P(token | previous, toxic) - log P(token | previous, ordinary)."""
+        return self.evidence(words, starts)[0]
+
+    def evidence(self, words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ratios, and per token that of the back-off weights before it (0 where its pair is known)."""
         previous = np.concatenate([[0], words[:-1]]) if len(words) else words
         previous[starts[starts < len(words)]] = 0
         with np.errstate(over="ignore"):
             pairs = previous * np.int64(PAIR_FACTOR) + words
         out, known = _look(self.pair_keys, self.pair_ratio, pairs)
         alone, _ = _look(self.word_keys, self.word_ratio, words)
-        return np.where(known, out, alone)
+        before, _ = _look(self.context_keys, self.context_ratio, previous)
+        return np.where(known, out, alone), np.where(known, 0.0, before)
 
     def score(self, figures: np.ndarray) -> np.ndarray:
         if self.curve is None:
@@ -78,21 +88,22 @@ def _look(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.
 
 
 def _design(figures: np.ndarray) -> np.ndarray:
-    mean, top, words = figures.T
-    return np.column_stack([np.ones(len(figures)), np.clip(mean, -2, 2), np.clip(top, -2, 8), np.log1p(words)])
+    mean, top, rare, words = figures.T
+    return np.column_stack([np.ones(len(figures)), np.clip(mean, -2, 2), np.clip(top, -2, 8), np.clip(rare, -2, 2), np.log1p(words)])
 
 
 def figures_of(model: Model, hashes: pa.ListArray) -> np.ndarray:
-    """Per document: mean ratio, mean of the TOP largest ratios (missing ones count 0), number of words."""
+    """Per document: mean ratio, mean of the TOP largest ratios (missing ones count 0), mean back-off ratio, number of words."""
     offsets = hashes.offsets.to_numpy()
     words = hashes.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
-    ratios, out = model.ratios(words, offsets[:-1]), np.zeros((len(hashes), 3))
+    ratios, rare = model.evidence(words, offsets[:-1])
+    out = np.zeros((len(hashes), len(FIGURES)))
     for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
         if b > a:
             own = ratios[a:b]
             best = own if b - a <= TOP else np.partition(own, b - a - TOP)[-TOP:]
-            out[i] = own.mean(), np.maximum(best, 0).sum() / TOP, b - a
+            out[i] = own.mean(), np.maximum(best, 0).sum() / TOP, rare[a:b].mean(), b - a
     return out
 
 
@@ -134,7 +145,7 @@ def fit_counts(docs: DataFrame) -> Model:
     n0, n1, v0, v1, contexts = (float(x or 0) for x in total)
     if not n0 or not n1:
         empty = np.empty(0, np.int64), np.empty(0)
-        return Model(*empty, *empty)
+        return Model(*empty, *empty, *empty)
     shared = F.col("contexts") / contexts
 
     def alone(c: str, n: float, types: float) -> Column:
@@ -142,7 +153,7 @@ def fit_counts(docs: DataFrame) -> Model:
 
     common = F.col("contexts") >= MIN_CONTEXTS
     known = words.select(
-        "w", (F.col("c0") + F.col("c1")).alias("n"), common.alias("common"),
+        "w", common.alias("common"),
         F.when(common, alone("c0", n0, v0)).otherwise(shared).alias("p0"),
         F.when(common, alone("c1", n1, v1)).otherwise(shared).alias("p1"),
     )
@@ -153,15 +164,16 @@ def fit_counts(docs: DataFrame) -> Model:
 
     frequent = stats.where("h IS NOT NULL AND w IS NOT NULL").select("h", "w", "c0", "c1")
     joined = frequent.join(known.select("w", "p0", "p1"), "w").join(before, "h")
-    pair = joined.select(
-        F.xxhash64("h", "w").alias("order"), "h", "w", (F.col("c0") + F.col("c1")).alias("n"), F.log(after(1) / after(0)).alias("ratio")
-    )
-    word = known.where("common").select("w", "n", F.log(F.col("p1") / F.col("p0")).alias("ratio"))
-    w = word.orderBy(F.desc("n"), "w").limit(MODEL_ROWS).toArrow()
-    p = pair.orderBy(F.desc("n"), "order").limit(MODEL_ROWS).toArrow()
+    pair = joined.select("h", "w", F.log(after(1) / after(0)).alias("ratio"))
+    word = known.where("common").select("w", F.log(F.col("p1") / F.col("p0")).alias("ratio"))
+    weight = lambda i: F.when(F.col(f"n{i}") > 0, DISCOUNT * F.col(f"t{i}") / F.col(f"n{i}")).otherwise(F.lit(1.0))
+    context = before.select("h", F.log(weight(1) / weight(0)).alias("ratio")).where("ratio <> 0")
+    # The samples bound all three.
+    w, p, c = word.toArrow(), pair.toArrow(), context.toArrow()
     with np.errstate(over="ignore"):
         keys = p["h"].to_numpy() * np.int64(PAIR_FACTOR) + p["w"].to_numpy()
-    return Model(*_sorted(w["w"].to_numpy(), w["ratio"].to_numpy()), *_sorted(keys, p["ratio"].to_numpy()))
+    tables = (w["w"].to_numpy(), w["ratio"]), (keys, p["ratio"]), (c["h"].to_numpy(), c["ratio"])
+    return Model(*(column for keys, ratio in tables for column in _sorted(keys, ratio.to_numpy())))
 
 
 def _sorted(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,8 +185,8 @@ def fit_curve(figures: np.ndarray, toxic: np.ndarray) -> np.ndarray | None:
     """Logistic regression by Newton steps with a light ridge."""
     if not len(toxic) or toxic.min() == toxic.max():
         return None
-    x, beta = _design(figures), np.zeros(4)
-    ridge = np.diag([1e-6, 1e-2, 1e-2, 1e-2])
+    x = _design(figures)
+    beta, ridge = np.zeros(x.shape[1]), np.diag([1e-6, *[1e-2] * (x.shape[1] - 1)])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (toxic - p) - ridge @ beta)
@@ -184,25 +196,31 @@ def fit_curve(figures: np.ndarray, toxic: np.ndarray) -> np.ndarray | None:
     return beta
 
 
-def _figure_worker(model, names: int):
-    schema = pa.schema([("mean", pa.float64()), ("top", pa.float64()), ("words", pa.float64()), ("score", pa.float64())])
+def _shared(rows: DataFrame, model: Model):
+    return rows.sparkSession.sparkContext.broadcast(vars(model))  # the samples bound it
+
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(**model.value)
-        for batch in batches:
-            figures = figures_of(own, batch.column(names))
-            columns = [*batch.columns[:names], *map(pa.array, figures.T), pa.array(own.score(figures))]
-            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([*list(batch.schema)[:names], *schema]))
+def _figures(rows: DataFrame, model: Model) -> Column:
+    """The figures of the column `hashes`, as a struct; no other column reaches Python."""
+    shared = _shared(rows, model)
 
-    return work
+    @F.arrow_udf(f"struct<{', '.join(f'{f}: double' for f in FIGURES)}>")
+    def figures(hashes: pa.Array) -> pa.Array:
+        return pa.StructArray.from_arrays(list(map(pa.array, figures_of(Model(**shared.value), hashes).T)), FIGURES)
 
+    return figures("hashes")
 
-def _scored(rows: DataFrame, model: Model) -> DataFrame:
-    """Rows whose last column is `hashes`, with that column replaced by the figures and the score."""
-    shared = rows.sparkSession.sparkContext.broadcast(vars(model))  # MODEL_ROWS bounds it
-    names = len(rows.columns) - 1
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(_figure_worker(shared, names), f"{schema}, mean double, top double, words double, score double")
+
+def score_of(rows: DataFrame, model: Model) -> Column:
+    """The score of the documents' column `text`, null as empty."""
+    shared = _shared(rows, model)
+
+    @F.arrow_udf("double")
+    def score(hashes: pa.Array) -> pa.Array:
+        own = Model(**shared.value)
+        return pa.array(own.score(figures_of(own, hashes)))
+
+    return score(token_hashes(text_or_empty()))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -217,30 +235,25 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     )
     sample = F.broadcast(part(False, COUNT_ROWS).unionByName(part(True, CURVE_ROWS)))
     rows = docs.select("doc_id", text_or_empty().alias("text")).join(sample, "doc_id")
-    rows = rows.select("curve", F.col("toxic").cast("int").alias("toxic"), token_hashes(F.col("text")).alias("hashes"))
-    small_batches(docs.sparkSession)
+    rows = rows.select("curve", "doc_id", F.col("toxic").cast("int").alias("toxic"), token_hashes(F.col("text")).alias("hashes"))
     model = fit_counts(rows.where("NOT curve").select("toxic", "hashes"))
     # A figure per sampled row; CURVE_ROWS bounds them but for repeated rows, so they are cut to it here.
-    held = _scored(rows.where("curve").select("toxic", "hashes"), model).limit(CURVE_ROWS).toArrow()
+    figured = rows.where("curve").select("doc_id", F.xxhash64("hashes").alias("same"), "toxic", _figures(rows, model).alias("f"))
+    held = figured.orderBy("doc_id", "same").limit(CURVE_ROWS).select("toxic", "f.*").toArrow()
     toxic = held["toxic"].to_numpy().astype(float)
-    figures = np.column_stack([held[c].to_numpy() for c in ("mean", "top", "words")]) if len(toxic) else np.zeros((0, 3))
+    figures = np.column_stack([held[c].to_numpy() for c in FIGURES]) if len(toxic) else np.zeros((0, len(FIGURES)))
     model.curve, model.prior = fit_curve(figures, toxic), float(toxic.mean()) if len(toxic) else 0.0
     return model
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted."""
-    model = fit(docs, labels)
-    rows = docs.select(
-        "doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), token_hashes(text_or_empty()).alias("hashes")
-    )
-    return _scored(rows, model).select("doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    rows = docs.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), score_of(docs, fit(docs, labels)).alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents below the threshold, with all columns of `docs`."""
-    model = fit(docs, labels)
-    hashes = fresh(docs.columns, "hashes")
-    inner = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    rows = docs.select(inner, token_hashes(text_or_empty()).alias(hashes))
-    return _scored(rows, model).where(F.col("score") < THRESHOLD).select("row.*")
+    """The documents below the threshold, with all columns of `docs`; only word hashes and scores pass through Python."""
+    score = fresh(docs.columns, "score")
+    rows = docs.select(*(F.col(f"`{c}`") for c in docs.columns), score_of(docs, fit(docs, labels)).alias(score))
+    return rows.where(F.col(score) < THRESHOLD).drop(score)

@@ -95,6 +95,28 @@ def test_live_index_inserts_deletes_and_grows():
     assert all(index.find(d) for d in live)
 
 
+def test_deletions_of_best_rows(spark, docs, rows):
+    """Groups after deletions, those of every group's best row included, against brute force."""
+    keyed = exact_dedup.keyed(docs)
+    every = keyed.collect()
+    rank = lambda r: (-r.chars, r.doc_id is None, r.doc_id or 0, r.row)
+    groups = defaultdict(list)
+    for r in every:
+        groups[bytes(r.digest)].append(r)
+    gone = {min(g, key=rank).row for g in groups.values()} | {r.row for r in every if r.row % 5 == 0}
+    want = {}
+    for digest, g in groups.items():
+        live = [r for r in g if r.row not in gone]
+        if live:
+            want[digest] = len(live), min(live, key=rank).row
+    named = spark.createDataFrame([(r,) for r in gone] * 2, "row bigint")
+    got = exact_dedup.groups_after_deletion(keyed, named).collect()
+    assert {bytes(r.digest): (r.n, r.row) for r in got} == want and len(got) == len(want) > 0
+    assert exact_dedup.groups_after_deletion(keyed, keyed.select("row")).count() == 0
+    nothing = exact_dedup.groups_after_deletion(keyed, named.where("false")).collect()
+    assert sorted((bytes(r.digest), r.n, r.row) for r in nothing) == sorted((k, len(g), min(g, key=rank).row) for k, g in groups.items())
+
+
 # --- Quality -------------------------------------------------------------------------------------------------------
 
 
@@ -127,6 +149,50 @@ def test_cutoffs_are_certified_exactly(spark):
     assert row.stratum == "en" and row.cutoffs[0] == 4 and row.cutoffs[1] == 1  # 2.5 % of good documents stand on rung 3
 
 
+def test_verdicts_with_active_cutoffs(spark):
+    """Enough good documents to certify cutoffs; verdicts against cutoffs and rungs recomputed here."""
+    rng = random.Random(12)
+
+    def text(kind):
+        words = [f"w{rng.randrange(4000)}" for _ in range(70)]
+        if kind == "symbols":
+            words = [w + "###" if i % 2 else w for i, w in enumerate(words)]
+        if kind == "capitals":
+            words = [w.upper() for w in words]
+        return " ".join(words)
+
+    kinds = ["symbols" if i % 50 == 0 else "capitals" if i % 35 == 1 else "plain" for i in range(4000)]
+    rows = [(i, text(k), "en" if i % 4 else "fr") for i, k in enumerate(kinds)]
+    good = {i for i, k in enumerate(kinds) if (k == "plain" or i % 700 == 0) and i % 3}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i in good)) for i in range(4000) if i % 3], "doc_id bigint, quality int")
+    got = {r.doc_id: r.kept for r in quality.quality_verdicts(docs, labels).collect()}
+
+    def figures(t):
+        words = WORD.findall(t)
+        chars = sum(map(len, words))
+        lines = [x for x in t.split("\n") if WORD.search(x)]
+        return {
+            "symbols_per_char": sum(t.count(c) for c in "#*$%&|<>") / chars, "dup_line_share": (len(lines) - len(set(lines))) / len(lines),
+            "repeat_word_share": brute_quality(t)[4] / len(words), "chars_per_word": chars / len(words),
+            "capital_share": sum("A" <= c <= "Z" for c in t) / chars, "shouts_per_word": t.count("!") / len(words),
+        }
+
+    told = {i: (lang, figures(t), len(WORD.findall(t)) >= 50) for i, t, lang in rows}
+    rules, tests = len(quality.LADDERS), len(quality.LADDERS) * (len(quality.STRATA) + 1)
+    tail = lambda k, n: sum(comb(n, i) * (a := quality.ALPHA / rules) ** i * (1 - a) ** (n - i) for i in range(k + 1))
+    cutoffs = {}
+    for lang in ("en", "fr"):
+        own = [told[i][1] for i in good if told[i][0] == lang]
+        for rule, ladder in quality.LADDERS.items():
+            passed = [c for c in ladder if (k := sum(f[rule] > c for f in own)) < len(own) * quality.ALPHA / rules and tail(k, len(own)) <= quality.DELTA / tests]
+            cutoffs[lang, rule] = min(passed, default=None)
+    active = {k: c for k, c in cutoffs.items() if c is not None}
+    want = {i: fine and not any(f[r] > c for (g, r), c in active.items() if g == lang) for i, (lang, f, fine) in told.items()}
+    assert got == want and active
+    assert 20 < sum(not kept for kept in got.values()) < 700
+
+
 # --- Toxicity ------------------------------------------------------------------------------------------------------
 
 
@@ -166,6 +232,55 @@ def test_toxicity_counts_phrases_whose_second_word_follows_one_word(spark):
     assert seen > 2 and unseen == 0
 
 
+def test_toxicity_counts_equal_kneser_ney_sums(spark):
+    """Every ratio against sums over plain dictionaries."""
+    rng = random.Random(8)
+    rows = [(int(i % 3 == 0), [rng.choice("abcdefgh" if i % 3 else "abcxyzgh") for _ in range(rng.randrange(0, 40))]) for i in range(120)]
+    rows.append((1, ["only", "once"]))
+    d, start = toxicity.DISCOUNT, None
+    pairs, words = [Counter(), Counter()], [Counter(), Counter()]
+    for toxic, text in rows:
+        pairs[toxic].update(zip([start, *text], text))
+        words[toxic].update(text)
+    types = {(h, w) for c in pairs for h, w in c}
+    contexts = Counter(w for _, w in types)
+    n = [sum(c.values()) for c in words]
+    shared = {w: k / len(types) for w, k in contexts.items()}
+    alone = lambda y, w: max(words[y][w] - d, 0) / n[y] + d * len(words[y]) / n[y] * shared[w]
+    p = lambda y, w: alone(y, w) if contexts[w] >= toxicity.MIN_CONTEXTS else shared[w]
+    follow = [Counter(), Counter()], [Counter(), Counter()]
+    for y in (0, 1):
+        for (h, _), c in pairs[y].items():
+            follow[0][y][h] += c
+            follow[1][y][h] += 1
+    weight = lambda y, h: d * follow[1][y][h] / follow[0][y][h] if follow[0][y][h] else 1.0
+    after = lambda y, h, w: max(pairs[y][h, w] - d, 0) / follow[0][y][h] + weight(y, h) * p(y, w) if follow[0][y][h] else p(y, w)
+    docs = spark.createDataFrame([(t, " ".join(x)) for t, x in rows], "toxic int, text string")
+    model = toxicity.fit_counts(docs.select("toxic", toxicity.token_hashes(F.col("text")).alias("hashes")))
+    hashed = spark.createDataFrame([(w,) for w in contexts], "w string").select("w", F.xxhash64("w").alias("h")).collect()
+    key = {r.w: r.h for r in hashed} | {start: 0}
+    signed = lambda x: (x + 2**63) % 2**64 - 2**63
+    frequent = {t for t in types if pairs[0][t] + pairs[1][t] >= toxicity.MIN_PAIR}
+    want = {signed(key[h] * toxicity.PAIR_FACTOR + key[w]): math.log(after(1, h, w) / after(0, h, w)) for h, w in frequent}
+    assert len(want) > 20 and dict(zip(model.pair_keys.tolist(), model.pair_ratio)) == pytest.approx(want)
+    common = {key[w]: math.log(p(1, w) / p(0, w)) for w, k in contexts.items() if k >= toxicity.MIN_CONTEXTS}
+    assert dict(zip(model.word_keys.tolist(), model.word_ratio)) == pytest.approx(common)
+    before = {key[h]: math.log(weight(1, h) / weight(0, h)) for h in {h for h, _ in types} if weight(0, h) != weight(1, h)}
+    assert dict(zip(model.context_keys.tolist(), model.context_ratio)) == pytest.approx(before)
+
+
+def test_toxicity_carries_any_column(spark):
+    """Names with blanks and points, names of its own, and nested values stay as they are."""
+    rows = [(i, "vile awful" if i % 2 else "nice day", i, {"a": [i]}, "s") for i in range(80)] + [(None, None, 1, None, None)]
+    schema = "doc_id bigint, text string, `my col.x` int, `a b` map<string, array<int>>, score string"
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id bigint, toxic int")
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    kept = toxicity.drop_toxic(docs, labels)
+    verdicts = {r.doc_id for r in toxicity.toxicity_scores(docs, labels).where("predicted = 0").collect()}
+    assert kept.schema == docs.schema
+    assert sorted(map(repr, kept.collect())) == sorted(repr(r) for r in docs.collect() if r.doc_id in verdicts)
+
+
 def test_toxicity_without_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     assert {r.score for r in toxicity.toxicity_scores(docs, none).collect()} == {0.0}
@@ -367,6 +482,19 @@ def test_url_verdicts(spark):
     assert {r.page_id: r.verdict for r in url_filter.url_verdicts(asked, (), labelled).collect()} == {1: "block", 2: "allow"}
 
 
+def test_copies_of_one_url_teach_once(spark):
+    """Thirty thousand copies of the URL that the sample would take first leave the other verdicts as they are."""
+    urls = [f"http://h{i}.example.{s}/{p}/{i}" for i in range(40) for s in ("com", "net", "org") for p in ("fr", "de", "es")]
+    asked = ["http://x.net/de/", "http://y9.example.net/es/4", "http://q.com/de/7", None]
+    rows = spark.createDataFrame([(i, u) for i, u in enumerate([*urls, *asked])], "page_id bigint, url string")
+    first = rows.where("url IS NOT NULL AND url LIKE '%.com/%'").orderBy(F.xxhash64("url")).first().url
+    copies = spark.range(100_000, 130_000).select(F.col("id").alias("page_id"), F.lit(first).alias("url"))
+    told = lambda df: {r.page_id: (r.verdict, r.block_score) for r in url_filter.url_verdicts(df).collect()}
+    plain, crowded = told(rows), told(rows.unionByName(copies))
+    assert {i: v for i, v in crowded.items() if i < 100_000} == plain and len(crowded) == len(plain) + 30_000
+    assert len({v for _, v in plain.values()}) > 2
+
+
 # --- Jaccard join --------------------------------------------------------------------------------------------------
 
 
