@@ -36,6 +36,8 @@ DISCOUNT = 0.75
 TOP = 3
 THRESHOLD = 0.7
 FIGURES = ("mean", "top", "rare", "words")
+#: Documents whose figures are computed together.
+SLICE = 256
 #: Joins two word hashes to a pair's key, with wrap-around.
 PAIR_FACTOR = -7046029254386353131
 
@@ -94,6 +96,12 @@ def _design(figures: np.ndarray) -> np.ndarray:
 
 def figures_of(model: Model, hashes: pa.ListArray) -> np.ndarray:
     """Per document: mean ratio, mean of the TOP largest ratios (missing ones count 0), mean back-off ratio, number of words."""
+    # A slice at a time, so that a batch's intermediate arrays stay small.
+    parts = [_figures_of(model, hashes.slice(at, SLICE)) for at in range(0, len(hashes), SLICE)]
+    return np.concatenate(parts) if parts else np.zeros((0, len(FIGURES)))
+
+
+def _figures_of(model: Model, hashes: pa.ListArray) -> np.ndarray:
     offsets = hashes.offsets.to_numpy()
     words = hashes.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
