@@ -78,7 +78,11 @@ def plan_from_facts(facts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 def gate_plan_doc(findings: DataFrame, dependencies: DataFrame) -> DataFrame:
     """Three gates with action, reason and a details map of counts; the ids and names behind the counts are rows of
     `gate_details_doc`, so no list grows with the data."""
-    facts = risk_facts(findings, dependencies)
+    return doc_plan_from_facts(risk_facts(findings, dependencies))
+
+
+def doc_plan_from_facts(facts: DataFrame) -> DataFrame:
+    """The three gates of a facts row."""
     secrets, severe = F.col("HARDCODED_SECRET") > 0, high_or_critical()
     notable = F.col("total_risk_score") > WARN_SCORE
     unsafe = (F.col("dep_DENY") + F.col("dep_HALLUCINATED")) > 0

@@ -32,12 +32,15 @@ def risk_themes(findings: DataFrame) -> DataFrame:
     )
 
 
-def executive_summary(findings: DataFrame, dependencies: DataFrame, artifacts: DataFrame) -> DataFrame:
+def executive_summary(
+    findings: DataFrame, dependencies: DataFrame, artifacts: DataFrame, facts: DataFrame | None = None
+) -> DataFrame:
     """Rows (section, ord, key, value): overview counts, themes, severity counts, top five findings.
 
-    `findings` is read twice (counts, top five): pass a stored table when it is costly to compute.
+    `findings` is read twice (counts, top five): pass a stored table when it is costly to compute, or the `facts` of all
+    three tables where they are known.
     """
-    facts = risk_facts(findings, dependencies, artifacts)
+    facts = risk_facts(findings, dependencies, artifacts) if facts is None else facts
 
     def line(section: str, n, key: Column, value: Column) -> Column:
         return F.struct(F.lit(section).alias("section"), F.lit(n).cast("int").alias("ord"), key.alias("key"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,9 @@ from auditmill.operators.ast_scan import scan_tree_findings, scan_trees, tree_er
 from auditmill.operators.dependencies import analyze_dependencies, dependency_findings
 from auditmill.operators.findings import split_by_domain, union_findings
 from auditmill.operators.regex_scan import scan_lines
+from auditmill.operators.risk import risk_facts
 from auditmill.plans.package import MANIFEST, Dataset, datasets_of, staged, write_dataset
-from auditmill.plans.storage import new_path, stored
+from auditmill.plans.storage import new_path, stored, write_once
 from auditmill.policy import POLICIES, Policy, policy
 from auditmill.rules import Ruleset, ruleset
 from auditmill.schemas import DEPENDENCY_FIELDS, FINDING_FIELDS, FINDING_ORDER
@@ -51,10 +53,14 @@ class Audit:
             raise ValueError("this run left parse errors out (report_errors=False)")
         return self.errors
 
+    @cached_property
+    def facts(self) -> DataFrame:
+        """One stored row of counts, scores and flags: gates and summary follow from it without reading findings again."""
+        return write_once(risk_facts(self.findings, self.dependencies, self.artifacts), "facts")
+
     @property
     def gate_plan(self) -> DataFrame:
-        plan = gates.gate_plan_doc if self.doc_gates else gates.gate_plan
-        return plan(self.findings, self.dependencies)
+        return gates.doc_plan_from_facts(self.facts) if self.doc_gates else gates.plan_from_facts(self.facts)
 
     @property
     def gate_plan_by_source(self) -> DataFrame:
@@ -66,7 +72,7 @@ class Audit:
 
     @property
     def executive_summary(self) -> DataFrame:
-        return summary.executive_summary(self.findings, self.dependencies, self.artifacts)
+        return summary.executive_summary(self.findings, self.dependencies, self.artifacts, self.facts)
 
     @property
     def inputs_hash(self) -> DataFrame:

@@ -14,7 +14,7 @@ def shared_dir(spark: SparkSession) -> str:
     found = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if found:
         return found
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="auditmill-"))
     return context.getCheckpointDir()
