@@ -86,4 +86,5 @@ def artifact_proofs(artifacts: DataFrame) -> DataFrame:
     """(artifact_id, content_hash, copies, steps, root): a proof for every artifact, beside the root it has to lead to."""
     tree = input_tree(artifacts)
     owners = artifacts.select("artifact_id", "content_hash")
-    return owners.join(input_proofs(tree), "content_hash").crossJoin(F.broadcast(tree.root))  # one row
+    root = tree.root.first()  # one row, none without artifacts
+    return owners.join(input_proofs(tree), "content_hash").withColumn("root", F.lit(root and root[0]).cast("string"))
