@@ -58,12 +58,14 @@ _CLASS_ESCAPES = {
 _INLINE_FLAGS = re.compile(r"\(\?([imsxau]+)\)")
 
 
-def java_pattern(pattern: str) -> str:
+def java_pattern(pattern: str, checked: bool = False) -> str:
     """Rewrite a Python `re` pattern so that Java's engine gives Python's Unicode-aware matches.
 
-    Java allows no underscore in group names, so named groups become `g1`, `g2`, ...; comments are dropped.
+    Java allows no underscore in group names, so named groups become `g1`, `g2`, ...; comments are dropped. `checked`: the
+    pattern is known to be valid.
     """
-    re.compile(pattern)  # a malformed rule fails here, on the driver
+    if not checked:
+        re.compile(pattern)  # a malformed rule fails here, on the driver
     flags = set()
     lead = _INLINE_FLAGS.match(pattern)
     if lead:

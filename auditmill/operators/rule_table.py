@@ -1,14 +1,18 @@
 """Line scan by a table of rules: thousands of patterns as rows, met through the literal text that their matches must hold.
 
 Every pattern is taken apart once: from its literals comes a small set of q-grams of which any match holds at least one.
-Lines meet rules by an equi-join on q-grams, and the pattern itself decides. Rules whose patterns hold no literal of
-`Q` characters are scanned as constants, as the built-in catalogs are.
+They are as long as the literals allow (`SIZES`), so that rules which differ in a number or name only do not share them.
+Lines meet rules by an equi-join on q-grams, and the pattern itself decides. Only the q-grams of a line that begin and
+measure like one of the index take part. Rules whose patterns hold no literal of `Q` characters are scanned as constants,
+as the built-in catalogs are.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
+from math import log2
 from re import _constants as op
 from re import _parser
 
@@ -23,7 +27,9 @@ from auditmill.plans.storage import write_once
 from auditmill.rules import Rule, Ruleset, ruleset
 from auditmill.sources.artifacts import code_artifacts
 
-Q = 3
+#: Lengths of q-grams; of a literal the longest that fits counts.
+SIZES = (3, 5, 8, 16)
+Q = SIZES[0]
 #: Rules without a usable literal are compiled into the plan; more of them than this are an error.
 MAX_CONSTANT_RULES = 200
 #: Alternative texts that one stretch of a pattern is spelled out to.
@@ -32,6 +38,10 @@ MAX_TEXTS = 64
 FOLDED_FROM, FOLDED_TO = "ſKİı", "skii"
 #: Letters from frequent to rare, to choose the q-gram that few lines hold.
 FREQUENT = " etaoinsrhldcumfpgwybvkxjqz"
+#: Below this share of lines, fewer q-grams count for more than rarer ones.
+RARE = 1e-9
+#: Thousandths of bits that a character adds: whole numbers, so that sums of equal characters are equal.
+_RARITY, _RAREST = {c: round(1000 * log2(2 + i)) for i, c in enumerate(FREQUENT)}, round(1000 * log2(40))
 
 RULE_TABLE = (
     "rule_ord int, rule_id string, finding_type string, severity string, description string, remediation_guidance string, "
@@ -47,13 +57,13 @@ _INDEX = pa.schema([
 # --- What a match must hold -------------------------------------------------------------------------------------------
 
 
-def required_grams(pattern: str, q: int = Q) -> tuple[str, ...] | None:
+def required_grams(pattern: str) -> tuple[str, ...] | None:
     """Folded q-grams of which every line with a match holds one; None if the pattern has no such set."""
-    best = min(_covers(list(_parser.parse(pattern)), q), key=_weight, default=None)
+    best = min(_covers(list(_parser.parse(pattern))), key=_weight, default=None)
     return tuple(sorted(best)) if best else None
 
 
-def _covers(items: list, q: int) -> Iterator[frozenset[str]]:
+def _covers(items: list) -> Iterator[frozenset[str]]:
     """Sets that each have to be hit by any match of the sequence: of every stretch that is one of a few known texts, a
     q-gram of each; of what repeats or branches otherwise, the sets of its parts."""
     stretch = [""]
@@ -62,20 +72,20 @@ def _covers(items: list, q: int) -> Iterator[frozenset[str]]:
         if texts and len(stretch) * len(texts) <= MAX_TEXTS:
             stretch = [a + b for a in stretch for b in texts]
             continue
-        if all(len(text) >= q for text in stretch):
-            yield frozenset(min((text[i : i + q] for i in range(len(text) - q + 1)), key=_rarity) for text in stretch)
+        if all(len(text) >= Q for text in stretch):
+            yield frozenset(map(_rarest, stretch))
         stretch = texts or [""]
         if item is None or texts:
             continue
         kind, value = item
         if kind is op.SUBPATTERN:
-            yield from _covers(list(value[-1]), q)
+            yield from _covers(list(value[-1]))
         elif kind is op.ATOMIC_GROUP:
-            yield from _covers(list(value), q)
+            yield from _covers(list(value))
         elif _repeats(kind) and value[0] > 0:
-            yield from _covers(list(value[2]) * min(value[0], q), q)
+            yield from _covers(list(value[2]) * min(value[0], SIZES[-1]))
         elif kind is op.BRANCH:
-            parts = [min(_covers(list(part), q), key=_weight, default=None) for part in value[1]]
+            parts = [min(_covers(list(part)), key=_weight, default=None) for part in value[1]]
             if all(parts):
                 yield frozenset().union(*parts)
 
@@ -121,16 +131,20 @@ def _few(texts: set[str]) -> list[str] | None:
     return sorted(texts) if len(texts) <= MAX_TEXTS else None
 
 
-def _rarity(gram: str) -> float:
-    """An estimate of the share of lines that hold the q-gram."""
-    out = 1.0
-    for c in gram:
-        out /= 2 + FREQUENT.index(c) if c in FREQUENT else 40
-    return out
+def _rarest(text: str) -> str:
+    q = max(size for size in SIZES if size <= len(text))
+    sums = [0, *accumulate(_rarity(text))]
+    at = max(range(len(text) - q + 1), key=lambda i: sums[i + q] - sums[i])  # the first of equals
+    return text[at : at + q]
+
+
+def _rarity(text: str) -> Iterator[int]:
+    return (_RARITY.get(c, _RAREST) for c in text)
 
 
 def _weight(cover: frozenset[str]) -> float:
-    return sum(map(_rarity, cover))
+    """An estimate of the share of lines that hold one of the q-grams."""
+    return sum(max(2 ** (-sum(_rarity(gram)) / 1000), RARE) for gram in cover)
 
 
 def folded(line: Column) -> Column:
@@ -156,7 +170,9 @@ def index_rules(rules: DataFrame) -> DataFrame:
             rows = []
             for ordinal, pattern in zip(*(c.to_pylist() for c in batch.columns)):
                 try:
-                    java, grams = java_pattern(pattern), required_grams(pattern)
+                    if pattern is None or "(?<" in pattern:
+                        re.compile(pattern)  # parsing alone does not reject them: no text, look-behind of varying width
+                    grams, java = required_grams(pattern), java_pattern(pattern, checked=True)
                 except (re.error, TypeError, KeyError, ValueError) as e:
                     rows.append((ordinal, None, None, None, f"{type(e).__name__}: {e}"))
                     continue
@@ -181,7 +197,8 @@ def split_rules(rules: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def constant_rules(rules: DataFrame, index: DataFrame) -> tuple[Ruleset, list[int]] | None:
     """The rules that no q-gram finds, as a catalog and their ordinals; there are few, or the table cannot be used."""
-    rows = rules.join(index.where("gram IS NULL AND error IS NULL").select("rule_ord"), "rule_ord").limit(MAX_CONSTANT_RULES + 1).collect()
+    bare = index.where("gram IS NULL AND error IS NULL").select("rule_ord").limit(MAX_CONSTANT_RULES + 1)
+    rows = rules.join(F.broadcast(bare), "rule_ord").limit(MAX_CONSTANT_RULES + 1).collect()
     if len(rows) > MAX_CONSTANT_RULES:
         raise ValueError(f"more than {MAX_CONSTANT_RULES} rules hold no literal of {Q} characters that a match must have")
     if not rows:
@@ -194,6 +211,10 @@ def constant_rules(rules: DataFrame, index: DataFrame) -> tuple[Ruleset, list[in
     return Ruleset("table", tuple(made)), [r.rule_ord for r in rows]
 
 
+def _begun(grams: DataFrame) -> DataFrame:
+    return grams.withColumns({"start": F.substring("gram", 1, Q), "size": F.char_length("gram")})
+
+
 # --- Scan -------------------------------------------------------------------------------------------------------------
 
 _KEEP = ("artifact_id", "artifact_seq", "filename", "source")
@@ -207,13 +228,16 @@ def scan_lines_by_table(artifacts: DataFrame, rules: DataFrame, index: DataFrame
     Spark sends it to the lines while its measured size allows, and otherwise both sides meet by q-gram.
     """
     index = write_once(index_rules(rules), "rule_index") if index is None else index
+    held = index.where("gram IS NOT NULL")
     lines = explode_lines(code_artifacts(artifacts), _KEEP).withColumn("folded", folded(F.col("line")))
     # A look-ahead finds overlapping q-grams in one pass over the line.
-    grams = F.array_distinct(F.regexp_extract_all("folded", F.lit(f"(?s)(?=(.{{{Q}}}))"), F.lit(1)))
-    probes = lines.select("*", F.explode(grams).alias("gram"))
-    met = probes.join(index.where("gram IS NOT NULL").select("rule_ord", "gram", "earlier", "java"), "gram")
+    by_size = [F.array_distinct(F.regexp_extract_all("folded", F.lit(f"(?s)(?=(.{{{q}}}))"), F.lit(1))) for q in SIZES]
+    probes = lines.select("*", F.explode(F.concat(*by_size)).alias("gram")).drop("folded")
+    # At most the triples of ASCII characters times `SIZES`, whatever the number of rules.
+    probes = _begun(probes).join(F.broadcast(_begun(held).select("start", "size").distinct()), ["start", "size"], "left_semi")
+    met = probes.drop("start", "size").join(held.select("rule_ord", "gram", "earlier", "java"), "gram")
     # A line that holds several of a rule's q-grams meets the rule by the first of them only.
-    first = ~F.exists("earlier", lambda g: F.contains(F.col("folded"), g))
+    first = ~F.exists("earlier", lambda g: F.contains(folded(F.col("line")), g))
     hits = met.where(first).where(F.rlike("line", F.col("java")))
     texts = rules.select(F.col("rule_ord").alias("ord"), *_TEXTS)
     rows = hits.join(texts, F.col("rule_ord") == F.col("ord")).withColumn("evidence_snippet", strip(F.col("line"))).selectExpr(

@@ -114,3 +114,14 @@ def test_rules_that_are_no_rules(spark, make):
 def test_too_many_rules_without_literals(spark, make):
     with pytest.raises(ValueError, match="literal"):
         scan_lines_by_table(make({"a.py": "x"}), rules_from(spark, [(n, rf"\d{{{n + 1}}}") for n in range(201)]))
+
+
+def test_rules_that_differ_in_a_number_only_share_no_gram(spark, make):
+    """Else every line of that shape would meet all of them."""
+    patterns = [(n, [rf'hashlib\.md5\(b"{n}"\)', rf"^x{n}\s*=\s*{n}$", rf'(?:sha1\(b"{n}"\)|md5\(b"{n}"\))'][n % 3]) for n in range(4_000_000, 4_000_600)]
+    grams = [r.gram for r in index_rules(rules_from(spark, patterns)).collect()]
+    assert len(set(grams)) == len(grams) == 800
+    lines = ['h = hashlib.md5(b"4000002")', "x4000003 = 4000003", "x4000003 = 4000004", 'sha1(b"4000001") + md5(b"4000001")', 'md5(b"4000004") md5(b"4000004")', "x4000006=4000006"]
+    found = scan_lines_by_table(make({"a.py": "\n".join(lines)}), rules_from(spark, patterns))
+    expected = sorted((i, n) for i, line in enumerate(lines, 1) for n, p in patterns if re.search(p, line))
+    assert sorted(map(tuple, found.select("line_no", "rule_ord").collect())) == expected and len(expected) == 4
