@@ -16,6 +16,9 @@ from auditmill.plans.storage import write_once
 
 #: Hex digits that the entries of one group have in common, level by level; the root's group has none.
 PREFIXES = (6, 5, 4, 3, 2, 1, 0)
+#: Levels of at most so many digits have few groups at any number of artifacts (five megabytes in all), and are sent to the
+#: hashes.
+SENT = 3
 STEP = "struct<before: string, after: string, siblings: int>"
 
 
@@ -44,27 +47,45 @@ def _node(entries: Column) -> Column:
 
 
 def input_proofs(tree: InputTree) -> DataFrame:
-    """(content_hash, copies, steps): a proof per distinct content hash, steps from the leaf's group to the root's.
-
-    Paths are handed down level by level, so each level is joined once; the widest tables, those of the lowest level, are
-    as large as the hashes themselves.
-    """
-    above = None
-    for groups in reversed(tree.levels):
-        entry = groups.select("prefix", F.col("entries"), F.posexplode("entries").alias("at", "entry"))
-        step = F.struct(
-            F.array_join(F.slice("entries", F.lit(1), F.col("at")), "").alias("before"),
-            F.array_join(F.slice("entries", F.col("at") + 2, F.size("entries")), "").alias("after"),
-            (F.size("entries") - 1).alias("siblings"),
-        )
-        own = entry.select("prefix", F.substring_index("entry", ":", 1).alias("child"), "entry", F.array(step).alias("own"))
-        if above is None:
-            paths = own.select("child", "entry", F.col("own").alias("steps"))
-        else:
-            paths = own.join(above, "prefix").select("child", "entry", F.concat("own", "above").alias("steps"))
-        above = paths.select(F.col("child").alias("prefix"), F.col("steps").alias("above"))
-    copies = F.substring_index("entry", ":", -1).cast("bigint")
-    return paths.select(F.col("child").alias("content_hash"), copies.alias("copies"), "steps")
+    """(content_hash, copies, steps): a proof per distinct content hash, steps from the leaf's group to the root's."""
+    entries = tree.levels[0].select(F.explode("entries").alias("entry"))
+    return _proven(entries.select(F.substring_index("entry", ":", 1).alias("content_hash")), tree)
+
+
+def _proven(rows: DataFrame, tree: InputTree) -> DataFrame:
+    """The rows with `copies` and `steps`. Rows are joined with the groups on their path and make their steps at the end, so
+    a row moves once and no step ever does. The lower groups come in one piece: sixteen leaves at most and the two groups
+    above them, of which there are 16^5 at most."""
+    path = F.col("content_hash")
+    named = [g.select(F.col("prefix").alias(f"prefix_{n}"), F.col("entries").alias(f"entries_{n}")) for n, g in enumerate(tree.levels)]
+    lowest = tree.levels[0].groupBy(F.substring("prefix", 1, PREFIXES[1]).alias("prefix_1"))
+    groups = lowest.agg(F.collect_list(F.struct("prefix", "entries")).alias("leaves")).join(named[1], "prefix_1")
+    for n in range(2, len(PREFIXES)):
+        if PREFIXES[n] > SENT:
+            groups = groups.join(named[n], F.substring("prefix_1", 1, PREFIXES[n]) == F.col(f"prefix_{n}"))
+    rows = rows.join(groups, F.substring(path, 1, PREFIXES[1]) == F.col("prefix_1"))
+    for n in range(2, len(PREFIXES)):
+        if PREFIXES[n] <= SENT:
+            rows = rows.join(F.broadcast(named[n]), F.substring(path, 1, PREFIXES[n]) == F.col(f"prefix_{n}"))
+    leaf = F.filter("leaves", lambda g: g["prefix"] == F.substring(path, 1, PREFIXES[0]))
+    rows = rows.withColumn("entries_0", F.get(leaf, F.lit(0))["entries"])
+    # An entry stands behind all that are less than its label, a hash or the prefix of the group below.
+    labels = [path, *(F.substring(path, 1, length) for length in PREFIXES[:-1])]
+    before = lambda n: F.filter(f"entries_{n}", lambda e: e < labels[n])
+    rows = rows.withColumns({f"at_{n}": F.size(before(n)) for n in range(len(PREFIXES))})
+    steps = F.array(*(_step(F.col(f"entries_{n}"), F.col(f"at_{n}")) for n in range(len(PREFIXES))))
+    copies = F.substring_index(F.get("entries_0", F.col("at_0")), ":", -1).cast("bigint")
+    return rows.withColumns({"copies": copies, "steps": steps}).drop(
+        "leaves", *(f"{c}_{n}" for c in ("prefix", "entries", "at") for n in range(len(PREFIXES)))
+    )
+
+
+def _step(entries: Column, at: Column) -> Column:
+    return F.struct(
+        F.array_join(F.slice(entries, F.lit(1), at), "").alias("before"),
+        F.array_join(F.slice(entries, at + 2, F.size(entries)), "").alias("after"),
+        (F.size(entries) - 1).alias("siblings"),
+    )
 
 
 def proven_root(content_hash: Column, copies: Column, steps: Column) -> Column:
@@ -87,4 +108,4 @@ def artifact_proofs(artifacts: DataFrame) -> DataFrame:
     tree = input_tree(artifacts)
     owners = artifacts.select("artifact_id", "content_hash")
     root = tree.root.first()  # one row, none without artifacts
-    return owners.join(input_proofs(tree), "content_hash").withColumn("root", F.lit(root and root[0]).cast("string"))
+    return _proven(owners, tree).withColumn("root", F.lit(root and root[0]).cast("string"))

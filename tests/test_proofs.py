@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from auditmill.operators.gates import LEVELS, gate_plan, gate_plan_rollup
-from auditmill.operators.proofs import PREFIXES, artifact_proofs, input_tree, proven_root
+from auditmill.operators.proofs import PREFIXES, artifact_proofs, input_proofs, input_tree, proven_root
 from auditmill.operators.dependencies import analyze_dependencies
 from auditmill.plans.audit import all_findings
 from auditmill.plans.storage import write_once
@@ -74,3 +74,13 @@ def test_a_null_source_is_a_group_of_its_own(spark, make):
     blank = [df.withColumn("source", F.lit(None).cast("string")) for df in (found, dependencies, artifacts)]
     rolled = gate_plan_rollup(*blank).collect()
     assert sum(r.level == "source" and r.source is None for r in rolled) == 5 and sum(r.level == "total" for r in rolled) == 5
+
+
+def test_no_step_is_moved(spark, make):
+    """Steps are made above all joins, so that what a shuffle moves does not grow by the proofs' kilobytes."""
+    artifacts = make([(f"f{n}.py", f"x = {n}", "X") for n in range(40)])
+    plan = artifact_proofs(artifacts)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_join" in plan and "array_join" not in plan[plan.index("Join") :]
+    tree = input_tree(artifacts)
+    told = lambda df: sorted(map(repr, df.select("content_hash", "copies", "steps").collect()))
+    assert told(input_proofs(tree)) == told(artifact_proofs(artifacts))
