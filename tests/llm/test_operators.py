@@ -495,6 +495,22 @@ def test_copies_of_one_url_teach_once(spark):
     assert len({v for _, v in plain.values()}) > 2
 
 
+def test_every_labelled_url_teaches(spark, monkeypatch):
+    seen = []
+
+    class Watched(url_filter.GBTClassifier):
+        def fit(self, rows):
+            seen.append((rows.count(), rows.agg(F.sum("label")).first()[0]))
+            return super().fit(rows)
+
+    monkeypatch.setattr(url_filter, "GBTClassifier", Watched)
+    labelled = spark.range(25_000).selectExpr("concat('http://h', id, if(id % 5 = 0, '.zz/', '.yy/'), id) AS url", "CAST(id % 5 = 0 AS INT) AS label")
+    asked = spark.createDataFrame([(1, "http://a.zz/1"), (2, "http://a.yy/1"), (3, "http://a.ww/1")], "page_id bigint, url string")
+    got = {r.page_id: r.verdict for r in url_filter.url_verdicts(asked, (), labelled.unionByName(labelled)).collect()}
+    assert seen == [(25_000, 5_000.0)] and got[1] == "block" and got[2] == "allow" and len(got) == 3
+
+
+
 # --- Jaccard join --------------------------------------------------------------------------------------------------
 
 
