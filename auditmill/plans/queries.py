@@ -319,8 +319,10 @@ def stream_latest_scores(spark, sf):
         "concat('a', doc_id DIV 4, '.md') AS filename", "source", "text AS content",
     )
     path = new_path(spark, "arrivals")
-    rows.repartition(4, F.xxhash64("artifact_seq")).write.parquet(path)
-    arrivals = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    # Two rounds of arrivals at every size; the files grow in number with the table, not in size.
+    files = 4 * rows.rdd.getNumPartitions()
+    rows.repartition(files, F.xxhash64("artifact_seq")).write.parquet(path)
+    arrivals = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files // 2).parquet(path)
     return current_scores(drained(score_changes(artifacts_from(arrivals, extra=KEY)), "changes"))
 
 
