@@ -41,6 +41,8 @@ UPDATES = 100
 CHUNK = 2_000_000
 #: Positions whose softmax is taken at once.
 SLICE = 8192
+#: Tokens of a scoring window over all running documents, and documents encoded at once: they bound a task's memory.
+SCORED, ENCODED = 131_072, 1024
 LN10 = np.log(10.0)
 
 
@@ -112,15 +114,17 @@ def _log_prob_of(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
 
 def _summed(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     """Per row number the sum of its values."""
+    rows = rows.astype(np.uint16)  # short numbers sort by radix
     order = np.argsort(rows, kind="stable")
-    found, starts = np.unique(rows[order], return_index=True)
+    ranked = rows[order]
+    starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
     out = np.zeros((size, values.shape[1]), values.dtype)
-    out[found] = np.add.reduceat(values[order], starts, axis=0)
+    out[ranked[starts]] = np.add.reduceat(values[order], starts, axis=0)
     return out
 
 
 def _by_class(targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    classes = targets // CLASSES
+    classes = (targets // CLASSES).astype(np.uint16)
     order = np.argsort(classes, kind="stable")
     bounds = np.searchsorted(classes[order], np.arange(CLASSES + 1))
     for c in range(CLASSES):
@@ -163,7 +167,7 @@ class Trainer:
         h = np.zeros((len(tokens), HIDDEN), np.float32)
         previous = np.ones(len(tokens), np.int64)
         for at in range(0, tokens.shape[1], WINDOW):
-            y, start = tokens[:, at : at + WINDOW], first[:, at : at + WINDOW]
+            y, start = tokens[:, at : at + WINDOW].astype(np.int64), first[:, at : at + WINDOW]
             x = np.concatenate([previous[:, None], y[:, :-1]], 1)
             x = np.where(start, 1, x)  # a document starts as if after an end
             previous = y[:, -1]
@@ -235,11 +239,11 @@ def scored_documents(p: Params, documents: list[np.ndarray]) -> np.ndarray:
     lengths = np.array([len(documents[i]) for i in order])
     wx = p["embed"] @ p["w"] + p["b"]  # a row per word
     h, previous = np.zeros((len(order), HIDDEN), np.float32), np.ones(len(order), np.int64)
-    # Windows of all documents at once, longest first, so those still running stay in front.
-    step = 128
-    for at in range(0, int(lengths[0]) if len(order) else 0, step):
+    # Windows of all documents at once, longest first, so those still running stay in front; the fewer, the wider.
+    at, longest = 0, int(lengths[0]) if len(order) else 0
+    while at < longest:
         running = int(np.searchsorted(-lengths, -at, "left"))
-        width = min(step, int(lengths[0]) - at)
+        width = min(max(8, SCORED // running), 1024, longest - at)
         y = np.full((running, width), -1, np.int64)
         for i in range(running):
             part = documents[order[i]][at : at + width]
@@ -256,6 +260,7 @@ def scored_documents(p: Params, documents: list[np.ndarray]) -> np.ndarray:
         logs = log_probs(p, np.concatenate(states), np.concatenate(targets))
         ids = np.concatenate([np.arange(n) for n in owners])
         out[np.array(order)[:running]] += np.bincount(ids, logs, running)
+        at += width
     return out
 
 
@@ -341,7 +346,7 @@ def _encode_worker(counts) -> Callable:
         known = Counts(**counts.value)
         logs = np.log10(known.counts + 0.5)
         end_log = np.log10(known.ends + 0.5)
-        for batch in batches:
+        for batch in (whole.slice(at, ENCODED) for whole in batches for at in range(0, whole.num_rows, ENCODED)):
             hashes, offsets = _token_arrays(batch.column(2))
             at, there = known.find(hashes)
             ids = np.where(there, known.ids[at], 0) if len(known.ids) else np.zeros(len(hashes), np.int64)
@@ -371,7 +376,7 @@ def encode(tokens: DataFrame, shared) -> DataFrame:
 
 
 def _documents(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(v.as_buffer(), "<u2").astype(np.int64) for v in column]
+    return [np.frombuffer(v.as_buffer(), "<u2") for v in column]
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], ids: str = "ids") -> Iterator[pa.RecordBatch]:

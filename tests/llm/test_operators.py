@@ -511,6 +511,24 @@ def test_every_labelled_url_teaches(spark, monkeypatch):
 
 
 
+def test_scoring_windows_bound_memory():
+    """Many documents that run at once make narrower windows; each is scored as it is alone."""
+    import tracemalloc
+
+    pick = np.random.default_rng(5)
+    params = language_model.initial(np.ones(language_model.WORDS))
+    params["word_w"] += pick.standard_normal(params["word_w"].shape).astype(np.float32)
+    documents = [pick.integers(1, language_model.WORDS, int(n)).astype("<u2") for n in pick.integers(120, 140, 4000)]
+    tracemalloc.start()
+    scores = language_model.scored_documents(params, documents)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6
+    for i in (0, 1, 3999):
+        assert abs(language_model.scored_documents(params, [documents[i]])[0] - scores[i]) < 1e-2
+
+
+
 # --- Jaccard join --------------------------------------------------------------------------------------------------
 
 
