@@ -90,8 +90,9 @@ def lexical(pages: DataFrame) -> DataFrame:
 
 
 def taught_by(labelled: DataFrame) -> DataFrame:
-    """The distinct rows (url, label), label 0 or 1 (block), with their features."""
-    return lexical(labelled.select(F.col("label").alias("page_id"), "url").distinct()).withColumnRenamed("page_id", "label")
+    """The distinct rows (url, label), label 0 or 1 (block), with their features, in the same order in every run."""
+    rows = labelled.select("url", "label").distinct().orderBy(F.xxhash64("url"), "url", "label")
+    return lexical(rows.select(F.col("label").alias("page_id"), "url")).withColumnRenamed("page_id", "label")
 
 
 def suffix_statistics(taught: DataFrame) -> DataFrame:
