@@ -44,3 +44,16 @@ def test_any_batching_equals_the_batch_over_the_latest(spark, batches):
     assert changes.agg(F.sum("artifacts")).first()[0] == 12
     if batches > 1:
         assert changes.where("artifacts = -1").count() > 0  # something was taken back
+
+
+def test_arriving_files_grow_in_number(spark, tmp_path, monkeypatch):
+    """Else one task would read a fixed share of the table."""
+    from auditmill.plans import queries
+
+    rows = spark.range(400).selectExpr("id AS doc_id", "concat('line ', id) AS text", "'AGENT' AS source")
+    rows.repartition(24).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(queries, "new_path", lambda spark, label: str(tmp_path / label))
+    assert queries.QUERIES["stream_latest_scores"](spark, str(tmp_path)).where("version = 3").count() == 100
+    partitions = spark.read.parquet(str(tmp_path / "documents.parquet")).rdd.getNumPartitions()
+    files = list((tmp_path / "arrivals").glob("*.parquet"))
+    assert partitions > 1 and 4 < len(files) <= 4 * partitions
