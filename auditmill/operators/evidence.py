@@ -81,30 +81,48 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def digest_tree(digests: DataFrame, name: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Root of a three-level tree over a column of row digests named `digest`, as a multiset; one row, or one row per
-    group of `keys`.
+    """Root of a three-level tree over a column of row digests named `digest` (lower-case hex), as a multiset; one row,
+    or one row per group of `keys`.
 
-    Equal digests collapse to `digest:count` in the map-side half of the first aggregate. The prefix fan-outs are
-    fixed (16^5 leaves, 16^2 branches, one root), so no group grows beyond N / 16^5 distinct digests.
+    Equal digests of a batch collapse to one row with their count before the shuffle. Digests travel once, as bytes, to
+    the leaf that their prefix names; counts and leaves are made there. The prefix fan-outs are fixed (16^5 leaves, 16^2
+    branches, one root), so no group grows beyond N / 16^5 distinct digests.
     """
+    joined = F.sha2(F.array_join(F.sort_array(F.collect_list("entry")), ""), 256)
 
     def level(df: DataFrame, prefix: int | None, out: str) -> DataFrame:
-        joined = F.sha2(F.array_join(F.sort_array(F.collect_list("entry")), ""), 256)
         parts = [] if prefix is None else [F.substring("entry", 1, prefix).alias("prefix")]
         return df.groupBy(*keys, *parts).agg(joined.alias(out))
 
     def entries(df: DataFrame, left: str, right: str) -> DataFrame:
         return df.select(*keys, F.concat_ws(":", left, F.col(right).cast("string")).alias("entry"))
 
-    leaves = level(digest_entries(digests, keys), LEAF_PREFIX, "leaf")
+    packed = digests.select(*keys, F.unhex("digest").alias("digest"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in packed.schema)
+    text = F.lower(F.hex("digest"))
+    collapsed = packed.mapInArrow(_collapsed, f"{schema}, n bigint").withColumn("leaf", F.substring(text, 1, LEAF_PREFIX))
+    # Dealt by leaf, the rows need no further shuffle for the counts of their digests.
+    counted = collapsed.repartition(*keys, "leaf").groupBy(*keys, "leaf", "digest").agg(F.sum("n").cast("string").alias("n"))
+    entry = counted.select(*keys, "leaf", F.concat_ws(":", text, "n").alias("entry"))
+    prefix = F.coalesce("leaf", F.substring(F.min("entry"), 1, LEAF_PREFIX))  # null digests have one entry, their count
+    leaves = entry.groupBy(*keys, "leaf").agg(prefix.alias("prefix"), joined.alias("digests"))
+    leaves = leaves.select(*keys, "prefix", F.col("digests").alias("leaf"))
     branches = level(entries(leaves, "prefix", "leaf"), BRANCH_PREFIX, "branch")
     return level(entries(branches, "prefix", "branch"), None, name)
 
 
-def digest_entries(digests: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def _collapsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each batch's different rows, with their count behind them."""
+    for batch in batches:
+        names = batch.schema.names
+        counts = pa.Table.from_batches([batch]).group_by(names).aggregate([([], "count_all")]).select([*names, "count_all"])
+        yield from counts.rename_columns([*names, "n"]).to_batches()
+
+
+def digest_entries(digests: DataFrame) -> DataFrame:
     """The lowest entries of a digest tree: `digest:count`, one per distinct digest."""
-    counted = digests.groupBy(*keys, "digest").agg(F.count("*").cast("string").alias("n"))
-    return counted.select(*keys, F.concat_ws(":", "digest", "n").alias("entry"))
+    counted = digests.groupBy("digest").agg(F.count("*").cast("string").alias("n"))
+    return counted.select(F.concat_ws(":", "digest", "n").alias("entry"))
 
 
 def inputs_hash_tree(artifacts: DataFrame) -> DataFrame:

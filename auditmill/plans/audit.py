@@ -12,7 +12,7 @@ from auditmill.functions.text import size_text
 from auditmill.operators import evidence, gates, summary
 from auditmill.operators.ast_scan import scan_tree_findings, scan_trees, tree_errors, tree_findings
 from auditmill.operators.dependencies import analyze_dependencies, dependency_findings
-from auditmill.operators.findings import split_by_domain, union_findings
+from auditmill.operators.findings import finding_id, split_by_domain, union_findings
 from auditmill.operators.regex_scan import scan_lines
 from auditmill.operators.risk import risk_facts
 from auditmill.plans.package import MANIFEST, Dataset, datasets_of, staged, write_dataset
@@ -141,17 +141,16 @@ def run_audit(
         raise ValueError(f"rules {catalog.name} and packages {packages.name} belong to different variants")
     if catalog.python_only:
         artifacts = artifacts.withColumn("language", language_by_extension(F.col("filename")))
-    keep = stored if store else (lambda df, label: df)
+    keep = stored if store else (lambda df, label, *near: df)
     trees = scan_trees(artifacts, rules, once_per_content=once_per_content, report_errors=report_errors)
     if report_errors:
-        trees = keep(trees, "tree_scan")
-    dependencies = keep(analyze_dependencies(artifacts, packages), "dependencies")
-    findings = keep(
-        union_findings(
-            scan_lines(artifacts, rules), tree_findings(trees, rules), dependency_findings(dependencies, packages)
-        ),
-        "findings",
+        trees = keep(trees, "tree_scan", "artifact_id")
+    dependencies = keep(analyze_dependencies(artifacts, packages), "dependencies", "artifact_id")
+    found = union_findings(
+        scan_lines(artifacts, rules), tree_findings(trees, rules), dependency_findings(dependencies, packages)
     )
+    # The id follows from columns that are stored, and its digits cannot be packed: it is made again on reading.
+    findings = keep(found.drop("finding_id"), "findings", "artifact_id").select(finding_id().alias("finding_id"), "*")
     findings, out_of_domain = split_by_domain(findings, doc=catalog.python_only)
     errors = tree_errors(trees) if report_errors else None
     return Audit(artifacts, findings, dependencies, errors, out_of_domain, catalog.python_only)

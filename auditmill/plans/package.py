@@ -21,6 +21,8 @@ from auditmill.functions.text import FIELD_SEP
 from auditmill.operators.evidence import digest_tree
 
 STAGES, MANIFEST, RECORD = "_staged", "_manifest", "_manifest/datasets"
+#: Rows of a file at most: a compressed text file is read by one task.
+FILE_ROWS = 1_000_000
 _RECORD_SCHEMA = "dataset string, format string, columns string, n_rows bigint, digest string"
 
 
@@ -44,7 +46,9 @@ class Stage:
 
 
 def write_dataset(df: DataFrame, root: str, name: str, fmt: str, partition_by: Sequence[str] = ()) -> Dataset:
-    df.write.partitionBy(*partition_by).format(fmt).save(f"{root}/{name}")
+    """Text formats repeat names and wording in every row, so their files are compressed."""
+    options = {"compression": "gzip", "maxRecordsPerFile": FILE_ROWS} if fmt in ("json", "csv") else {}
+    df.write.partitionBy(*partition_by).format(fmt).options(**options).save(f"{root}/{name}")
     return Dataset(name, fmt, df.schema.json())
 
 

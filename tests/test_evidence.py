@@ -57,3 +57,25 @@ def test_manifest_header(spark, make):
     assert header.count() == 1 and row.run_id == sha(row.inputs_hash_tree + row.outputs_hash)
     assert row.team_or_user and row.app_version and row.parser_version.startswith("3.")
     assert evidence.manifest_artifacts_table(artifacts).columns == ["artifact_id", "filename", "content_hash"]
+
+
+def test_digests_are_shuffled_once_as_bytes(spark):
+    hashes = [sha(str(n % 700)) for n in range(2000)] + [None] * 3
+    df = spark.createDataFrame([(n % 2, h) for n, h in enumerate(hashes)], "part int, digest string").repartition(5)
+    out = evidence.digest_tree(df, "root", ["part"])
+
+    def want(part):
+        own = Counter(hashes[part::2])
+        entries = sorted(":".join([*([d] if d else []), str(n)]) for d, n in own.items())
+        for prefix in (5, 2):
+            groups = {}
+            for entry in entries:
+                groups.setdefault(entry[:prefix], []).append(entry)
+            entries = sorted(f"{p}:{sha(''.join(members))}" for p, members in groups.items())
+        return sha("".join(entries))
+
+    assert {r.part: r.root for r in out.collect()} == {0: want(0), 1: want(1)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1
+    # Rows to leaves, leaves to branches, branches to the root: digests take no shuffle of their own for their counts.
+    assert out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning(part") == 3

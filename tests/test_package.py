@@ -102,3 +102,18 @@ def test_uploads_can_be_audited_again(spark, tmp_path):
     assert all(valid for _, valid in found.values()) and found["quarantine"][0] == 1 and found["artifacts"][0] == 3
     assert sorted(r.filename for r in audit.artifacts.collect()) == ["a.py", "b.py"] and audit.findings.count() == 4
     assert spark.read.json(f"{out}/findings").agg(F.count("*")).first()[0] == 4
+
+
+def test_large_text_datasets_are_compressed_in_bounded_files(spark, tmp_path, make, monkeypatch):
+    monkeypatch.setattr(package, "FILE_ROWS", 5)
+    artifacts = make(FILES)
+    audit = run_audit(artifacts)
+    target = write_package(audit, str(tmp_path / "p"))
+    files = [p for p in (tmp_path / "p" / "findings").rglob("part-*")]
+    assert len(files) > 2 and all(p.name.endswith(".json.gz") for p in files)
+    assert all(valid for _, valid in state(spark, target).values())
+    # The id is not stored with the findings, and is what the scans give.
+    kept = {r.finding_id for r in run_audit(artifacts, store=False).findings.collect()}
+    assert kept == {r.finding_id for r in spark.read.json(f"{target}/findings").collect()} and len(kept) == 13
+    stored = audit.findings.inputFiles()
+    assert stored and "finding_id" not in spark.read.parquet(*stored).columns
