@@ -11,6 +11,7 @@ Scoring resets the state at a document's start and carries it over all its windo
 
 Words are known by 64-bit hashes. The most frequent `HEAD_WORDS` are sent to all tasks; counts of rarer ones are joined.
 Texts are read twice: for the counts, and to be stored as model ids of two bytes a token, which rounds and scores read.
+A task cuts the texts of `ENCODED` documents at once and hashes and looks up each different word of theirs once.
 
 Defined results: null and empty texts consist of the end alone; a null id counts as the empty text in the split;
 repeated rows count and score each for itself; with no training documents all counts are 0 and the model is the base;
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditmill.llm.common import remainder, saved, text_or_empty, words_of
+from auditmill.llm.common import BLANKS, remainder, saved, text_or_empty, words_of
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HEAD_WORDS = 200_000
@@ -46,10 +47,95 @@ SCORED, ENCODED = 131_072, 1024
 LN10 = np.log(10.0)
 
 
+# --- Words and their hashes ------------------------------------------------------------------------------------------
+
 def token_hashes(text: Column) -> Column:
     return F.transform(words_of(F.translate(text, CAPITALS, SMALL)), lambda w: F.xxhash64(w))
 
 
+#: Bytes of UTF-8 with A-Z in lower case; which of them part words.
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+_BLANK = np.isin(np.arange(256), list(BLANKS.encode()))
+_PRIMES = np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
+
+
+def _rotated(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def xxhash64(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Spark's `xxhash64` of each of the byte strings that lie one after the other in `data`."""
+    p1, p2, p3, p4, p5 = _PRIMES
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight, four = (np.ndarray(len(data) + 1, kind, padded, strides=(1,)) for kind in ("<u8", "<u4"))  # at any byte
+    at, left = offsets[:-1].copy(), np.diff(offsets)
+    with np.errstate(over="ignore"):
+        seed = np.uint64(42)
+        mixed = lambda x: _rotated(x * p2, 31) * p1
+        h = np.full(len(left), seed + p5)
+        long = np.flatnonzero(left >= 32)
+        if len(long):  # stripes of four blocks, the longest strings in front
+            long = long[np.argsort(-left[long], kind="stable")]
+            stripes = left[long] // 32
+            lanes = [np.full(len(long), first) for first in (seed + p1 + p2, seed + p2, seed, seed - p1)]
+            for stripe in range(int(stripes[0])):
+                n = int(np.searchsorted(-stripes, -stripe, "left"))
+                for k, lane in enumerate(lanes):
+                    lane[:n] = _rotated(lane[:n] + eight[at[long[:n]] + (32 * stripe + 8 * k)] * p2, 31) * p1
+            own = sum(_rotated(lane, by) for lane, by in zip(lanes, (1, 7, 12, 18)))
+            for lane in lanes:
+                own = (own ^ mixed(lane)) * p1 + p4
+            h[long] = own
+            at[long] += 32 * stripes
+            left[long] -= 32 * stripes
+        h += np.diff(offsets).astype(np.uint64)
+        while len(some := np.flatnonzero(left >= 8)):
+            h[some] = _rotated(h[some] ^ mixed(eight[at[some]]), 27) * p1 + p4
+            at[some] += 8
+            left[some] -= 8
+        some = np.flatnonzero(left >= 4)
+        h[some] = _rotated(h[some] ^ (four[at[some]].astype(np.uint64) * p1), 23) * p2 + p3
+        at[some] += 4
+        left[some] -= 4
+        while len(some := np.flatnonzero(left > 0)):
+            h[some] = _rotated(h[some] ^ (padded[at[some]].astype(np.uint64) * p5), 11) * p1
+            at[some] += 1
+            left[some] -= 1
+        h = (h ^ (h >> np.uint64(33))) * p2
+        h = (h ^ (h >> np.uint64(29))) * p3
+        return (h ^ (h >> np.uint64(32))).view(np.int64)
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the different words of texts, which of them stands at each place, and where each text's words begin."""
+    offsets = _offsets(texts)
+    held = texts.buffers()[2]
+    data = _LOWER[np.frombuffer(held, np.uint8)[offsets[0] : offsets[-1]]] if held and held.size else np.empty(0, np.uint8)
+    offsets = offsets - offsets[0]
+    inside = ~_BLANK[data]
+    opens, closes = inside.copy(), inside.copy()
+    opens[1:] &= ~inside[:-1]
+    closes[:-1] &= ~inside[1:]
+    edge = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(data))]  # a text's end parts words too
+    opens[edge] = inside[edge]
+    closes[edge - 1] = inside[edge - 1]
+    first = np.flatnonzero(opens)
+    bounds = np.concatenate([[0], np.cumsum(np.flatnonzero(closes) + 1 - first)])
+    spelled = [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data[inside])]
+    coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), spelled).dictionary_encode()
+    words = coded.dictionary
+    at = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int64)
+    letters = np.frombuffer(words.buffers()[2], np.uint8)[at[0] : at[-1]] if len(words) else np.empty(0, np.uint8)
+    return xxhash64(letters, at - at[0]), coded.indices.to_numpy(), np.searchsorted(first, offsets)
+
+
+def _offsets(texts: pa.StringArray) -> np.ndarray:
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    if not len(texts):
+        return np.zeros(1, np.int64)
+    return np.frombuffer(texts.buffers()[1], kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+
+
 # --- The network -----------------------------------------------------------------------------------------------------
 
 SHAPES = {
@@ -294,15 +380,26 @@ class Counts:
 
 
 def split(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        "doc_id", (remainder(F.col("doc_id"), 5) == 1).alias("held_out"), token_hashes(text_or_empty()).alias("hashes")
-    )
+    """Documents with their part; `hashes` are the words as expressions see them, and cost nothing where nobody reads them."""
+    text = text_or_empty()
+    held_out = (remainder(F.col("doc_id"), 5) == 1).alias("held_out")
+    return docs.select("doc_id", held_out, text.alias("text"), token_hashes(text).alias("hashes"))
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return (whole.slice(at, ENCODED) for whole in batches for at in range(0, whole.num_rows, ENCODED))
+
+
+def _count_worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _slices(batches):
+        hashes, codes, _ = word_hashes(batch.column(0))
+        yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(np.bincount(codes, minlength=len(hashes)))], ["h", "n"])
 
 
 def word_counts(tokens: DataFrame) -> DataFrame:
     """Stored (h, c) of all words of the training documents."""
-    words = tokens.where("NOT held_out").select(F.explode("hashes").alias("h"))
-    return saved(words.groupBy("h").agg(F.count("*").alias("c")), "lm_counts")
+    words = tokens.where("NOT held_out").select("text").mapInArrow(_count_worker, "h bigint, n bigint")
+    return saved(words.groupBy("h").agg(F.sum("n").alias("c")), "lm_counts")
 
 
 def totals(counts: DataFrame, ends: int) -> Counts:
@@ -323,11 +420,6 @@ def totals(counts: DataFrame, ends: int) -> Counts:
     )
 
 
-def _token_arrays(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    offsets = column.offsets.to_numpy()
-    return column.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]], offsets - offsets[0]
-
-
 _ENCODED = pa.schema(
     [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("logs", pa.float64()),
      ("unknown_logs", pa.float64()), ("n_unknown", pa.int64()), ("ids", pa.binary()), ("rare", pa.list_(pa.int64()))]
@@ -346,11 +438,12 @@ def _encode_worker(counts) -> Callable:
         known = Counts(**counts.value)
         logs = np.log10(known.counts + 0.5)
         end_log = np.log10(known.ends + 0.5)
-        for batch in (whole.slice(at, ENCODED) for whole in batches for at in range(0, whole.num_rows, ENCODED)):
-            hashes, offsets = _token_arrays(batch.column(2))
-            at, there = known.find(hashes)
-            ids = np.where(there, known.ids[at], 0) if len(known.ids) else np.zeros(len(hashes), np.int64)
-            own = np.where(there, logs[at], 0.0) if len(logs) else np.zeros(len(hashes))
+        for batch in _slices(batches):
+            hashes, codes, offsets = word_hashes(batch.column(2))
+            at, found = known.find(hashes)
+            there = found[codes]
+            ids = np.where(found, known.ids[at], 0)[codes] if len(known.ids) else np.zeros(len(codes), np.int64)
+            own = np.where(found, logs[at], 0.0)[codes] if len(logs) else np.zeros(len(codes))
             owner = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
             per = lambda weights: np.bincount(owner, weights, batch.num_rows)  # noqa: B023, E731
             tokens = np.insert(ids, offsets[1:], 1).astype("<u2")  # every document gets its end behind it
@@ -362,7 +455,7 @@ def _encode_worker(counts) -> Callable:
                 pa.array(per(there).astype(np.int64) + (known.ends > 0)),
                 pa.array(per(own) + end_log), pa.array(per(own * (ids == 0))), pa.array(per(ids == 0).astype(np.int64)),
                 pa.BinaryArray.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(tokens)]),
-                pa.ListArray.from_arrays(pa.array(rare_bounds), pa.array(hashes[rare])),
+                pa.ListArray.from_arrays(pa.array(rare_bounds), pa.array(hashes[codes[rare]])),
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=_ENCODED)
 
@@ -371,7 +464,7 @@ def _encode_worker(counts) -> Callable:
 
 def encode(tokens: DataFrame, shared) -> DataFrame:
     """Stored documents as model ids: what `_encode_worker` gives, and a row number."""
-    rows = tokens.select("doc_id", "held_out", "hashes").mapInArrow(_encode_worker(shared), _ENCODED_SQL)
+    rows = tokens.select("doc_id", "held_out", "text").mapInArrow(_encode_worker(shared), _ENCODED_SQL)
     return saved(rows.withColumn("row", F.monotonically_increasing_id()), "lm_ids")
 
 
@@ -413,7 +506,7 @@ def _train_worker(flat) -> Callable:
 
 
 def train(tokens: DataFrame, counts: Counts, shared) -> np.ndarray:
-    """The model's parameters after all rounds over documents (doc_id, held_out, hashes)."""
+    """The model's parameters after all rounds over documents (doc_id, held_out, text)."""
     return train_encoded(encode(tokens, shared), counts)
 
 

@@ -12,6 +12,7 @@ from math import comb, log10
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -581,3 +582,25 @@ def test_empty_tables(spark):
     pages = spark.createDataFrame([], "page_id bigint, url string, html string")
     assert warc.round_trip(pages).count() == 0 and url_filter.url_verdicts(pages).count() == 0
     assert chat.read_back(chat.formatted_conversations(spark.createDataFrame([], "conv_id int, turn int, role string, text string"))).count() == 0
+
+
+def test_language_model_words_are_cut_and_hashed_like_spark(spark):
+    """Words of all lengths, wide characters and other white space; empty texts, slices, and texts that meet without a blank."""
+    rng = random.Random(7)
+    words = ["".join(rng.choice("aBZé漢\xa0 \x1fx0") for _ in range(n)) for n in [*range(1, 120), 700, 3000]]
+    texts = ["dropped", " ".join(words), "", "\t\n", "ab", "cd \x0b", " \r\x0c\nE e", None, "x" * 33 + "\n" + "x" * 33]
+    held = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    small = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    hashed = F.transform(F.regexp_extract_all(small, F.lit(WORD.pattern), F.lit(0)), lambda w: F.xxhash64(w))
+    want = [r[0] or [] for r in held.orderBy("i").select(hashed).collect()][1:]
+    column = pa.array([t or "" for t in texts]).slice(1)
+    hashes, codes, bounds = language_model.word_hashes(column)
+    assert [hashes[codes[a:b]].tolist() for a, b in zip(bounds, bounds[1:])] == want
+    assert len(hashes) == len(set(hashes.tolist())) == len({h for own in want for h in own})
+    docs = held.select(F.lit(0).alias("doc_id"), "text")
+    counted = {r.h: r.c for r in language_model.word_counts(language_model.split(docs)).collect()}
+    every = [r[0] or [] for r in held.select(hashed).collect()]
+    assert counted == Counter(h for own in every for h in own)
+    # What the passes read holds no expression that cuts or hashes whole texts.
+    read = language_model.split(docs).select("doc_id", "held_out", "text")
+    assert "regexp_extract_all" not in read._jdf.queryExecution().optimizedPlan().toString()
